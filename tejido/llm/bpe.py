@@ -27,7 +27,7 @@ from ._shared import IntTable, slices
 #: Bytes of a piece from which the heap takes over.
 LONG = 192
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
-CACHE = 150_000
+CACHE = 400_000
 #: Rows of a matrix.
 ROWS = 16_384
 #: Larger than any rank.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, langid, lz_fingerprint, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edit_ring(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.read_vocabulary(tokenizer_path("byte_bpe_50k.json"))
     return token_counts.token_report(table(spark, sf_dir, "documents"), vocabulary, limit=1024)
@@ -32,7 +40,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_lz_fingerprints, op4_language_id, op8_token_counts, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
