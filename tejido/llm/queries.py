@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, lz_fingerprint, token_counts
+from . import bpe, langid, lz_fingerprint, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op1_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.edit_ring(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -40,8 +44,23 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprints, op4_language_id, op8_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op4_language_id, op8_token_counts, op9_byte_bpe)}
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS latest FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN latest END AS refers_to
+FROM g
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": OP2_SQL}
