@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, lz_fingerprint, simhash, token_counts, warc
+from . import bpe, langid, lz_fingerprint, metric_join, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.read_vocabulary(tokenizer_path("byte_bpe_50k.json"))
     return token_counts.token_report(table(spark, sf_dir, "documents"), vocabulary, limit=1024)
@@ -48,7 +52,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op8_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op7_embedding_join, op8_token_counts, op9_byte_bpe)}
 
 
 OP2_SQL = """
@@ -66,5 +70,25 @@ FROM g
 """
 
 
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL}
+    return {"op2_warc": OP2_SQL, "op7_embedding_join": OP7_SQL}
