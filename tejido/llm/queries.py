@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, lz_fingerprint, metric_join, mixing, simhash, token_counts, warc
+from . import bpe, langid, lz_fingerprint, metric_join, mixing, simhash, substring_dedup, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op5_substring_dedup, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe)}
 
 
 OP2_SQL = """
