@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, lz_fingerprint, metric_join, mixing, simhash, substring_dedup, token_counts, warc
+from . import bpe, chat, langid, lz_fingerprint, metric_join, mixing, simhash, substring_dedup, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,8 +59,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op5_substring_dedup, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op5_substring_dedup, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe, op10_chat_tool_calls)}
 
 
 OP2_SQL = """
@@ -98,5 +102,32 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_i
 """
 
 
+OP10_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, min(text) AS text FROM conversations
+  WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+), calls AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS depth,
+    lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS following
+  FROM c
+), met AS (
+  SELECT calls.conv_id, calls.turn, r.turn AS result_turn, r.text AS content,
+    row_number() OVER (PARTITION BY calls.conv_id, calls.turn ORDER BY r.turn, r.text) AS k,
+    CAST(count(r.turn) OVER (PARTITION BY calls.conv_id, calls.turn) AS BIGINT) AS n_results
+  FROM calls LEFT JOIN conversations r ON r.role = 'assistant' AND r.conv_id = calls.conv_id AND r.turn > calls.turn
+    AND (r.turn <= calls.following OR calls.following IS NULL)
+), told AS (
+  SELECT calls.*, result_turn, content, n_results, CAST(coalesce(length(text), 0) = 0 AS BIGINT) AS n_faults,
+    CASE WHEN coalesce(length(text), 0) = 0 THEN 'invalid' WHEN result_turn IS NOT NULL THEN 'answered' ELSE 'open' END AS status,
+    '{"prompt":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"turn":' || calls.turn || '}' AS arguments_json
+  FROM calls JOIN met ON met.conv_id = calls.conv_id AND met.turn = calls.turn AND met.k = 1
+)
+SELECT conv_id, 'call_' || turn AS call_id, 'reply' AS tool, turn, depth, status, n_faults, arguments_json, result_turn, n_results,
+  '{' || CASE WHEN before IS NULL THEN '' ELSE '"after":"call_' || before || '",' END || '"arguments":' || arguments_json
+  || ',"id":"call_' || turn || '","name":"reply","result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"status":"' || status || '"}' AS record
+FROM told
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op7_embedding_join": OP7_SQL}
+    return {"op2_warc": OP2_SQL, "op7_embedding_join": OP7_SQL, "op10_chat_tool_calls": OP10_SQL}
