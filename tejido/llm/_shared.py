@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a Python step holds as Python objects at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:

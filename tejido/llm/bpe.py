@@ -27,7 +27,7 @@ from ._shared import IntTable, slices
 #: Bytes of a piece from which the heap takes over.
 LONG = 192
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
-CACHE = 400_000
+CACHE = 200_000
 #: Rows of a matrix.
 ROWS = 16_384
 #: Larger than any rank.
@@ -269,11 +269,27 @@ def decode(df: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", into: st
     return kept.mapInArrow(run, schema)
 
 
+def transcode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """df with ids, as encode() gives them, and decoded, the bytes that decode() gives for those ids, in one pass over the texts."""
+    kept = df.drop("ids", "decoded")
+    schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.BinaryType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks, pattern)
+        for batch in batches:
+            for part in slices(batch, text):
+                ids, counts = own.encode(part.column(text).to_pylist())
+                flat, sizes = own.decode(ids, counts)
+                lists = pa.ListArray.from_arrays(offsets(counts), pa.array(ids, pa.int32()))
+                made = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets(sizes).buffers()[1], pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, made], [*part.schema.names, "ids", "decoded"])
+
+    return kept.mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the ids and of the decoded bytes of every text."""
-    coded = encode(docs.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids")
-    back = decode(coded, ranks, pattern)
-    return back.select(
+    return transcode(docs.select("doc_id", "text"), ranks, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
