@@ -1 +1,129 @@
-"""Queries."""
+"""Streams, micro-batches and iteration; streams run over the same tables with their available data and give what a batch would."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import frontier as O
+from ..plans import fixtures as X
+from ..streaming import flows
+from . import query, sql
+from .sinks import folder
+
+C = F.col
+
+
+def keep(t):
+    def put(df):
+        to = folder(t, "round")
+        df.write.parquet(to)
+        return t.spark.read.schema(df.schema).parquet(to)
+
+    return put
+
+
+def stream(t, name: str):
+    """A table as a stream of files."""
+    return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.dir}/{name}.parquet*")
+
+
+WORK = f"""WITH {X.FRONTIER_SQL}, taken AS (SELECT url_hash FROM frontier WHERE status = 'pending' ORDER BY priority_score DESC, created_at, url_hash LIMIT 96)
+SELECT status, count(*) AS n, CAST(sum(token_count) AS BIGINT) AS tokens FROM (SELECT CASE WHEN url_hash NOT IN (SELECT * FROM taken) THEN status WHEN doc_id % 4 = 0 THEN 'failed' ELSE 'completed' END AS status,
+  CASE WHEN url_hash IN (SELECT * FROM taken) AND doc_id % 4 <> 0 THEN 10 ELSE token_count END AS token_count FROM frontier) GROUP BY status"""
+
+
+def _process(taken):
+    bad = C("doc_id") % 4 == 0
+    return taken.select("url_hash", F.when(bad, "failed").otherwise("completed").alias("status"), F.when(~bad, 10).cast("long").alias("token_count"))
+
+
+@query("r01_work_loop", WORK)
+def _(t):
+    done = flows.work(t.frontier, _process, 32, 3, t.as_of, keep(t))
+    return done.groupBy("status").agg(F.count("*").alias("n"), F.sum("token_count").alias("tokens"))
+
+
+@query("r02_batch_results", "SELECT doc_id, CASE WHEN n_chars < 100 THEN 'failed' ELSE 'completed' END AS status, CASE WHEN n_chars < 100 THEN 'too short' END AS error FROM documents")
+def _(t):
+    short = C("n_chars") < 100
+    return t.documents.select("doc_id", F.when(short, "failed").otherwise("completed").alias("status"), F.when(short, "too short").alias("error"))
+
+
+EDGES = "edges AS (SELECT doc_id AS parent, (doc_id * 3 + 1) % 997 AS child FROM documents UNION ALL SELECT doc_id, (doc_id * 5 + 2) % 997 FROM documents)"
+
+
+def _edges(t):
+    i = C("doc_id")
+    return t.documents.select(i.alias("parent"), F.explode(F.array(F.pmod(i * 3 + 1, F.lit(997)), F.pmod(i * 5 + 2, F.lit(997)))).alias("child"))
+
+
+REACH = f"WITH RECURSIVE {EDGES}, reach AS (SELECT 0::BIGINT AS node, 0 AS depth UNION SELECT child, depth + 1 FROM reach JOIN edges ON parent = node WHERE depth < 6) SELECT node, min(depth) AS depth FROM reach GROUP BY node"
+
+
+@query("r03_recursive_growth", REACH)
+def _(t):
+    return flows.reachable(t.spark, t.spark.range(1).select(C("id").alias("node")), _edges(t), 6, keep(t))
+
+
+@query("r04_cycle_guard", f"WITH RECURSIVE {EDGES}, reach AS (SELECT 0::BIGINT AS node UNION SELECT child FROM reach JOIN edges ON parent = node) SELECT count(*) AS nodes FROM reach")
+def _(t):
+    return flows.reachable(t.spark, t.spark.range(1).select(C("id").alias("node")), _edges(t), 50, keep(t)).agg(F.count("*").alias("nodes"))
+
+
+@query("r05_stream_dedup", "SELECT event_type, user_id FROM events GROUP BY 1, 2")
+def _(t):
+    out, state = folder(t, "seen"), folder(t, "state")
+    first = flows.first_seen(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), "ts", "60 days", "event_type", "user_id").select("event_type", "user_id")
+    flows.run_stream(first, lambda df, n: df.write.mode("append").parquet(out), state)
+    return t.spark.read.schema("event_type string, user_id bigint").parquet(out)
+
+
+@query("r06_rolling_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _(t):
+    e = t.events.withColumn("ts", C("ts").cast("timestamp"))
+    return flows.rolling_counts(e, "ts", "1 hour", "event_type").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
+
+
+@query("r06_rolling_days", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    e = t.events.withColumn("ts", C("ts").cast("timestamp"))
+    return flows.rolling_counts(e, "ts", "1 day").select(F.date_format("start", "yyyy-MM-dd").alias("start"), "n")
+
+
+@query("r07_freshness_horizon", f"WITH {X.FEED_SQL} SELECT event_id FROM feed WHERE published_date IS NULL OR published_date >= TIMESTAMP '2024-01-28' - INTERVAL 48 HOUR")
+def _(t):
+    return flows.fresh(t.feed, "published_date", F.lit("2024-01-28").cast("timestamp") - F.expr("INTERVAL 48 HOURS")).select("event_id")
+
+
+@query("r10_populate", "SELECT sha256(url) AS url_hash, 'traditional_config' AS method, 'pending' AS status FROM (SELECT DISTINCT url FROM pages)")
+def _(t):
+    out, state = folder(t, "frontier"), folder(t, "state")
+
+    def put(df, n):
+        O.first_of(O.new_rows(df.select("url", F.lit("pages").alias("source")), t.as_of), ["url_hash"], C("url")).select("url_hash", C("discovered_from").alias("method"), "status").write.mode("append").parquet(out)
+
+    flows.run_stream(stream(t, "pages"), put, state)
+    return t.spark.read.parquet(out)
+
+
+@query("r11_running_totals", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def _(t):
+    out, state = folder(t, "totals"), folder(t, "state")
+    sums = stream(t, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    sums.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(out).select("event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("r12_alerts", "SELECT start, tokens, errors FROM (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, CAST(sum(event_id) AS BIGINT) AS tokens, count(*) FILTER (event_type = 'click') AS errors, count(*) AS n FROM events GROUP BY 1) WHERE tokens < 1000000 OR errors / n::DOUBLE > 0.3")
+def _(t):
+    day = F.date_format("ts", "yyyy-MM-dd")
+    hourly = t.events.groupBy(day.alias("start")).agg(F.sum("event_id").alias("tokens"), F.count_if(C("event_type") == "click").alias("errors"), F.count("*").alias("n"))
+    return flows.alerts(hourly).select("start", "tokens", "errors")
+
+
+@query("a22_language_words", f"SELECT doc_id, {sql.hits('lower(text)', ['ción', 'ñ'])} > 0 AS spanish_marks FROM documents")
+def _(t):
+    return t.documents.select("doc_id", (text.lexicon_hits(F.lower("text"), ["ción", "ñ"]) > 0).alias("spanish_marks"))
+
+

@@ -1 +1,102 @@
-"""Queries."""
+"""Sinks, each written to a scratch folder that executors share and read back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import corpus
+from ..plans import fixtures as X
+from ..schemas import PARTITIONED_BY, TABLES, TARGET_TOKENS
+from . import query, sql
+
+C = F.col
+
+
+def folder(t, kind: str) -> str:
+    """A new folder in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tejido-")
+    return f"{base.rstrip('/')}/tejido-{kind}-{uuid.uuid4().hex}"
+
+
+def _texts(t):
+    key = text.content_key(C("text"))
+    return t.documents.select(
+        "doc_id", "source", C("lang").alias("domain"), key.alias("content_hash"), text.file_name(C("source"), F.lit("2024-01-08").cast("date"), key).alias("file_name"), "text",
+    )
+
+
+@query("k01_text_sink", "SELECT source, lang AS domain, source || '_20240108_' || substring(sha256(text), 1, 16) || '.txt' AS file_name, text FROM documents")
+def _(t):
+    to = folder(t, "texts")
+    corpus.write_texts(_texts(t), to)
+    return corpus.read_texts(t.spark, to).select("source", "domain", "file_name", "text")
+
+
+@query("k02_snapshot_sink", "SELECT sha256(url) AS content_hash, url, CAST(length(html) AS BIGINT) AS html_size FROM pages")
+def _(t):
+    to = folder(t, "snapshots")
+    corpus.write_snapshots(t.pages.select(text.url_key(C("url")).alias("content_hash"), "url", F.lit("pages").alias("source"), "html"), to)
+    return t.spark.read.parquet(to).select("content_hash", "url", F.length("html").cast("long").alias("html_size"))
+
+
+@query("k03_snapshot_record", """SELECT page_id, '{"url":' || to_json(url)::VARCHAR || ',"source":"pages","content_hash":"' || substring(sha256(html), 1, 16) || '","saved_at":"2024-01-08T00:00:00","html_size":' || length(html) || ',"compressed":true}' AS record FROM pages""")
+def _(t):
+    return t.pages.select("page_id", corpus.snapshot_record(C("url"), F.lit("pages"), text.content_key(C("html")), t.as_of, C("html")).alias("record"))
+
+
+@query("k04_content_link", "SELECT page_id, 'pages_20240108_' || substring(sha256(html), 1, 16) || '.txt' AS content_file, substring(sha256(html), 1, 16) || '.html.gz' AS snapshot_file FROM pages")
+def _(t):
+    p = t.pages.withColumn("content_hash", F.concat(text.content_key(C("html")), F.lit("|"), C("page_id").cast("string"))).withColumn("k", text.content_key(C("html")))
+    files = p.withColumn("file_name", text.file_name(F.lit("pages"), F.lit("2024-01-08").cast("date"), C("k"))).select("page_id", "content_hash", "file_name")
+    linked = corpus.content_links(files, p.select("content_hash", F.concat("k", F.lit(".html.gz")).alias("snapshot_file")), t.as_of)
+    return linked.select(F.split_part("content_hash", F.lit("|"), F.lit(2)).cast("long").alias("page_id"), "content_file", "snapshot_file")
+
+
+@query("k07_metric_append", "SELECT event_type AS metric_name, count(*) AS n, round(sum(value), 4) AS total, count(*) FILTER (event_id % 2 = 0) AS even FROM events GROUP BY 1")
+def _(t):
+    to = folder(t, "metrics")
+    rows = t.events.select(C("ts").cast("timestamp").alias("timestamp"), C("event_type").alias("metric_name"), C("value").alias("metric_value"), F.lit("s").alias("source"), F.to_json(F.struct((C("event_id") % 2).alias("odd"))).alias("additional_data"))
+    for odd in (0, 1):
+        corpus.write_metric(t.spark, to, rows.filter(F.get_json_object("additional_data", "$.odd") == str(odd)))
+    read = t.spark.read.parquet(to)
+    return read.groupBy("metric_name").agg(F.count("*").alias("n"), F.round(F.sum("metric_value"), 4).alias("total"), F.count_if(F.get_json_object("additional_data", "$.odd") == "0").alias("even"))
+
+
+@query("k10_lyrics_sink", f"WITH {X.SONGS_SQL} SELECT genre, artist, count(*) AS songs FROM songs WHERE success AND length({sql.strip('lyrics')}) >= 20 GROUP BY 1, 2")
+def _(t):
+    to = folder(t, "lyrics")
+    ok = t.songs.filter("success").withColumn("clean", text.clean_lyrics(C("lyrics"))).filter(F.length("clean") >= 20)
+    out = ok.select("genre", text.safe_name(C("artist")).alias("artist_dir"), "artist", text.safe_name(C("title")).alias("file_name"), F.array_join(text.sentences(C("clean")), "\n\n").alias("text"))
+    out.write.partitionBy("artist_dir").parquet(to)
+    return t.spark.read.parquet(to).groupBy("genre", "artist").agg(F.count("*").alias("songs"))
+
+
+@query("k11_result_dump", "SELECT source, CAST(least(count(*), 100) AS BIGINT) AS kept, count(*) AS total FROM documents GROUP BY source")
+def _(t):
+    to = folder(t, "results")
+    found = t.documents.groupBy("source").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
+    found.select("source", F.slice("ids", 1, 100).alias("urls"), F.size("ids").alias("total")).write.json(to)
+    return t.spark.read.schema("source string, urls array<bigint>, total bigint").json(to).select("source", F.size("urls").cast("long").alias("kept"), "total")
+
+
+@query("k12_console_report", f"SELECT 'tokens: ' || format('{{:,}}', CAST(sum(length(text) // 4) AS BIGINT)) || ' of {TARGET_TOKENS:,}' AS line FROM documents")
+def _(t):
+    return t.documents.agg(F.sum(text.token_estimate(C("text"))).alias("n")).select(F.concat(F.lit("tokens: "), F.format_number("n", 0), F.lit(f" of {TARGET_TOKENS:,}")).alias("line"))
+
+
+@query("k14_k15_tables", "SELECT * FROM (VALUES ('urls', 21, 'status'), ('performance_metrics', 5, 'metric_name'), ('sessions', 6, NULL), ('source_stats', 9, NULL), ('domain_yield', 6, NULL)) v(name, columns, partitioned_by)")
+def _(t):
+    made = [(name, len(t.spark.createDataFrame([], ddl).columns), ",".join(PARTITIONED_BY[name]) if name in PARTITIONED_BY else None) for name, ddl in TABLES.items()]
+    return t.spark.createDataFrame(made, "name string, columns int, partitioned_by string")
+
+
+@query("k13_rejects", "SELECT doc_id FROM documents WHERE length(regexp_replace(text, '\\s+', '', 'g')) < 5")
+def _(t):
+    rows = corpus.admitted(t.documents.select("doc_id", F.when(F.length(F.regexp_replace("text", r"\s+", "")) < 5, "").otherwise(F.concat("text", F.lit(" more than twenty characters"))).alias("text")))
+    return rows.filter("reject_reason is not null").select("doc_id")
+
+

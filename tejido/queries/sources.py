@@ -1 +1,143 @@
-"""Queries."""
+"""Readers applied to landed data that the driver's tables stand for."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import text, urls
+from ..plans import fixtures as X
+from ..sources import readers
+from . import query, sql
+
+C = F.col
+SETTINGS = """
+politeness: {user_agent: bot, request_delay: 1, timeout: 30}
+extraction: {}
+validation: {min_words: 5, min_sentences: 1}
+storage: {output_dir: out, state_db: state, snapshot_dir: snap}
+concurrency: {num_threads: 16}
+"""
+CATALOG = """
+sources:
+  - {name: gobierno, type: web, base_url: 'https://gob.example', urls: ['https://gob.example/a', 'https://gob.example/b'], crawl_depth: 3, respect_robots_txt: true}
+  - {name: foro, type: reddit, api_limit: 100, crawl_comments: true, start_urls: ['https://foro.example/']}
+  - {name: videos, type: youtube}
+"""
+
+
+@query("s01_config", "SELECT * FROM (VALUES ('concurrency', 1), ('extraction', 0), ('politeness', 3), ('storage', 3), ('validation', 2)) v(section, keys)")
+def _(t):
+    return t.spark.createDataFrame([(k, len(v or {})) for k, v in readers.config(SETTINGS).items()], "section string, keys int")
+
+
+@query("s02_source_catalog", "SELECT * FROM (VALUES ('gobierno', 'web', 3, NULL), ('foro', 'reddit', NULL, 100), ('videos', 'youtube', NULL, NULL)) v(name, type, crawl_depth, api_limit)")
+def _(t):
+    return readers.source_catalog(t.spark, CATALOG).select("name", "type", "crawl_depth", "api_limit")
+
+
+@query("s03_seeds", "SELECT * FROM (VALUES ('gobierno', 'https://gob.example/a'), ('gobierno', 'https://gob.example/b'), ('foro', 'https://foro.example/')) v(name, url)")
+def _(t):
+    return readers.seeds(readers.source_catalog(t.spark, CATALOG))
+
+
+@query("s06_channel_videos", "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS k FROM documents) WHERE k <= 50")
+def _(t):
+    landed = t.documents.select(F.to_json(F.struct("doc_id", "source")).alias("json")).select(F.from_json("json", "doc_id bigint, source string").alias("v")).select("v.*")
+    return landed.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(C("doc_id").desc()))).filter("k <= 50").drop("k")
+
+
+@query("s07_channel_id", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'UC' || doc_id WHEN 1 THEN 'h' || doc_id END AS handle FROM documents")
+def _(t):
+    i = C("doc_id").cast("string")
+    url = F.when(C("doc_id") % 3 == 0, F.concat(F.lit("https://youtube.com/channel/UC"), i, F.lit("?x=1"))).when(C("doc_id") % 3 == 1, F.concat(F.lit("https://www.youtube.com/@h"), i)).otherwise(F.lit("https://example.org/c/x"))
+    return t.documents.select("doc_id", urls.channel_handle(url).alias("handle"))
+
+
+CLEANED = f"regexp_replace(regexp_replace({sql.strip('line')}, '\\[.*?\\]', '', 'g'), '\\s+', ' ', 'g')"
+
+
+@query("s08_transcripts", f"WITH {X.SEGMENTS_SQL} SELECT doc_id AS video_id, coalesce(string_agg(cleaned, ' ' ORDER BY seq) FILTER (cleaned <> ''), '') AS text FROM (SELECT doc_id, seq, {CLEANED} AS cleaned FROM segments WHERE lang IN ('es', 'fr')) GROUP BY doc_id")
+def _(t):
+    own = t.segments.select(C("doc_id").alias("video_id"), "lang", "seq", C("line").alias("text"))
+    return readers.transcripts(own.unionByName(own.filter("lang = 'es'").withColumn("lang", F.lit("fr")).withColumn("text", F.lit("otra"))), ["es", "fr"])
+
+
+@query("s09_trending_videos", "SELECT doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS BIGINT) AS rank, n_chars AS views, CAST(NULL AS BIGINT) AS likes FROM documents")
+def _(t):
+    w = Window.partitionBy("source").orderBy(C("views").desc(), "doc_id")
+    v = t.documents.select("doc_id", "source", C("n_chars").cast("string").try_cast("bigint").alias("views"), F.lit("n/a").try_cast("bigint").alias("likes"))
+    return v.select("doc_id", F.row_number().over(w).cast("long").alias("rank"), "views", "likes")
+
+
+@query("s10_ranked_domains", f"WITH {X.DOMAINS_SQL} SELECT rank, domain FROM domains")
+def _(t):
+    lines = t.domains.select(F.concat(C("rank").cast("string"), F.lit(", "), F.upper("domain")).alias("value"))
+    bad = t.spark.createDataFrame([("no-comma",), ("x,y.example",)], "value string")
+    return readers.ranked_domains(lines.unionByName(bad))
+
+
+def _feeds(t):
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    date = F.when(C("published_date").isNotNull(), F.concat(F.lit("<pubDate>"), F.date_format(C("published_date").cast("timestamp"), "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("</pubDate>"))).otherwise("")
+    item = F.concat(F.lit("<item><title>"), esc(C("title")), F.lit("</title><link>"), F.when(C("event_id") % 7 != 0, C("url")).otherwise(""), F.lit("</link><category>"), "source", F.lit("</category>"), date, F.lit("<description>"), esc(C("description")), F.lit("</description></item>"))
+    dealt = t.feed.withColumn("part", F.floor(C("event_id") / 100))
+    return dealt.groupBy("source", "part").agg(F.concat(F.lit('<?xml version="1.0"?><rss><channel>\x01'), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("xml")).select("source", F.concat(F.lit("https://feed.example/"), C("part").cast("string")).alias("feed_url"), "xml")
+
+
+ENTRY = f"WITH {X.FEED_SQL} SELECT url, title, description, strftime(date_trunc('second', published_date), '%Y-%m-%d %H:%M:%S') AS published, source, url AS entry_id, source AS categories FROM feed WHERE event_id % 7 <> 0"
+
+
+@query("s11_feed_scan", ENTRY)
+def _(t):
+    e = readers.feed_entries(_feeds(t))
+    return e.select("url", "title", "description", F.date_format("published_date", "yyyy-MM-dd HH:mm:ss").alias("published"), "source", "entry_id", F.array_join("categories", ",").alias("categories"))
+
+
+@query("s12_feed_entry", f"SELECT source, count(*) AS entries, count(published) AS dated FROM ({ENTRY}) GROUP BY source")
+def _(t):
+    return readers.feed_entries(_feeds(t)).groupBy("source").agg(F.count("*").alias("entries"), F.count("published_date").alias("dated"))
+
+
+@query("s16_sitemap", "SELECT url FROM pages")
+def _(t):
+    loc = F.concat(F.lit("<url><loc> "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
+    maps = t.pages.groupBy(urls.host(C("url")).alias("host")).agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(loc), ""), F.lit("</urlset>")).alias("xml"))
+    return maps.select(F.explode(readers.sitemap_urls(C("xml"))).alias("url"))
+
+
+@query("s17_feed_links", f"WITH {X.FEED_SQL} SELECT DISTINCT url FROM feed WHERE event_id % 7 <> 0 AND {sql.valid('url', repr('feed.example.com'))}")
+def _(t):
+    found = readers.feed_entries(_feeds(t)).select("url").distinct()
+    return found.filter(urls.valid_link(C("url"), F.lit("feed.example.com")))
+
+
+@query("s18_pdf_text", "SELECT item_id, substring(regexp_replace(text, '[()\\\\]', ' ', 'g'), 1, 400) AS text FROM benchmark")
+def _(t):
+    shown = F.substring(F.regexp_replace("text", r"[()\\]", " "), 1, 400)
+    pdf = F.concat(F.lit("%PDF-1.4\n1 0 obj << >> stream\nBT ("), shown, F.lit(") Tj ET\nendstream endobj\n%%EOF")).cast("binary")
+    return t.benchmark.select("item_id", readers.pdf_text(pdf).alias("text"))
+
+
+@query("s19_corpus_scan", "SELECT doc_id, substring(sha256(text), 1, 16) AS content_hash FROM documents")
+def _(t):
+    path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), text.file_name(C("source"), F.lit("2024-01-01").cast("date"), text.content_key(C("text"))))
+    return t.documents.select("doc_id", readers.key_of_file(path).alias("content_hash"))
+
+
+@query("s20_byte_scan", "SELECT doc_id, true AS utf8, text FROM documents")
+def _(t):
+    raw = t.documents.select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    return raw.select("doc_id", F.is_valid_utf8(C("content").cast("string")).alias("utf8"), readers.decoded(C("content")).alias("text"))
+
+
+@query("v03_encoding", "SELECT doc_id, regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g') AS text FROM documents")
+def _(t):
+    latin = t.documents.select("doc_id", F.encode(F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "?"), "ISO-8859-1").alias("content"))
+    return latin.select("doc_id", readers.decoded(C("content")).alias("text"))
+
+
+@query("s23_robots_rules", "SELECT * FROM (VALUES ('a.example', '*', 'disallow', '/privado'), ('a.example', '*', 'allow', '/'), ('a.example', 'bot', 'disallow', '/x')) v(host, agent, rule, path)")
+def _(t):
+    lines = ["User-agent: *", "Disallow: /privado # no", "Allow: /", "User-Agent: Bot", "Disallow:", "Disallow: /x"]
+    return readers.robots_rules(t.spark.createDataFrame([("a.example", k, x) for k, x in enumerate(lines)], "host string, seq int, line string"))
