@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text, urls
 from ..schemas import TARGET_TOKENS
@@ -20,14 +19,18 @@ def new_rows(found: DataFrame, as_of: Column, discovered_from: str | None = None
 
 
 def first_of(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """One row for each key, the first in the order given."""
-    name = "rank_"
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) == 1).drop(name)
+    """One row for each key, the least in the order given. Rows are reduced in each task before the shuffle, so a key with many of them
+    is no burden."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    best = F.min_by(F.struct(*rest), F.struct(*[o.alias(f"o{k}") for k, o in enumerate(order)]))
+    return rows.groupBy(*keys).agg(best.alias("best_")).select(*keys, "best_.*").select(rows.columns)
 
 
 def absent(new: DataFrame, frontier: DataFrame, key: str = "url_hash") -> DataFrame:
     """Rows of new whose key the frontier lacks, one a key."""
-    return first_of(new, [key], F.col("priority_score").desc(), F.col("source")).join(frontier.select(key), key, "left_anti")
+    return first_of(new, [key], -F.col("priority_score"), F.col("source")).join(frontier.select(key), key, "left_anti")
 
 
 def insert_if_absent(frontier: DataFrame, new: DataFrame) -> DataFrame:
