@@ -252,7 +252,8 @@ def near_links(classes: DataFrame, radius: int = 4, lanes: int = 1) -> DataFrame
     pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("bucket", F.least(k, own), F.greatest(k, own)))
     groups = F.when(F.col("n").isNull(), F.array(F.col("bucket"))).otherwise(pairs)
     dealt = placed.join(large, "bucket", "left").select("id", "simhash", F.explode(groups).alias("group"))
-    spread = dealt.repartition("group").sortWithinPartitions("group")
+    # sorted by id too, a tree's root is the least id; the trees of most buckets then have the same links
+    spread = dealt.repartition("group").sortWithinPartitions("group", "id")
     return spread.mapInArrow(lambda batches: _compared(batches, radius), "a bigint, b bigint")
 
 
