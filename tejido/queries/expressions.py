@@ -146,7 +146,7 @@ over("a13_culture", docs, D, {"history": (lambda: scoring.culture(low(), nw())["
 toks_ = "regexp_extract_all(lower(text), '[\\pL\\pN]+')"
 sents_ = f"len(list_filter(list_transform(regexp_extract_all(text, '[^.!?…]+[.!?…]*'), lambda s: {sql.strip('s')}), lambda s: s <> ''))"
 subs_ = f"len(list_filter(toks, lambda t: list_contains({sql.array(L.SUBORDINATORS)}, t)))"
-pats_ = " + ".join("regexp_matches(text, " + sql.lit("(?i)" + p.replace(r"\b", r"(?:^|$|[^\pL\pN_])" if False else r"\b")) + ")::INT" for p in L.COMPLEX_PATTERNS)
+pats_ = " + ".join(f"regexp_matches(text, {sql.lit('(?i)' + p)})::INT" for p in L.COMPLEX_PATTERNS)
 cx = f"WITH b AS (SELECT doc_id, text, {toks_} AS toks, {sents_} AS sents FROM documents), m AS (SELECT doc_id, len(toks) AS n, sents, len(list_distinct(toks)) / greatest(len(toks), 1)::DOUBLE AS ttr, {pats_} AS patterns, {subs_} AS subs FROM b), s AS (SELECT *, CASE WHEN n > 0 AND sents > 0 THEN least(least(n / sents::DOUBLE / 25, 1) * 25 + ttr * 30 + least(patterns / sents::DOUBLE * 100, 20) + least(subs / sents::DOUBLE * 50, 25), 100) ELSE 0 END AS score FROM m)"
 over_cx = lambda: scoring.complexity(C("text"))
 register("a14_complexity", lambda t: t.documents.select("doc_id", over_cx().alias("c")).select("doc_id", F.round("c.avg_sentence_length", 6).alias("avg_sentence_length"), F.round("c.ttr", 6).alias("ttr"), "c.subordinates", F.round("c.score", 6).alias("score")), f"{cx} SELECT doc_id, round(CASE WHEN n > 0 AND sents > 0 THEN n / sents::DOUBLE ELSE 0 END, 6)::DOUBLE AS avg_sentence_length, round(CASE WHEN n > 0 AND sents > 0 THEN ttr ELSE 0 END, 6)::DOUBLE AS ttr, CAST(subs AS BIGINT) AS subordinates, round(score, 6)::DOUBLE AS score FROM s")
@@ -168,7 +168,7 @@ def _overall(t):
     return scored.select("doc_id", F.round(total, 4).alias("overall"), scoring.overall_confidence(F.round(total, 4)).alias("confidence"))
 
 
-register("a16_overall_quality", _overall, f"""{rich}, {cx.removeprefix('WITH b AS').replace(' FROM b)', ' FROM b2)').join(['b2 AS', ''])},
+register("a16_overall_quality", _overall, f"""{rich}, {cx.replace('WITH b AS', 'b2 AS').replace(' FROM b)', ' FROM b2)')},
  o AS (SELECT d.doc_id, round({dia} * 0.15 + {form} * 0.25 + s.score * 0.25 + {cult} * 0.15 + z.score * 0.20, 4)::DOUBLE AS overall FROM documents d JOIN z ON z.doc_id = d.doc_id JOIN s ON s.doc_id = d.doc_id)
  SELECT doc_id, overall, CASE WHEN overall >= 70 THEN 'high' WHEN overall >= 50 THEN 'medium' WHEN overall >= 30 THEN 'low' ELSE 'very_low' END AS confidence FROM o""")
 kind = f"CASE WHEN {h(L.PDF_ACADEMIC)} >= 3 THEN 'academic' WHEN {h(L.PDF_GOVERNMENT)} >= 2 THEN 'government' WHEN {sql.any_in(low_sql, L.PDF_LEGAL)} THEN 'legal' WHEN {sql.any_in(low_sql, L.PDF_MANUAL)} THEN 'manual' ELSE 'unknown' END"
@@ -183,7 +183,7 @@ over("a23_sizes", docs, D, {"content_size": (lambda: F.length("text").cast("long
 register("f27_geo_decision", lambda t: t.documents.select("doc_id", scoring.geography(C("text")).alias("g"), F.concat(F.lit("https://"), "source", F.lit(".example.com/")).alias("u")).select("doc_id", scoring.is_mexican(C("g"), C("u")).alias("mexican"), F.array_join(scoring.geo_reasons(C("g")), "; ").alias("reasons")), f"SELECT doc_id, score + {sql.url_score('url_')} >= 10 AS mexican, concat_ws('; ', CASE WHEN institutional > 0 THEN institutional || ' institutional markers' END, CASE WHEN regional > 0 THEN regional || ' regional indicators' END, CASE WHEN linguistic > 0 THEN linguistic || ' linguistic markers' END) AS reasons FROM ({geo})")
 
 # ---- validation and cleaning ----------------------------------------------------------------------------------------
-over("v05_action", docs, D, {"valid": (lambda: text.quality(C("text"))["is_valid"], "length(text) >= 50"), "action": (lambda: text.recommended(text.quality(C("text"))), "CASE WHEN length(text) < 50 THEN 'clean' ELSE 'keep' END")})
+register("v05_action", lambda t: t.documents.select("doc_id", text.recommended(text.quality(C("text"))).alias("action")), f"SELECT doc_id, CASE WHEN text_quality IN ('binary', 'corrupted') THEN 'delete' WHEN text_quality = 'poor' THEN 'review' WHEN issues <> '' THEN 'clean' ELSE 'keep' END AS action FROM ({sql.quality('text')})")
 clean_sql = sql.strip("regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(text), '�', ''), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'), '\\n\\s*\\n\\s*\\n+', chr(10) || chr(10), 'g'), '[ \\t]+', ' ', 'g')")
 over("v04_clean", docs, D, {"cleaned": (lambda: text.clean(C("text")), clean_sql)})
 over("v06_saver_gate", docs, D, {"refused": (lambda: F.length(text.clean(C("text"))) < 20, f"length({clean_sql}) < 20")})
@@ -197,5 +197,5 @@ over("v11_gazette_clean", docs, D, {"cleaned": (lambda: text.clean_gazette(F.con
 over("v12_legislature_clean", docs, D, {"cleaned": (lambda: text.clean_legislature(F.concat("text", F.lit("\n Artículo 5. Ley\nCapítulo IV"))), "ltrim(text, ' ' || chr(10)) || chr(10) || chr(10) || 'Artículo 5. Ley' || chr(10) || chr(10) || 'Capítulo IV'")})
 over("v13_lyrics_paragraphs", docs, D, {"paragraphs": (lambda: text.lyrics_paragraphs(F.split("text", "\n")), f"array_to_string(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda p: {sql.strip('p')}), lambda p: p <> ''), lambda p: CASE WHEN right(p, 1) IN ('.', '!', '?') THEN p ELSE p || '.' END), chr(10) || chr(10))")})
 over("v14_post_text", "conversations", cid, {"post": (lambda: text.post_text(C("role"), C("text")), f"CASE WHEN length({sql.strip('role || chr(10) || chr(10) || text')}) < 20 THEN '' ELSE {sql.strip('role || chr(10) || chr(10) || text')} END")})
-register("v01_text_quality", lambda t: t.documents.select("doc_id", text.quality(C("text")).alias("q")).select("doc_id", "q.text_quality", "q.is_valid", F.array_join("q.issues", "; ").alias("issues")))
-register("v02_looks_spanish", lambda t: t.documents.select("doc_id", text.looks_spanish(C("text")).alias("spanish")))
+register("v01_text_quality", lambda t: t.documents.select("doc_id", text.quality(C("text")).alias("q")).select("doc_id", "q.text_quality", "q.is_valid", F.array_join("q.issues", "; ").alias("issues")), sql.quality("text"))
+over("v02_looks_spanish", docs, D, {"spanish": (lambda: text.looks_spanish(C("text")), sql.looks_spanish("text"))})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..functions import lexicons as L
 
 
@@ -129,5 +131,32 @@ def domain_category(d: str, indicators: str) -> str:
 
 
 def looks_spanish(text: str) -> str:
-    total = " + ".join(matches(f"(' ' || replace(lower({text}), ' ', '  ') || ' ')", r"[^\pL\pN_]" + p.replace(r"\b", "") + r"[^\pL\pN_]") for p in L.FUNCTION_WORDS)
-    return f"({total})"
+    """Function words are whole tokens of letters, digits and underscores, so those are listed and looked up."""
+    terms = [w for p in L.FUNCTION_WORDS for w in p.removeprefix(r"\b(").removesuffix(r")\b").split("|")]
+    share = f"len(list_filter(regexp_extract_all(lower({text}), '[\\pL\\pN_]+'), lambda w: list_contains({array(terms)}, w))) / greatest({n_words(text)}, 1)::DOUBLE"
+    return f"({n_words(text)} > 0 AND {share} > 0.05 OR {chars_of(text, L.SPANISH_CHARS)} > 0)"
+
+
+def quality(text: str) -> str:
+    """The validation ladder: text_quality, is_valid, issues of `text`, from a row with the columns that its steps compare."""
+    sample = f"substring({text}, 1, 1000)"
+    pattern = " ".join(f"WHEN regexp_matches({sample}, {lit(re.sub(r'.u([0-9A-F]{4})', r'\\x{\1}', p))}) THEN {k}" for k, p in enumerate(L.BINARY_PATTERNS))
+    facts = (
+        f"SELECT doc_id, length({text}) AS n_all, length({sample}) AS n, CASE {pattern} END AS pattern, {chars_of(sample, L.PROBLEM_CHARS + r'\x{100}-\x{10FFFF}')} AS odd,"
+        f" {chars_of(sample, r'\pC\pZ')} - {chars_of(sample, ' \n\t\r')} AS unprintable, {matches(text, '�')} AS replaced, {chars_of(sample, r'\x00-\x08\x0B\x0C\x0E-\x1F')} AS controls,"
+        f" {chars_of(sample, L.SPANISH_CHARS)} AS spanish, {looks_spanish(sample)} AS looks FROM documents"
+    )
+    steps = (
+        "SELECT *, n_all < 50 AS short, pattern IS NOT NULL AS patterned, n > 50 AND odd / greatest(n, 1)::DOUBLE > 0.35 AS excess, (n - unprintable) / greatest(n, 1)::DOUBLE < 0.85 AS low, replaced > 20 AS lost"
+        f" FROM ({facts})"
+    )
+    level = (
+        "CASE WHEN short THEN 'too_short' WHEN patterned OR excess THEN 'binary' WHEN low OR lost THEN 'corrupted' WHEN spanish / greatest(n, 1)::DOUBLE >= 0.1 THEN 'good' WHEN looks THEN 'acceptable'"
+        " WHEN replaced > 5 OR controls > 5 THEN 'poor' ELSE 'acceptable' END"
+    )
+    issues = (
+        "concat_ws('; ', CASE WHEN short THEN 'too_short: ' || n_all || ' < 50' END, CASE WHEN NOT short AND patterned THEN 'binary_pattern_' || pattern || '_detected' END,"
+        " CASE WHEN NOT short AND NOT patterned AND excess THEN 'excessive_problematic_chars' END, CASE WHEN NOT short AND NOT patterned AND NOT excess AND low THEN 'low_printable_ratio' END,"
+        " CASE WHEN NOT (short OR patterned OR excess OR low) AND replaced > 5 THEN 'replacement_chars: ' || replaced END, CASE WHEN NOT (short OR patterned OR excess OR low OR lost) AND controls > 5 THEN 'control_chars: ' || controls END)"
+    )
+    return f"SELECT doc_id, text_quality, text_quality IN ('good', 'acceptable') AS is_valid, issues FROM (SELECT doc_id, {level} AS text_quality, {issues} AS issues FROM ({steps}))"
