@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..operators import corpus, frontier
+from ..operators import corpus, frontier, ranking
 from ..plans import fixtures as X
 from ..schemas import TARGET_TOKENS
 from . import query, sql
@@ -168,8 +167,8 @@ def _(t):
 
 @query("g10_running_counters", "SELECT doc_id, CAST(sum(n_chars // 4) OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS tokens, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS files FROM documents")
 def _(t):
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return t.documents.select("doc_id", F.sum(F.expr("n_chars div 4")).over(w).alias("tokens"), F.row_number().over(w).cast("long").alias("files"))
+    rows = t.documents.select("doc_id", "source", F.expr("n_chars div 4").alias("n"))
+    return ranking.rank(ranking.running(rows, "source", "doc_id", C("n"), "tokens"), "source", "doc_id", "files").select("doc_id", "tokens", "files")
 
 
 @query("g20_status_bundle", f"{W} SELECT f.total, f.total_tokens, s.sources, c.files FROM ({OVERALL}) f, (SELECT count(DISTINCT source) AS sources FROM frontier) s, (SELECT count(*) AS files FROM documents) c")

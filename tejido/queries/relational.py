@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import lexicons as L, text, urls
-from ..operators import corpus, frontier
+from ..operators import corpus, frontier, ranking
 from ..plans import fixtures as X
 from . import query, sql
 
@@ -186,8 +186,8 @@ def _(t):
 
 @query("w09_batch_folder", "SELECT doc_id, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 20 AS BIGINT) AS folder FROM documents")
 def _(t):
-    rank = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return t.documents.select("doc_id", corpus.folder_number(rank, 20).alias("folder"))
+    ranked = ranking.rank(t.documents.select("doc_id", "source"), "source", "doc_id", "rank")
+    return ranked.select("doc_id", corpus.folder_number(C("rank"), 20).alias("folder"))
 
 
 IND = sql.domain_indicators("domain")

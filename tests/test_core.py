@@ -189,3 +189,16 @@ def test_sql_functions(spark):
     register(spark)
     row = spark.sql("SELECT est_tokens('0123456789') t, url_priority('https://example.org/x') p, is_mexican_domain('www.gob.mx') m, html_text('<body><p>a</body>') h, word_count(' a  b ') w").first()
     assert tuple(row) == (2, 1.0, True, "a", 2)
+
+
+def test_ranks_over_strides(spark):
+    from tejido.operators import ranking
+
+    rows = spark.createDataFrame([(k, "hot" if k % 3 else None, k * 7 % 100) for k in range(300)], "i bigint, key string, v bigint")
+    found = {r.i: (r.total, r.rank) for r in ranking.rank(ranking.running(rows, "key", "i", F.col("v"), "total", stride=16), "key", "i", "rank", stride=16).collect()}
+    so_far = {}
+    for k in range(300):
+        key = bool(k % 3)
+        n, total = so_far.get(key, (0, 0))
+        so_far[key] = n, total = n + 1, total + k * 7 % 100
+        assert found[k] == (total, n)
