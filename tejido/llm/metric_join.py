@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import cut, spread_keys
-from .components import connected_components
-from .simhash import _unite
+from .components import connected_components, unite
 
 #: Members of a cell's part.
 ROWS = 4096
@@ -153,7 +152,7 @@ class Part:
             first = mask[:, columns].argmax(axis=0)
             self.links.append((rep[k : k + COLUMNS][columns], self.rep[first]))
             i, j = np.nonzero(mask[:, columns])
-            _unite(self.root, i, first[j])
+            unite(self.root, i, first[j])
 
     def end(self) -> Iterator[pa.RecordBatch]:
         made = lambda kind, a, b, n: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), *(pa.array(x.astype(np.int64)) for x in (a, b, n))], ["kind", "a", "b", "n"])

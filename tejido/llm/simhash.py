@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._shared import cut, slices
-from .components import connected_components
+from .components import connected_components, unite
 
 #: Seed of the shingles' hash.
 SEED = 42
@@ -178,27 +178,12 @@ def spanning(values: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.nd
             which, lane = np.nonzero(bits)
             i, j = rows[part[which]], words[part[which]] * 64 + lane
             good = (j > i) & (j < stop_of[i])
-            _unite(root, i[good], j[good])
+            unite(root, i[good], j[good])
         at = to
     tied = np.flatnonzero(root != np.arange(n))
     return tied, root[tied]
 
 
-def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    while True:
-        a, b = root[i], root[j]
-        apart = a != b
-        if not apart.any():
-            return
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = root[root]
-            if np.array_equal(up, root):
-                break
-            root[:] = up
-
-
 def block_choice(n: int, radius: int) -> int:
     """Blocks to cut 64 bits into, so that n random fingerprints leave about DENSITY to a bucket."""
     for blocks in range(radius + 1, 2 * radius + 5):
