@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from . import lexicons as L
-from .text import any_in, lexicon_hits, matches, n_words, sentences
+from .text import any_in, let, lexicon_hits, matches, n_words, sentences
 from .urls import url_score
 
 
@@ -21,15 +21,13 @@ def _full(text: Column, title: Column | None) -> Column:
 
 def geography(text: Column, title: Column | None = None) -> Column:
     """Struct of institutional, regional, linguistic, other, score and confidence. Patterns are matched in the text alone."""
-    lowered, raw = _full(text, title), F.coalesce(text, F.lit(""))
-    institutional, linguistic = lexicon_hits(lowered, L.INSTITUTIONS), lexicon_hits(lowered, L.VOCABULARY)
-    regional = lexicon_hits(lowered, L.STATES) + lexicon_hits(lowered, L.CITIES)
+    raw = F.coalesce(text, F.lit(""))
     other = sum((matches(raw, f"(?U){p}") for p in (L.PHONE, L.AREA_PHONE, L.POSTAL, L.PESOS, L.MEXICAN_PESOS)), F.lit(0))
-    score = 10 * institutional + 5 * regional + 3 * linguistic + 2 * other
-    return F.struct(
-        institutional.alias("institutional"), regional.alias("regional"), linguistic.alias("linguistic"), other.cast("long").alias("other"),
-        score.cast("long").alias("score"), geo_confidence(institutional, score).alias("confidence"),
-    )
+    found = let(_full(text, title), lambda t: F.struct(
+        lexicon_hits(t, L.INSTITUTIONS).alias("institutional"), (lexicon_hits(t, L.STATES) + lexicon_hits(t, L.CITIES)).alias("regional"), lexicon_hits(t, L.VOCABULARY).alias("linguistic"), other.cast("long").alias("other"),
+    ))
+    scored = let(found, lambda g: F.struct(g["institutional"].alias("institutional"), g["regional"].alias("regional"), g["linguistic"].alias("linguistic"), g["other"].alias("other"), (10 * g["institutional"] + 5 * g["regional"] + 3 * g["linguistic"] + 2 * g["other"]).alias("score")))
+    return let(scored, lambda g: F.struct(*[g[n].alias(n) for n in ("institutional", "regional", "linguistic", "other", "score")], geo_confidence(g["institutional"], g["score"]).alias("confidence")))
 
 
 def geo_confidence(institutional: Column, score: Column) -> Column:
@@ -47,37 +45,47 @@ def geo_reasons(geo: Column) -> Column:
 
 def region(text: Column) -> Column:
     """Struct of region, hits and confidence: the region with the most markers, the first of several, `unknown` without one."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    each = F.array(*[F.struct(lexicon_hits(lowered, terms).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, terms) in enumerate(L.REGIONS.items())])
-    best = F.array_max(each)
-    return F.struct(
+    each = let(F.lower(F.coalesce(text, F.lit(""))), lambda t: F.array(*[F.struct(lexicon_hits(t, terms).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, terms) in enumerate(L.REGIONS.items())]))
+    return let(F.array_max(each), lambda best: F.struct(
         F.when(best["n"] > 0, best["name"]).otherwise("unknown").alias("region"), best["n"].alias("hits"),
         F.when(best["n"] >= 3, "high").when(best["n"] >= 1, "medium").otherwise("low").alias("confidence"),
-    )
+    ))
+
+
+def _counts(lowered: Column, n: Column, lists: dict[str, list[str]], body) -> Column:
+    """body of the hits of each list and n, all evaluated once."""
+    found = let(lowered, lambda t: F.struct(*[lexicon_hits(t, terms).alias(name) for name, terms in lists.items()], n.alias("n_")))
+    return let(found, lambda c: body(c, F.greatest(c["n_"], F.lit(1))))
 
 
 def dialect(lowered: Column, n: Column) -> Column:
-    """Struct of hits and score of lower-cased text of n words."""
-    lexical, phrases, small = (lexicon_hits(lowered, t) for t in (L.DIALECT_WORDS, L.DIALECT_PHRASES, L.DIMINUTIVES))
-    total = lexical + phrases + small
-    density = total / F.greatest(n, F.lit(1)) * 1000
-    variety = F.least(lexical + phrases, F.lit(20)) / 20 * 100
-    return F.struct(lexical.alias("lexical"), phrases.alias("phrases"), small.alias("diminutives"), density.alias("density"), (variety * 0.6 + F.least(density, F.lit(10.0)) / 10 * 100 * 0.4).alias("score"))
+    """Struct of hits, density and score of lower-cased text of n words."""
+
+    def body(c: Column, n: Column) -> Column:
+        density = (c["lexical"] + c["phrases"] + c["diminutives"]) / n * 1000
+        variety = F.least(c["lexical"] + c["phrases"], F.lit(20)) / 20 * 100
+        return F.struct(*[c[k].alias(k) for k in ("lexical", "phrases", "diminutives")], density.alias("density"), (variety * 0.6 + F.least(density, F.lit(10.0)) / 10 * 100 * 0.4).alias("score"))
+
+    return _counts(lowered, n, {"lexical": L.DIALECT_WORDS, "phrases": L.DIALECT_PHRASES, "diminutives": L.DIMINUTIVES}, body)
 
 
 def formality(lowered: Column, n: Column) -> Column:
-    very, high, medium, academic = (lexicon_hits(lowered, t) for t in (L.FORMAL_VERY_HIGH, L.FORMAL_HIGH, L.FORMAL_MEDIUM, L.ACADEMIC_WORDS))
-    score = F.least((very * 4 + high * 3 + medium * 2 + academic * 2) / F.greatest(n, F.lit(1)) * 1000, F.lit(100.0))
-    level = F.when(score >= 30, "muy_alto").when(score >= 20, "alto").when(score >= 10, "medio").when(score >= 5, "bajo").otherwise("muy_bajo")
-    return F.struct(very.alias("very_high"), high.alias("high"), medium.alias("medium"), academic.alias("academic"), score.alias("score"), level.alias("level"))
+    def body(c: Column, n: Column) -> Column:
+        score = F.least((c["very_high"] * 4 + c["high"] * 3 + c["medium"] * 2 + c["academic"] * 2) / n * 1000, F.lit(100.0))
+        level = F.when(score >= 30, "muy_alto").when(score >= 20, "alto").when(score >= 10, "medio").when(score >= 5, "bajo").otherwise("muy_bajo")
+        return F.struct(*[c[k].alias(k) for k in ("very_high", "high", "medium", "academic")], score.alias("score"), level.alias("level"))
+
+    return _counts(lowered, n, {"very_high": L.FORMAL_VERY_HIGH, "high": L.FORMAL_HIGH, "medium": L.FORMAL_MEDIUM, "academic": L.ACADEMIC_WORDS}, body)
 
 
 def culture(lowered: Column, n: Column) -> Column:
-    history, arts, places = (lexicon_hits(lowered, t) for t in (L.HISTORY, L.CULTURE, L.GEOGRAPHY))
-    total = history + arts + places
-    balance = F.when((history > 0) & (arts > 0), 20).when(total > 0, 10).otherwise(0)
-    score = F.least(total / F.greatest(n, F.lit(1)) * 1000, F.lit(5.0)) / 5 * 60 + F.least(total, F.lit(15)) / 15 * 20 + balance
-    return F.struct(history.alias("history"), arts.alias("culture"), places.alias("geography"), score.alias("score"))
+    def body(c: Column, n: Column) -> Column:
+        total = c["history"] + c["culture"] + c["geography"]
+        balance = F.when((c["history"] > 0) & (c["culture"] > 0), 20).when(total > 0, 10).otherwise(0)
+        score = F.least(total / n * 1000, F.lit(5.0)) / 5 * 60 + F.least(total, F.lit(15)) / 15 * 20 + balance
+        return F.struct(*[c[k].alias(k) for k in ("history", "culture", "geography")], score.alias("score"))
+
+    return _counts(lowered, n, {"history": L.HISTORY, "culture": L.CULTURE, "geography": L.GEOGRAPHY}, body)
 
 
 def tokens(text: Column) -> Column:
@@ -87,16 +95,18 @@ def tokens(text: Column) -> Column:
 
 def complexity(text: Column) -> Column:
     """Struct of avg_sentence_length, ttr, patterns, subordinates and score; tokens stand for lemmas, sentences end at their marks."""
-    toks, sents = tokens(text), F.size(sentences(text))
-    n = F.size(toks)
-    ttr = F.size(F.array_distinct(toks)) / F.greatest(n, F.lit(1))
     patterns = sum((F.regexp_like(text, F.lit(f"(?iU){p}")).cast("int") for p in L.COMPLEX_PATTERNS), F.lit(0))
-    subs = F.size(F.filter(toks, lambda t: t.isin(*L.SUBORDINATORS)))
-    per = lambda v: v / F.greatest(sents, F.lit(1))
-    score = F.least(per(n) / 25, F.lit(1.0)) * 25 + ttr * 30 + F.least(per(patterns) * 100, F.lit(20.0)) + F.least(per(subs) * 50, F.lit(25.0))
-    some = (n > 0) & (sents > 0)
-    zero = lambda v: F.when(some, v).otherwise(F.lit(0.0))
-    return F.struct(zero(per(n)).alias("avg_sentence_length"), zero(ttr).alias("ttr"), patterns.cast("long").alias("patterns"), subs.cast("long").alias("subordinates"), zero(F.least(score, F.lit(100.0))).alias("score"))
+    found = let(tokens(text), lambda toks: F.struct(
+        F.size(toks).alias("n"), F.size(F.array_distinct(toks)).alias("kinds"), F.size(F.filter(toks, lambda t: t.isin(*L.SUBORDINATORS))).alias("subs"), F.size(sentences(text)).alias("sents"), patterns.alias("patterns"),
+    ))
+
+    def body(m: Column) -> Column:
+        ttr, per = m["kinds"] / F.greatest(m["n"], F.lit(1)), lambda v: v / F.greatest(m["sents"], F.lit(1))
+        score = F.least(per(m["n"]) / 25, F.lit(1.0)) * 25 + ttr * 30 + F.least(per(m["patterns"]) * 100, F.lit(20.0)) + F.least(per(m["subs"]) * 50, F.lit(25.0))
+        zero = lambda v: F.when((m["n"] > 0) & (m["sents"] > 0), v).otherwise(F.lit(0.0))
+        return F.struct(zero(per(m["n"])).alias("avg_sentence_length"), zero(ttr).alias("ttr"), m["patterns"].cast("long").alias("patterns"), m["subs"].cast("long").alias("subordinates"), zero(F.least(score, F.lit(100.0))).alias("score"))
+
+    return let(found, body)
 
 
 def _token_numbers(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

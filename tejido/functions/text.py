@@ -5,7 +5,7 @@ Java's \\w, \\s, \\d and \\b take in all of Unicode only under (?U), which the p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,13 +25,18 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.size(words(F.coalesce(text, F.lit("")))), F.lit(0)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is evaluated once; inside a lambda an expression would be evaluated for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lexicon_hits(lowered: Column, terms: list[str]) -> Column:
     """How many of the different terms are contained in lower-cased text."""
-    return F.size(F.filter(F.array(*map(F.lit, terms)), lambda k: F.contains(lowered, k))).cast("long")
+    return let(lowered, lambda t: F.size(F.filter(F.array(*map(F.lit, terms)), lambda k: F.contains(t, k))).cast("long"))
 
 
 def any_in(text: Column, terms: list[str]) -> Column:
-    return F.exists(F.array(*map(F.lit, terms)), lambda k: F.contains(text, k))
+    return let(text, lambda t: F.exists(F.array(*map(F.lit, terms)), lambda k: F.contains(t, k)))
 
 
 def matches(text: Column, pattern: str) -> Column:
