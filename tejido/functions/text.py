@@ -210,23 +210,31 @@ def quality(text: Column) -> Column:
 
     Steps look at the first 1000 characters, but for the replacement characters. Null counts as empty.
     """
-    text = F.coalesce(text, F.lit(""))
-    sample = F.substring(text, 1, 1000)
-    n = F.length(sample)
+    both = F.struct(F.coalesce(text, F.lit("")).alias("whole"), F.substring(F.coalesce(text, F.lit("")), 1, 1000).alias("sample"))
+    return let(let(both, lambda x: _facts(x["whole"], x["sample"])), _ladder)
+
+
+def _facts(whole: Column, sample: Column) -> Column:
+    """What the ladder's steps compare, each counted once."""
     pattern = F.coalesce(*[F.when(sample.rlike(p), F.lit(k)) for k, p in enumerate(L.BINARY_PATTERNS)])
-    odd = n_chars_of(sample, rf"{L.PROBLEM_CHARS}\x{{100}}-\x{{10FFFF}}")
-    unprintable = n_chars_of(sample, r"\p{C}\p{Z}") - n_chars_of(sample, r" \n\t\r")
-    replaced = matches(text, "�")
-    controls = n_chars_of(sample, r"\x00-\x08\x0B\x0C\x0E-\x1F")
-    spanish = n_chars_of(sample, L.SPANISH_CHARS) / F.greatest(n, F.lit(1))
-    short, binary = F.length(text) < 50, pattern.isNotNull()
-    excess = (n > 50) & (odd / F.greatest(n, F.lit(1)) > 0.35)
-    low = (n - unprintable) / F.greatest(n, F.lit(1)) < 0.85
+    return F.struct(
+        F.length(whole).alias("n_all"), F.length(sample).alias("n"), pattern.alias("pattern"), n_chars_of(sample, rf"{L.PROBLEM_CHARS}\x{{100}}-\x{{10FFFF}}").alias("odd"),
+        (n_chars_of(sample, r"\p{C}\p{Z}") - n_chars_of(sample, r" \n\t\r")).alias("unprintable"), matches(whole, "�").alias("replaced"), n_chars_of(sample, r"\x00-\x08\x0B\x0C\x0E-\x1F").alias("controls"),
+        n_chars_of(sample, L.SPANISH_CHARS).alias("spanish"), looks_spanish(sample).alias("looks"),
+    )
+
+
+def _ladder(m: Column) -> Column:
+    n, pattern, replaced, controls = m["n"], m["pattern"], m["replaced"], m["controls"]
+    spanish = m["spanish"] / F.greatest(n, F.lit(1))
+    short, binary = m["n_all"] < 50, pattern.isNotNull()
+    excess = (n > 50) & (m["odd"] / F.greatest(n, F.lit(1)) > 0.35)
+    low = (n - m["unprintable"]) / F.greatest(n, F.lit(1)) < 0.85
     lost = replaced > 20
     early = short | binary | excess | low
     issue = lambda when, text: F.when(when, text)
     issues = F.array_compact(F.array(
-        issue(short, F.concat(F.lit("too_short: "), F.length(text).cast("string"), F.lit(" < 50"))),
+        issue(short, F.concat(F.lit("too_short: "), m["n_all"].cast("string"), F.lit(" < 50"))),
         issue(~short & binary, F.concat(F.lit("binary_pattern_"), pattern.cast("string"), F.lit("_detected"))),
         issue(~short & ~binary & excess, F.lit("excessive_problematic_chars")),
         issue(~short & ~binary & ~excess & low, F.lit("low_printable_ratio")),
@@ -235,7 +243,7 @@ def quality(text: Column) -> Column:
     ))
     level = (
         F.when(short, "too_short").when(binary | excess, "binary").when(low | lost, "corrupted").when(spanish >= 0.1, "good")
-        .when(looks_spanish(sample), "acceptable").when((replaced > 5) | (controls > 5), "poor").otherwise("acceptable")
+        .when(m["looks"], "acceptable").when((replaced > 5) | (controls > 5), "poor").otherwise("acceptable")
     )
     return F.struct(
         level.alias("text_quality"), level.isin("good", "acceptable").alias("is_valid"), (~short & (binary | excess)).alias("is_binary"),
