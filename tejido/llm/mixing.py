@@ -2,23 +2,26 @@
 
 A source of weight w owes its i-th block no earlier than slot floor((i-1)/w) and before slot ceil(i/w); taking, in each
 slot, the released block with the earliest deadline keeps every source within less than one block of w times the number of
-slots at any time. Weights are whole shares of a period, so the schedule repeats: one period is
-scheduled once, and every block's slot follows from its number by arithmetic. No table is sorted as a whole,
-and no source is gathered in one task.
+slots at any time. Weights are taken as the fractions that they are, over the whole stream. The driver plans slots in turn, a row
+for each block of documents, and writes them as it goes; it holds a block of each source and PLANNED slots. No table is sorted
+as a whole, and no source is gathered in one task.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import cut, shuffle_width, spread_keys
+from ._shared import cut, scratch_path, shuffle_width, spread_keys
 
-#: Slots of a period; weights are rounded to whole shares of it. More sources than a quarter of it lengthen it.
+#: Slots of a period of shares(), which rounds weights to whole shares of it. More sources than a quarter of it lengthen it.
 PERIOD = 1024
 #: Documents of a block.
 BLOCK = 16
@@ -26,13 +29,17 @@ BLOCK = 16
 POWER = 0.9
 #: Documents that are ranked together.
 BUCKET = 4096
+#: Slots that the driver plans before it writes them.
+PLANNED = 1 << 20
 
 
 def shares(weights: dict[str | None, float], period: int = PERIOD) -> tuple[dict[str | None, int], int]:
-    """Whole shares of the period, one at least, by largest remainders; and the period, which grows with the sources."""
+    """Shares of a short period: the exact ones if there are such, or else whole shares of `period`, one at least, by largest
+    remainders; the period grows with the sources. mix() takes exact_shares()."""
+    share, least = exact_shares(weights)
+    if least <= period:
+        return share, least
     named = sorted(weights, key=lambda s: (s is not None, s or ""))
-    if any(weights[s] <= 0 for s in named):
-        raise ValueError("weights must be above 0")
     period = max(period, 4 * len(named))
     total = sum(Fraction(weights[s]) for s in named)
     exact = {s: Fraction(weights[s]) / total * period for s in named}
@@ -54,34 +61,72 @@ def shares(weights: dict[str | None, float], period: int = PERIOD) -> tuple[dict
     return out, period
 
 
-def schedule(share: dict[str | None, int], period: int) -> list[tuple[str | None, int, int]]:
-    """(source, i, slot) of one period: in each slot the released block with the earliest deadline; ties by name."""
-    names = sorted(share, key=lambda s: (s is not None, s or ""))
-    release = lambda k, i: (i * period) // share[names[k]]  # noqa: E731  of block i, from 0
-    deadline = lambda k, i: -(-((i + 1) * period) // share[names[k]])
-    coming = [(0, k, 0) for k in range(len(names))]
-    heapq.heapify(coming)
+def exact_shares(weights: dict[str | None, float]) -> tuple[dict[str | None, int], int]:
+    """The weights, as the decimals that they are written as, in whole shares of a period; it may be far longer than any stream."""
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be above 0")
+    exact = {s: Fraction(repr(float(w))) for s, w in weights.items()}
+    unit = math.lcm(*(w.denominator for w in exact.values()))
+    share = {s: int(w * unit) for s, w in exact.items()}
+    both = math.gcd(*share.values())
+    share = {s: v // both for s, v in share.items()}
+    return share, sum(share.values())
+
+
+def slots(share: dict[str | None, int], period: int) -> Iterator[tuple[int, int]]:
+    """(number of the source by name, i) of every slot, without end: the released block with the earliest deadline; ties by name."""
+    parts = [share[s] for s in sorted(share, key=lambda s: (s is not None, s or ""))]
+    coming = [(0, k, 0) for k in range(len(parts))]
     ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
+    slot = 0
+    while True:
         while coming and coming[0][0] <= slot:
             _, k, i = heapq.heappop(coming)
-            heapq.heappush(ready, (deadline(k, i), k, i))
+            heapq.heappush(ready, (-(-((i + 1) * period) // parts[k]), k, i))
         due, k, i = heapq.heappop(ready)
         assert slot < due
-        out.append((names[k], i, slot))
-        if i + 1 < share[names[k]]:
-            heapq.heappush(coming, (release(k, i + 1), k, i + 1))
-    return out
+        yield k, i
+        heapq.heappush(coming, ((i + 1) * period // parts[k], k, i + 1))
+        slot += 1
+
 
+def schedule(share: dict[str | None, int], period: int) -> list[tuple[str | None, int, int]]:
+    """(source, i, slot) of one period."""
+    names = sorted(share, key=lambda s: (s is not None, s or ""))
+    return [(names[k], i, slot) for slot, (k, i) in zip(range(period), slots(share, period))]
+
+
+def planned(spark: SparkSession, share: dict[str | None, int], period: int, blocks: list[int]) -> tuple[DataFrame, list[int]]:
+    """k, number, slot of all blocks until each source k has been seen whole, as a table in the scratch folder, and the blocks of each source."""
+    path = scratch_path(spark, "plan")
+    given, lacking, rows, at = [0] * len(blocks), len(blocks), ([], []), 0
+
+    def write() -> None:
+        columns = [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(range(at - len(rows[0]), at), pa.int64())]
+        spark.createDataFrame(pa.table(columns, names=["k", "number", "slot"])).write.mode("append").parquet(path)
+        rows[0].clear()
+        rows[1].clear()
+
+    for k, i in slots(share, period):
+        rows[0].append(k)
+        rows[1].append(i)
+        at += 1
+        given[k] = i + 1
+        lacking -= given[k] == blocks[k]
+        if not lacking or len(rows[0]) == PLANNED:
+            write()
+        if not lacking:
+            break
+    return spark.read.schema("k int, number bigint, slot bigint").parquet(path), given
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
     """doc_id, source, block, epoch, slot, place: where each document stands in the mixed stream.
 
     A source's documents are put into blocks of `block` in the order of a hash of doc_id; slot is the block's slot in the stream,
     place the document's within its block. The stream ends with the slot in which the last source has been seen
     whole, so no document is left out; sources that are through before begin anew (epoch 1 and on). Over any first t slots, a
-    source of share w has within less than one block of w t. Without weights, a source's weight is its number of
+    source of weight w (as a part of all weights) has within less than one block of w t. Without weights, a source's weight is its number of
     documents to the power POWER. A weight for a source that has no documents is passed over; a source with documents and no weight is an error.
     Null sources are one source. Repeated rows, and ties of the hash, are ranked in any order. No rows give no rows.
     """
@@ -95,19 +140,12 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
         weights = {s: float(n) ** POWER for s, n in sizes.items()}
     if lacking := [s for s in sizes if s not in weights]:
         raise ValueError(f"no weight for {lacking[:5]}")
-    share, period = shares({s: weights[s] for s in sizes}, period)
-    blocks = {s: -(-n // block) for s, n in sizes.items()}
-    plan = schedule(share, period)
-    slot_of: dict[str | None, list[int]] = {s: [] for s in share}
-    for s, _, slot in plan:
-        slot_of[s].append(slot)
-    # the slot after the one in which the last block of every source comes first
-    end = max((blocks[s] - 1) // share[s] * period + slot_of[s][(blocks[s] - 1) % share[s]] for s in share) + 1
-    # blocks of each source before that slot
-    given = {s: end // period * share[s] + sum(x < end % period for x in slot_of[s]) for s in share}
-    parts = {s: max(1, -(-n // BUCKET)) for s, n in sizes.items()}
-    table = spark.createDataFrame([(s, blocks[s], given[s], share[s], parts[s], slot_of[s]) for s in share], "of string, blocks bigint, given bigint, share bigint, parts int, slots array<bigint>")
-    known = rows.join(_small(table, period), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    share, period = exact_shares({s: weights[s] for s in sizes})
+    names = sorted(share, key=lambda s: (s is not None, s or ""))
+    blocks = [-(-sizes[s] // block) for s in names]
+    plan, given = planned(spark, share, period, blocks)
+    table = spark.createDataFrame([(k, s, blocks[k], given[k], max(1, -(-sizes[s] // BUCKET))) for k, s in enumerate(names)], "k int, of string, blocks bigint, given bigint, parts int")
+    known = rows.join(_small(table, len(names)), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     hashed = known.withColumn("hash", F.xxhash64(F.col("doc_id"), F.lit(17)))
     # a rank within a source: ranks within parts of the hash's range, plus the rows of all parts before
     within = hashed.withColumn("part", F.floor((F.shiftrightunsigned("hash", 33)) * F.col("parts") / F.lit(1 << 31)).cast("int"))
@@ -119,14 +157,13 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
     placed = ranked.withColumn("block", F.floor(rank / block)).withColumn("place", F.pmod(rank, F.lit(block)).cast("int"))
     last = F.floor((F.col("given") - 1 - F.col("block")) / F.col("blocks"))  # every block is given once at least
     each = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    number = F.col("epoch") * F.col("blocks") + F.col("block")
-    slot = F.floor(number / F.col("share")) * period + F.element_at("slots", (F.pmod(number, F.col("share")) + 1).cast("int"))
-    return each.select("doc_id", "source", "block", "epoch", slot.cast("long").alias("slot"), "place")
+    numbered = each.withColumn("number", F.col("epoch") * F.col("blocks") + F.col("block"))
+    return numbered.join(plan, ["k", "number"]).select("doc_id", "source", "block", "epoch", "slot", "place")
 
 
-def _small(table: DataFrame, period: int) -> DataFrame:
-    """Sent to every task while it has at most 16 times the usual period's slots; a shuffle beyond."""
-    return F.broadcast(table) if period <= 16 * PERIOD else table
+def _small(table: DataFrame, sources: int) -> DataFrame:
+    """Sent to every task while it has at most 16 times PERIOD sources; a shuffle beyond."""
+    return F.broadcast(table) if sources <= 16 * PERIOD else table
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:

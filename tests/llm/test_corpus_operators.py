@@ -189,6 +189,21 @@ def test_period_schedules_many_weights():
         assert sum(share.values()) == period and len(mixing.schedule(share, period)) == period
 
 
+def test_mixing_keeps_small_weights(spark):
+    from fractions import Fraction
+
+    rows = [(i, "t", "en", "hot" if i >= 24 else f"s{i % 6}", 1) for i in range(12_000)]
+    weights = {"hot": 1.0, **{f"s{k}": 1e-4 * (k + 1) for k in range(6)}}
+    found = mixing.mix(spark.createDataFrame(rows, DOCS), weights, block=4).select("slot", "source").distinct().collect()
+    of = {r.slot: r.source for r in found}
+    assert sorted(of) == list(range(len(found))) and len(found) > 8000
+    exact = {s: Fraction(repr(w)) for s, w in weights.items()}
+    total, given = sum(exact.values()), dict.fromkeys(weights, 0)
+    for t in range(len(of)):
+        given[of[t]] += 1
+        assert all(abs(given[s] - w / total * (t + 1)) < 1 for s, w in exact.items())
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(120, 8))
