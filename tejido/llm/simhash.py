@@ -9,6 +9,9 @@ half-way. Buckets beyond ROWS rows are cut into parts, and every two parts meet
 Fingerprints of 64 bits tell copies with few changes; for a likeness of 0.8 of five-word shingles they are too short, as a tenth and more
 of the bits differ. Wide fingerprints, of several hashes for each shingle, tell those from chance; their buckets are samples
 of bits, enough of them that a pair within the radius misses all buckets with a probability of MISS at most.
+
+Bits only name candidates where documents are deleted: keep_first() counts the shingles that texts have in common. Candidates that
+hang together are cut into parts, and every two parts meet in a task, which ties those texts that are alike enough.
 """
 
 from __future__ import annotations
@@ -39,6 +42,10 @@ DENSITY = 8.0
 MISS = 0.1
 #: Least bits of a sample, and rows of a bucket, on average, from which samples grow.
 SAMPLE, WIDE_DENSITY = 12, 1024
+#: Share of shingles, of those that either text has, which near copies have in common.
+LIKENESS = 0.8
+#: Least texts of a part of candidates that are verified in one place, and parts that candidates are cut into while parts are small.
+PART, PARTS = 128, 32
 _LANES = np.uint64(0x0101010101010101)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -61,7 +68,10 @@ def fingerprint_text(text: str | None, words: int = 4) -> int:
 
 def wide_fingerprint(text: str | None, words: int, lanes: int) -> list[int]:
     """64 bits a lane; the first is that of fingerprint_text(), the others are of further hashes, mixed from its hashes."""
-    h = shingle_hashes(text, words)
+    return wide_majority(shingle_hashes(text, words), lanes)
+
+
+def wide_majority(h: np.ndarray, lanes: int) -> list[int]:
     out = [majority(h)]
     for k in range(1, lanes):
         x = h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
@@ -275,10 +285,10 @@ def _tied(rows: list[np.ndarray], radius: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids[i], pa.int64()), pa.array(ids[j], pa.int64())], ["a", "b"])
 
 
-def _labelled(docs: DataFrame, radius: int, words: int, doc_id: str, text: str, lanes: int = 1) -> tuple[DataFrame, DataFrame]:
-    prints = cut(fingerprint(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), words, lanes=lanes).drop("text"), "prints")
+def _labelled(docs: DataFrame, radius: int, words: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    prints = cut(fingerprint(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), words).drop("text"), "prints")
     classes = cut(prints.groupBy("simhash").agg(F.min("doc_id").alias("id")), "classes")
-    linked = connected_components(near_links(classes.filter("id is not null"), radius, lanes))
+    linked = connected_components(near_links(classes.filter("id is not null"), radius))
     named = classes.join(linked, classes.id == linked.node, "left").select("simhash", F.coalesce("component", "id").alias("component_id"))
     return prints, prints.join(named, "simhash").select("doc_id", "simhash", "component_id")
 
@@ -298,15 +308,113 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return components(docs).select("doc_id", F.lower(F.concat(*[F.substring(F.hex("simhash"), 15 - 2 * k, 2) for k in range(8)])).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, radius: int = 52, words: int = 5, lanes: int = 4) -> DataFrame:
+def _shingle_sets(docs: DataFrame, words: int, lanes: int) -> DataFrame:
+    """doc_id, simhash, shingles (128 bits of the set of its shingles) of docs (doc_id, text). A shingle counts once in the simhash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                prints, keys = [], []
+                for t in part.column("text").to_pylist():
+                    hashes = np.unique(shingle_hashes(t, words))
+                    prints.append(np.array(wide_majority(hashes, lanes), np.uint64).tobytes())
+                    keys.append(set_key(hashes))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "simhash", "shingles"])
+
+    return docs.mapInArrow(run, "doc_id bigint, simhash binary, shingles binary")
+
+
+def _alike(docs: DataFrame, radius: int, words: int, lanes: int, likeness: float) -> tuple[DataFrame, DataFrame]:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prints = cut(_shingle_sets(rows, words, lanes), "prints")
+    classes = cut(prints.groupBy("shingles").agg(F.min("doc_id").alias("id"), F.min("simhash").alias("simhash")), "classes")
+    named = classes.filter("id is not null")
+    candidates = connected_components(near_links(named.select("id", "simhash"), radius, lanes))
+    members = named.join(candidates, named.id == candidates.node).select("component", "id", "simhash", "shingles")
+    texts = rows.withColumnRenamed("doc_id", "id")
+    linked = connected_components(verified(members.join(texts, "id"), words, radius, likeness))
+    leads = classes.join(linked, classes.id == linked.node, "left").select("shingles", F.coalesce("component", "id").alias("component_id"))
+    return prints, prints.join(leads, "shingles").select("doc_id", "component_id")
+
+
+def set_key(hashes: np.ndarray) -> bytes:
+    """128 bits of a set of distinct shingle hashes."""
+    return xxhash.xxh3_128_digest(np.sort(hashes).tobytes())
+
+
+def alike(texts: list[np.ndarray], values: np.ndarray, radius: int, likeness: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (row, root) that tie together texts (sorted, distinct shingle hashes) within the radius whose Jaccard likeness is at
+    least `likeness`. Pairs that are tied already are passed over."""
+    n = len(texts)
+    root = np.arange(n)
+    size = np.array([len(t) for t in texts], np.int64)
+    number = np.unique(np.concatenate(texts), return_inverse=True)[1] if n else np.empty(0, np.int64)  # shingles as 0, 1, ...
+    ends = np.cumsum(size)
+    own = np.zeros(int(number.max(initial=-1)) + 1, bool)
+    bits = values.view(np.uint8)
+    for i in range(n - 1):
+        near = np.flatnonzero(np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64) <= radius) + i + 1
+        near = near[(root[near] != root[i]) & (np.minimum(size[near], size[i]) >= likeness * np.maximum(size[near], size[i]))]
+        if not len(near):
+            continue
+        mine = number[ends[i] - size[i] : ends[i]]
+        own[mine] = True
+        for j in near.tolist():
+            if root[i] != root[j]:
+                both = int(own[number[ends[j] - size[j] : ends[j]]].sum())
+                if both >= likeness * (size[i] + size[j] - both):
+                    low, high = sorted((int(root[i]), int(root[j])))
+                    root[root == high] = low
+        own[mine] = False
+    tied = np.flatnonzero(root != np.arange(n))
+    return tied, root[tied]
+
+
+def verified(members: DataFrame, words: int, radius: int, likeness: float) -> DataFrame:
+    """a, b (bigint): links among members (component, id, simhash, shingles, text) of one component that join up all that are alike. Components
+    are cut into parts of PART members, or more if there are over PARTS parts, and every two parts meet in a task."""
+    most = F.greatest(F.lit(PART), F.least(F.lit(ROWS), F.ceil(F.col("n") / PARTS)))
+    counts = members.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1")
+    parts = F.ceil(F.col("n") / most).cast("int")
+    own = F.pmod(F.xxhash64("id"), parts).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("component", F.least(k, own), F.greatest(k, own)))
+    dealt = members.join(counts, "component").withColumn("group", F.explode(pairs)).select("group", "id", "simhash", "shingles", "text")
+    spread = dealt.repartition("group").sortWithinPartitions("group", "id")
+
+    def tie(group: list[tuple]) -> pa.RecordBatch:
+        ids, prints, texts = zip(*group, strict=True)
+        i, j = alike(list(texts), np.array([np.frombuffer(p, np.uint64) for p in prints]), radius, likeness)
+        ids = np.array(ids, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group = None, []
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for g, i, p, key, text in zip(*(part.column(c).to_pylist() for c in ("group", "id", "simhash", "shingles", "text")), strict=True):
+                    if g != now:
+                        if len(group) > 1:
+                            yield tie(group)
+                        now, group = g, []
+                    hashes = np.unique(shingle_hashes(text, words))
+                    if set_key(hashes) == key:  # else another row of a repeated id
+                        group.append((i, p, hashes))
+        if len(group) > 1:
+            yield tie(group)
+
+    return spread.mapInArrow(run, "a bigint, b bigint")
+
+
+def keep_first(docs: DataFrame, radius: int = 52, words: int = 5, lanes: int = 4, likeness: float = LIKENESS) -> DataFrame:
     """One document of each component, that with the least doc_id, all columns; rows without an id stay.
 
-    Of 256 bits, texts that have 0.8 of their five-word shingles in common differ in 39 on average, with a deviation of 6, and
-    unrelated ones in 128 with a deviation of 8; the radius lies two deviations above the former.
+    Texts are linked if they have `likeness` of their distinct five-word shingles in common. Of 256 bits, such texts differ in 39 on
+    average, with a deviation of 6, and unrelated ones in 128 with a deviation of 8; those within the radius, two deviations above the
+    former, are candidates, and their shingles are counted.
 
     Rows of one doc_id are one document: it stays if any of them leads its component, with each of its texts once.
     """
-    prints, found = _labelled(docs, radius, words, "doc_id", "text", lanes)
+    prints, found = _alike(docs, radius, words, lanes, likeness)
     lead = F.max(F.col("doc_id") == F.col("component_id"))
     gone = found.groupBy("doc_id").agg(lead.alias("leads")).filter("not leads").select("doc_id")
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)

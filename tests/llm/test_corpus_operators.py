@@ -108,6 +108,29 @@ def test_near_dedup_stage(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "9", "None"]
 
 
+def test_near_dedup_stage_against_jaccard(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART", 8)
+    rng = random.Random(12)
+    texts = []
+    for k in range(12):
+        base = prose(300 + k, 200).split()
+        texts.append(base)
+        for share in (0.5, 0.6, 0.7, 0.74, 0.77, 0.84, 0.9):  # a shared passage at the start; the rest is new
+            n = round(200 * 2 * share / (1 + share))
+            texts.append(base[:n] + prose(rng.randrange(10**6), 200 - n).split())
+    order = rng.sample(range(len(texts)), len(texts))
+    texts = [" ".join(texts[k]) for k in order]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    lead = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((lead[i], lead[j]))
+                lead = [low if v == high else v for v in lead]
+    kept = simhash.keep_first(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(lead))
+
+
 def test_passages(spark):
     shared, fuzzy = prose(20, 70), prose(21, 80).split()
     changed = fuzzy[:]
