@@ -167,6 +167,30 @@ def test_every_shared_run_is_found(spark):
         seen |= has
 
 
+def test_runs_are_found_whose_parts_are_common(spark):
+    one, two = prose(500, 30), prose(501, 30)
+    texts = [one, two, one + " " + two, one, two, one + " " + two]  # each part's first and last holders before 5 lack the other part
+    texts = [f"{prose(510 + k, 40)} {t} {prose(520 + k, 40)}" for k, t in enumerate(texts)]
+    found = substring_dedup.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert any((r.first_id, r.doc_id, r.start, r.stop, r.n_same) == (2, 5, 40, 100, 60) for r in found)
+
+
+def test_every_word_of_a_repeated_run_is_covered(spark):
+    rng = random.Random(13)
+    pieces = [prose(600 + k, 17) for k in range(12)]
+    texts = [" ".join(x for k in range(12) for x in (rng.choice(pieces), *([prose(7000 + 100 * i + k, 9)] if rng.random() < 0.2 else []))) for i in range(60)]
+    found = substring_dedup.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    seen, met = set(), 0
+    for i, words in enumerate(map(str.split, texts)):
+        windows = [tuple(words[k : k + 50]) for k in range(len(words) - 49)]
+        covered = {k for r in found if r.doc_id == i for k in range(r.start, r.stop)}
+        for k in (k for k, w in enumerate(windows) if w in seen):
+            met += 1
+            assert covered >= set(range(k, k + 50))
+        seen |= set(windows)
+    assert met
+
+
 def test_fenwick_chain_is_the_best():
     rng = random.Random(4)
     for _ in range(40):
