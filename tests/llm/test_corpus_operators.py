@@ -191,6 +191,18 @@ def test_every_word_of_a_repeated_run_is_covered(spark):
     assert met
 
 
+def test_later_copies_in_a_document_are_found(spark):
+    base = prose(700, 80).split()
+    copies = [base[:], base[:], base[:]]
+    for k, at in enumerate((11, 37, 62)):
+        copies[k][at] = copies[k][at - 7] = f"other{k}"
+    y = " ".join(" ".join([*c, prose(710 + k, 30)]) for k, c in enumerate(copies))
+    df = spark.createDataFrame([(1, prose(720, 30) + " " + " ".join(base)), (2, y)], "doc_id bigint, text string")
+    found = substring_dedup.passages(df).collect()
+    for k in range(3):
+        assert any(r.doc_id == 2 and r.start <= 110 * k + 8 and r.stop >= 110 * k + 72 for r in found)
+
+
 def test_fenwick_chain_is_the_best():
     rng = random.Random(4)
     for _ in range(40):
