@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,6 +43,12 @@ def drop_cut(df: DataFrame) -> None:
     delete(df.sparkSession, df._tejido_path)
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files that no table needs any more go now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
