@@ -109,7 +109,7 @@ def test_near_dedup_stage(spark):
 
 
 def test_near_dedup_stage_against_jaccard(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "PART", 8)
+    monkeypatch.setattr(simhash, "PART", 8, raising=False)
     rng = random.Random(12)
     texts = []
     for k in range(12):
