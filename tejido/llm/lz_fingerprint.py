@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import shuffle_width, slices, spread_keys
@@ -26,25 +26,32 @@ _MUL = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Parser:
-    """An LZ78 parse that can go on with more text, or be copied and go on in two ways."""
-
-    def __init__(self, seen: set[str] | None = None, open_: str = ""):
-        self.seen, self.open = set() if seen is None else seen, open_
-
-    def feed(self, text: str) -> list[str]:
-        """The phrases that end within text."""
-        seen, phrase, out = self.seen, self.open, []
-        for c in text:
-            phrase += c
-            if phrase not in seen:
-                seen.add(phrase)
-                out.append(phrase)
-                phrase = ""
-        self.open = phrase
+    """An LZ78 parse as a trie of phrases. It can go on with more text, and take back what it has learnt to go on in another way."""
+
+    def __init__(self):
+        self.root: dict = {}
+        self.node = self.root  # of the phrase that is open
+
+    def cuts(self, text: str, start: int = 0, learnt: list | None = None) -> list[int]:
+        """Where phrases end in text, read from `start` on; new phrases are added to `learnt` as (node, character)."""
+        root, node, out = self.root, self.node, []
+        for at, c in enumerate(text[start:] if start else text, start + 1):
+            below = node.get(c)
+            if below is None:
+                node[c] = {}
+                out.append(at)
+                if learnt is not None:
+                    learnt.append((node, c))
+                node = root
+            else:
+                node = below
+        self.node = node
         return out
 
-    def copy(self) -> Parser:
-        return Parser(set(self.seen), self.open)
+    def feed(self, text: str) -> list[str]:
+        """The phrases of a text, from the first on."""
+        ends = self.cuts(text)
+        return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def _inverse() -> np.uint64:
@@ -64,21 +71,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def phrase_hashes(phrases: list[str]) -> np.ndarray:
-    """32-bit hashes of phrases: a polynomial over their code points, mixed."""
+def phrase_hashes(text: str, ends: list[int], start: int = 0) -> np.ndarray:
+    """32-bit hashes of the phrases of text that follow each other from `start` on: a polynomial over their code points, mixed."""
+    edges = np.array([start, *ends], np.int64)
     out, k = [], 0
-    while k < len(phrases):
-        stop, size = k, 0
-        while stop < len(phrases) and (size == 0 or size < STRETCH):
-            size += len(phrases[stop])
-            stop += 1
-        part = phrases[k:stop]
-        points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    while k < len(ends):
+        stop = max(k + 1, int(np.searchsorted(edges, edges[k] + STRETCH, side="right")) - 1)
+        points = np.frombuffer(text[edges[k] : edges[stop]].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
         up, down = powers(len(points))
-        ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
-        starts = np.concatenate([[0], ends[:-1]])
+        at = edges[k : stop + 1] - edges[k]
         sums = np.concatenate([[np.uint64(0)], np.cumsum(points * up[: len(points)])])
-        h = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+        h = np.diff(sums[at]) * down[at[:-1]] + np.diff(at).astype(np.uint64)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0x9FB21C651E98DF25)
         h ^= h >> np.uint64(29)
@@ -107,7 +110,7 @@ def likeness(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
 
 def fingerprint_text(text: str | None) -> np.ndarray:
     """Fingerprint of a text. What the text's end leaves open has been a phrase before and adds none."""
-    return bottom(phrase_hashes(Parser().feed(text or "")))
+    return bottom(phrase_hashes(text or "", Parser().cuts(text or "")))
 
 
 def to_hex(fingerprint: np.ndarray) -> str:
@@ -154,13 +157,11 @@ def edit_ring(docs: DataFrame) -> DataFrame:
     comes before all. A null text counts as empty. A single document is its own next.
     """
     spark = docs.sparkSession
-    n = shuffle_width(spark) * 2
+    n = shuffle_width(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.select("doc_id")
-    edges = sorted(set(ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n).alias("q")).first().q or []))
-    bounds = F.array(*[F.lit(e).cast("long") for e in edges]).cast("array<bigint>")
-    place = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id"))), F.lit(0))  # of null: the first range
-    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(place)
+    edges = sorted(set(ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n).alias("q")).first().q or [])) if n > 1 else []
+    place = below(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), edges)
     # one row a range: its least doc_id
     found = ids.select(place.alias("range"), "doc_id").groupBy("range").agg(F.min(F.struct("doc_id")).getField("doc_id").alias("least")).collect()
     first = {r["range"]: NULL_ID if r["least"] is None else r["least"] for r in found}
@@ -177,6 +178,15 @@ def edit_ring(docs: DataFrame) -> DataFrame:
     return dealt.drop("key").sortWithinPartitions("range", "tail", "doc_id", "text").mapInArrow(_ring, RING)
 
 
+def below(value: Column, edges: list[int]) -> Column:
+    """How many of the sorted edges are at most value, by halving."""
+    top = 1 << len(edges).bit_length()
+    listed = F.array(*[F.lit(e).cast("long") for e in edges], *[F.lit(2**63 - 1).cast("long")] * (top - len(edges)))
+    steps = F.array(*[F.lit(top >> k) for k in range(1, top.bit_length())]) if top > 1 else F.array().cast("array<int>")
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) <= value, at + step).otherwise(at))
+    return F.least(found, F.lit(len(edges)))
+
+
 #: Stands for a null doc_id where it is compared.
 NULL_ID = -(2**63)
 RING = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -184,13 +194,16 @@ RING = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,
 
 def _both(text: str, follower: str) -> tuple[str, np.ndarray, np.ndarray]:
     """SHA-256 of the edited text, and the fingerprints of text and edited text, whose common start is parsed once."""
-    stays, end, start = edited(text, follower)
-    one = Parser()
-    common = phrase_hashes(one.feed(stays))
-    two = one.copy()
-    own = bottom(np.concatenate([common, phrase_hashes(one.feed(end))]))
-    other = bottom(np.concatenate([common, phrase_hashes(two.feed(start))]))
-    return hashlib.sha256((stays + start).encode("utf-8", "surrogatepass")).hexdigest(), own, other
+    stays, _, start = edited(text, follower)
+    parser, learnt = Parser(), []
+    ends = parser.cuts(stays)
+    common, node, at = phrase_hashes(stays, ends), parser.node, ends[-1] if ends else 0
+    own = bottom(np.concatenate([common, phrase_hashes(text, parser.cuts(text, len(stays), learnt), at)]))
+    for above, c in reversed(learnt):
+        del above[c]
+    changed, parser.node = stays + start, node
+    other = bottom(np.concatenate([common, phrase_hashes(changed, parser.cuts(changed, len(stays)), at)]))
+    return hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), own, other
 
 
 def _ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
