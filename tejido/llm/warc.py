@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import scratch_path
+from ._shared import cut, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are stored again rather than referred to.
@@ -29,8 +29,8 @@ LEAST_REVISIT = 1000
 SPLIT = 16 << 20
 #: Bytes read or handed on at once.
 BLOCK = 1 << 20
-#: A header block is no longer than this.
-HEAD = 64 << 10
+#: Bytes that are inflated at once to see whether a member begins a record.
+HEAD = 16 << 10
 #: Records are dated so unless a column says otherwise; the same input gives the same archive.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -56,12 +56,11 @@ def roles(pages: DataFrame, page_id: str = "page_id", html: str = "html", least:
     """
     payload, digest = F.coalesce(F.encode(F.col(html), "UTF-8"), F.lit(b"")), F.sha1("payload")
     rows = pages.withColumn("payload", payload).withColumn("payload_digest", digest)
-    # only digests that come more than once can be referred to; the sums are made in each task before the shuffle
-    large = pages.select(page_id, payload.alias("payload")).filter(F.octet_length("payload") >= least).select(page_id, digest.alias("payload_digest"))
-    latest = large.groupBy("payload_digest").agg(F.max(page_id).alias("latest"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    joined = rows.join(latest, "payload_digest", "left")
-    old = (F.octet_length("payload") >= least) & (F.col(page_id) < F.col("latest"))
-    return joined.withColumn("refers_to", F.when(old, F.col("latest"))).drop("latest")
+    # digests meet without payloads; payloads then meet their revisits by page, a key that no page shares with others
+    large = pages.select(F.col(page_id).alias("page_id"), payload.alias("payload")).filter(F.octet_length("payload") >= least).select("page_id", digest.alias("payload_digest"))
+    latest = large.groupBy("payload_digest").agg(F.max("page_id").alias("latest"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    old = large.join(latest, "payload_digest").filter("page_id < latest").select(F.col("page_id").alias("of"), F.col("payload_digest").alias("as"), F.col("latest").alias("refers_to")).distinct()
+    return rows.drop("refers_to").join(old, (F.col(page_id) == F.col("of")) & (F.col("payload_digest") == F.col("as")), "left").drop("of", "as")
 
 
 def record(kind: str, page: str, url: str, payload: bytes, digest: str, refers_to: str | None) -> bytes:
@@ -115,8 +114,7 @@ def write(rows: DataFrame, folder: str, page_id: str = "page_id", url: str = "ur
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{path}"]), pa.array([length]), pa.array([n])], ["path", "length", "n_records"])
 
     named = rows.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), "payload", "payload_digest", F.col("refers_to").alias("refers_to"))
-    written = named.mapInArrow(run, "path string, length bigint, n_records bigint").collect()  # one row a file
-    return rows.sparkSession.createDataFrame([tuple(r) for r in written], "path string, length bigint, n_records bigint")
+    return cut(named.mapInArrow(run, "path string, length bigint, n_records bigint"), "files")
 
 
 class Window:
@@ -137,16 +135,24 @@ class Window:
 
 
 def head_of(window: Window, at: int) -> bool:
-    """Whether a gzip member of a WARC record begins at a place: it inflates to a version line and a whole header."""
-    data = window.bytes_at(at, HEAD)
+    """Whether a gzip member of a WARC record begins at a place: it inflates to a version line and a whole header, however long."""
+    unpack, text, here, seen = zlib.decompressobj(31), bytearray(), at, 0
     try:
-        text = zlib.decompressobj(31).decompress(data, HEAD)
+        while not unpack.eof:
+            data = window.bytes_at(here, HEAD)
+            if not data:
+                return False
+            text += unpack.decompress(data)
+            here += len(data)
+            if not text.startswith(b"WARC/"[: len(text)]):
+                return False
+            end = text.find(b"\r\n\r\n", max(0, seen - 3))
+            if end > 0:
+                return b"\r\nWARC-Type:" in text[:end] and b"\r\nContent-Length:" in text[:end]
+            seen = len(text)
     except zlib.error:
-        return False
-    if not text.startswith(b"WARC/"):
-        return False
-    end = text.find(b"\r\n\r\n")
-    return end > 0 and b"\r\nWARC-Type:" in text[:end] and b"\r\nContent-Length:" in text[:end]
+        pass
+    return False
 
 
 def find_member(window: Window, at: int, stop: int) -> int | None:
@@ -223,7 +229,7 @@ def read(files: DataFrame, split: int = SPLIT) -> DataFrame:
     """path, offset, record_type, headers (names in lower case), payload of every record of files (path, length)."""
     ranges = files.filter("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"))
     n = int(files.agg(F.sum(F.ceil(F.col("length") / split))).first()[0] or 1)
-    dealt = ranges.repartition(min(n, 10_000))
+    dealt = ranges.repartition(n)  # a task a range
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.map_(pa.string(), pa.string())
