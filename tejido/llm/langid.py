@@ -52,37 +52,35 @@ def ngram_buckets(points: np.ndarray, buckets: int = BUCKETS) -> list[np.ndarray
     return out
 
 
-def stretches(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """Lower-cased pieces of texts with their row numbers, each group about STRETCH code points. Texts are cut, with
-    an overlap of two code points, only where one alone is longer."""
-    rows, parts, size = [], [], 0
+def stretches(texts: list[str], most: int = STRETCH) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """Lower-cased pieces of texts, each text begun and ended by a space: row numbers, pieces, and how many n-grams' starts a piece owns.
+
+    A group holds about `most` code points. A longer text is cut; a piece then shows the next ones' first code points as well, so that
+    every n-gram of the text is within the piece that owns its start, and counts once.
+    """
+    rows, parts, own, size = [], [], [], 0
     for k, text in enumerate(texts):
-        text = text.lower()
-        for at in range(0, max(len(text), 1), STRETCH):
-            part = text[max(0, at - max(ORDERS) + 1) if at else 0 : at + STRETCH]
+        text = f" {text.lower()} "
+        for at in range(0, len(text), most):
             rows.append(k)
-            parts.append(part)
-            size += len(part)
-            if size >= STRETCH:
-                yield rows, parts
-                rows, parts, size = [], [], 0
+            parts.append(text[at : at + most + max(ORDERS) - 1])
+            own.append(min(most, len(text) - at))
+            size += own[-1]
+            if size >= most:
+                yield np.array(rows), parts, np.array(own)
+                rows, parts, own, size = [], [], [], 0
     if rows:
-        yield rows, parts
-
-
-def joined(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of parts, each begun and ended by a space, and where each part ends."""
-    points = codes("".join(f" {p} " for p in parts))
-    return points, np.cumsum([len(p) + 2 for p in parts])
+        yield np.array(rows), parts, np.array(own)
 
 
-def inside(ends: np.ndarray, n: int, total: int) -> np.ndarray:
-    """Whether the n-gram that begins at each place ends within the same part."""
-    keep = np.ones(total - n + 1, bool)
-    for k in range(1, n):
-        at = ends[:-1] - k
-        keep[at[(at >= 0) & (at < len(keep))]] = False
-    return keep
+def owned(sizes: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    """Whether the n-gram that begins at each place of the pieces ends within its piece, which owns the start."""
+    ends = np.cumsum(sizes)
+    keep = np.ones(int(ends[-1]), bool)
+    lost = sizes - np.minimum(own, np.maximum(0, sizes - n + 1))
+    for j in range(1, int(lost.max()) + 1):
+        keep[ends[lost >= j] - j] = False
+    return keep[: max(0, len(keep) - n + 1)]
 
 
 def count_ngrams(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -103,10 +101,10 @@ def count_ngrams(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
                         sums.append(np.zeros(BUCKETS, np.int64))
                         if len(sums) > MOST:
                             raise ValueError(f"more than {MOST} languages")
-                    for _, parts in stretches(texts):
-                        points, ends = joined(parts)
-                        for n, found in zip(ORDERS, ngram_buckets(points), strict=False):
-                            sums[names[name]] += np.bincount(found[inside(ends, n, len(points))], minlength=BUCKETS)
+                    for _, parts, own in stretches(texts):
+                        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+                        for n, found in zip(ORDERS, ngram_buckets(codes("".join(parts))), strict=False):
+                            sums[names[name]] += np.bincount(found[owned(sizes, own, n)], minlength=BUCKETS)
         for name, k in names.items():
             at = np.flatnonzero(sums[k])
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(sums[k][at], pa.int64())], ["lang", "bucket", "n"])
@@ -127,15 +125,14 @@ class Model:
     def score(self, texts: list[str]) -> np.ndarray:
         """Joint log-probabilities, texts x languages."""
         out = np.tile(self.prior, (len(texts), 1))
-        for rows, parts in stretches(texts):
-            points, ends = joined(parts)
-            starts = np.concatenate([[0], ends[:-1]])
-            rows_ = np.array(rows)
-            for n, found in zip(ORDERS, ngram_buckets(points), strict=False):
-                keep = inside(ends, n, len(points))
+        for rows, parts, own in stretches(texts, max(1 << 12, STRETCH * 8 // max(8, len(self.langs)))):
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            starts = np.cumsum(sizes) - sizes
+            for n, found in zip(ORDERS, ngram_buckets(codes("".join(parts))), strict=False):
                 gathered = self.log[found]
-                gathered[~keep] = 0
-                np.add.at(out, rows_, np.add.reduceat(gathered.astype(np.float64), starts, axis=0))
+                gathered[~owned(sizes, own, n)] = 0
+                some = starts < len(found)  # a last piece of fewer code points has no n-gram
+                np.add.at(out, rows[some], np.add.reduceat(gathered.astype(np.float64), starts[some], axis=0))
         return out
 
 
@@ -159,14 +156,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
     return Model(langs, np.array(counts), np.array([docs[x] for x in langs], np.float64))
 
 
-def predict(df: DataFrame, model: Model | None, text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """df with two columns, language and score (0 to 1: the prediction's share of probability), from the text alone.
+def predict(df: DataFrame, model: Model | None, text: str = "text", into: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """df with two columns, language and score (0 to 1: the prediction's share of probability), from the text alone; if `into` has a third
+    name, with the margin too: by how much, for each n-gram, the log-probability is above the next language's (0 with one language).
 
-    Null, empty or letterless text: `und` with score 0; so is every text if the model is None. Of equal scores, the
-    first language by name. All columns and repeated rows stay; columns called as the new ones are replaced.
+    Null, empty or letterless text: `und` with score and margin 0; so is every text if the model is None. Of equal scores, the
+    first language by name. Texts of any length are scored whole. All columns and repeated rows stay; columns called as the new ones are replaced.
     """
     kept = df.drop(*into)
-    schema = T.StructType([*kept.schema.fields, T.StructField(into[0], T.StringType(), False), T.StructField(into[1], T.DoubleType(), False)])
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(name, kind, False) for name, kind in zip(into, (T.StringType(), T.DoubleType(), T.DoubleType()), strict=False))])
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,15 +172,19 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", into: tuple[
         for batch in batches:
             for part in slices(batch, text):
                 texts = part.column(text).to_pylist()
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+                names, scores, margins = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
                 rows = [k for k, t in enumerate(texts) if has_letter(t)] if own else []
                 if rows:
                     log = own.score([texts[k] for k in rows])
                     best = log.argmax(axis=1)
                     scores[rows] = 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
+                    if log.shape[1] > 1:
+                        two = np.partition(log, -2, axis=1)
+                        margins[rows] = (two[:, -1] - two[:, -2]) / [len(ORDERS) * (len(texts[k]) + 1) for k in rows]
                     for k, b in zip(rows, best, strict=True):
                         names[k] = own.langs[b]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*part.schema.names, *into])
+                made = (pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made[: len(into)]], [*part.schema.names, *into])
 
     return kept.mapInArrow(run, schema)
 
