@@ -16,11 +16,14 @@ SLICE_BYTES = 2 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a local one only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir, which driver and executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
+    if not base and spark.sparkContext.master.startswith("local["):
+        # a single process, as in tests: driver and executors are one
         base = getattr(spark.sparkContext, "_tejido_scratch", None) or tempfile.mkdtemp(prefix="tejido-")
         spark.sparkContext._tejido_scratch = base
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set; tables between steps need a folder that driver and executors share")
     return base.rstrip("/")
 
 
