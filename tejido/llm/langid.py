@@ -158,7 +158,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
 
 def predict(df: DataFrame, model: Model | None, text: str = "text", into: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """df with two columns, language and score (0 to 1: the prediction's share of probability), from the text alone; if `into` has a third
-    name, with the margin too: by how much, for each n-gram, the log-probability is above the next language's (0 with one language).
+    name, with the margin too: by how much, for each n-gram, the log-probability is above the next language's (infinite with one language).
 
     Null, empty or letterless text: `und` with score and margin 0; so is every text if the model is None. Of equal scores, the
     first language by name. Texts of any length are scored whole. All columns and repeated rows stay; columns called as the new ones are replaced.
@@ -178,9 +178,8 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", into: tuple[
                     log = own.score([texts[k] for k in rows])
                     best = log.argmax(axis=1)
                     scores[rows] = 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
-                    if log.shape[1] > 1:
-                        two = np.partition(log, -2, axis=1)
-                        margins[rows] = (two[:, -1] - two[:, -2]) / [len(ORDERS) * (len(texts[k]) + 1) for k in rows]
+                    two = np.partition(log, -2, axis=1) if log.shape[1] > 1 else np.tile([-np.inf, 0.0], (len(rows), 1))
+                    margins[rows] = (two[:, -1] - two[:, -2]) / [len(ORDERS) * (len(texts[k]) + 1) for k in rows]
                     for k, b in zip(rows, best, strict=True):
                         names[k] = own.langs[b]
                 made = (pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64()))
@@ -202,9 +201,11 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents, all columns, whose language is predicted with a score of `least` or more; the rest is rejected."""
+def keep_identified(docs: DataFrame, least: float = 0.5, margin: float = 0.05) -> DataFrame:
+    """The documents, all columns, whose language is predicted with a score of `least` or more, and by `margin` or more for each n-gram;
+    the rest is rejected. (A score is a product over all n-grams and near 1 for any longer text; the margin tells which are in doubt: prose
+    of one language has about 2, a text of several or of none less than a tenth of that.) Repeated rows stay or go together; ties are in doubt."""
     model = train(docs.filter(fold(F.col("doc_id")) != 2))
-    lang, score = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
-    scored = predict(docs, model, into=(lang, score))
-    return scored.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)
+    lang, score, gap = (fresh(name, docs.columns) for name in ("lang_pred", "score", "margin"))
+    scored = predict(docs, model, into=(lang, score, gap))
+    return scored.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least) & (F.col(gap) >= margin)).drop(lang, score, gap)
