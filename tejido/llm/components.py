@@ -5,8 +5,8 @@ smaller neighbours to the least of those. It ends when the links are stars aroun
 A node's links are never gathered in one place: minima are summed in each task before a shuffle, and the
 joins that bring them back are salted by the other end of the link.
 
-Before the first round, links are dealt at random into parts of a bounded size, and each part is reduced to a forest of stars; where many
-links tie the same nodes together, most of them go.
+Before the first round, the files of links, which a hash has dealt, are read in parts of a bounded size, and each part is reduced to a
+forest of stars; where many links tie the same nodes together, most of them go.
 """
 
 from __future__ import annotations
@@ -74,8 +74,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     ends = links.select(F.greatest(a, b).cast("long").alias("big"), F.least(a, b).cast("long").alias("small"))
     given = cut(ends.filter("big > small").distinct(), "links")
     parts = max(TASKS, math.ceil(given.count() / FOREST))
-    dealt = given.withColumn("part", F.pmod(F.xxhash64("big", "small"), F.lit(parts)).cast("int")).repartition(parts, "part")
-    now = cut(dealt.mapInArrow(_forest, "big bigint, small bigint").distinct(), "links")
+    now = cut(given.coalesce(parts).mapInArrow(_forest, "big bigint, small bigint").distinct(), "links")
     drop_cut(given)
     mark = _mark(now)
     while mark[0]:
