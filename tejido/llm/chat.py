@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -138,13 +138,13 @@ def depths(calls: DataFrame) -> DataFrame:
     A parent that is null or not among the conversation's calls leaves a call at depth 0. call_id is unique in a conversation.
     """
     nodes = calls.select("conv_id", "call_id", "parent")
-    known = nodes.select("conv_id", F.col("call_id").alias("parent"), F.lit(1).alias("known"))
+    known = nodes.select("conv_id", F.col("call_id").alias("parent"), F.lit(1).alias("known")).hint("shuffle_hash")
     now = cut(nodes.join(known, ["conv_id", "parent"], "left").select("conv_id", "call_id", F.when(F.col("known").isNotNull(), F.col("parent")).alias("up"), F.col("known").isNotNull().cast("long").alias("depth")), "depths")
     steps = max(1, int(now.count())).bit_length() + 1
     for _ in range(steps):
         if now.filter("up is not null").isEmpty():
             break
-        above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
+        above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2")).hint("shuffle_hash")
         after = cut(now.join(above, ["conv_id", "up"], "left").select("conv_id", "call_id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "depths")
         drop_cut(now)
         now = after
@@ -163,11 +163,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     first = Window.partitionBy("conv_id", "call_id").orderBy("turn", "arguments", "tool")
     once = calls.filter("conv_id is not null and call_id is not null").withColumn("rank", F.row_number().over(first)).filter("rank = 1").drop("rank")
     checked = cut(check_arguments(once.select("conv_id", "call_id", "parent", "turn", "tool", "arguments"), schemas), "calls")
-    turns = checked.select("conv_id", "call_id", F.col("turn").alias("call_turn"))
+    # a hash table of calls, whose keys are unique, meets the results as they come
+    turns = checked.select("conv_id", "call_id", F.col("turn").alias("call_turn")).hint("shuffle_hash")
     met = results.select("conv_id", "call_id", F.col("turn").alias("result_turn"), "content").join(turns, ["conv_id", "call_id"])
     late = F.coalesce(F.col("result_turn") > F.col("call_turn"), F.lit(False))
     answers = met.groupBy("conv_id", "call_id").agg(F.min(F.when(late, F.struct("result_turn", "content"))).alias("answer"), F.count("*").alias("n_results"))
-    joined = checked.join(answers, ["conv_id", "call_id"], "left").join(depths(checked), ["conv_id", "call_id"])
+    joined = checked.join(answers.hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(depths(checked).hint("shuffle_hash"), ["conv_id", "call_id"])
     status = F.when(F.col("depth").isNull(), "cycle").when(F.size("faults") > 0, "invalid").when(F.col("answer").isNotNull(), "answered").when(F.col("n_results").isNotNull(), "early").otherwise("open")
     out = joined.select("conv_id", "call_id", "parent", "tool", "turn", "depth", status.alias("status"), "faults", "arguments_json", F.col("answer.result_turn").alias("result_turn"), F.col("answer.content").alias("content"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
     return serialised(out)
@@ -204,20 +205,40 @@ SCHEMAS = {
 }
 
 
-def plain_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A plain conversation (conv_id, turn, role, text) as calls and results: a user's turn calls `reply` with its
-    text, after the user's turn before it, and the assistant's turns up to the next user's answer it. Other roles are left out;
-    so are rows without a conv_id or turn. Rows that repeat a turn are one call, that with the least text."""
-    turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").filter("conv_id is not null and turn is not null")
-    asked = turns.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-    answered = turns.filter("role = 'assistant'")
-    marks = cut(asked.select("conv_id", "turn"), "asked")
-    before = lambda df: previous(df, marks)
-    name = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
+#: How calls stand in the text of an assistant's turn, and a result in that of a tool's. Arguments are JSON, as an object or as a string.
+CALLS = "tool_calls array<struct<id: string, name: string, arguments: string, after: string>>"
+RESULT = "tool_call_id string, content string"
+
+
+def name(turn: Column) -> Column:
+    return F.concat(F.lit("call_"), turn.cast("string"))
+
+
+def read_messages(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, copies, last, made, told of every different row with a conv_id and turn: how often it comes, the turn
+    of the user's before it, the calls that an assistant's text holds (CALLS), and what a tool's tells (RESULT); null without such."""
+    messages = conversations.filter("conv_id is not null and turn is not null").groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+    marks = conversations.filter("conv_id is not null and turn is not null and role = 'user'").select("conv_id", "turn").distinct()
+    made = F.when((F.col("role") == "assistant") & F.col("text").startswith("{"), F.from_json("text", CALLS)["tool_calls"])
+    told = F.when(F.col("role") == "tool", F.from_json("text", RESULT))
+    return previous(messages, marks).withColumn("made", F.when(F.size(made) > 0, made)).withColumn("told", F.when(told["tool_call_id"].isNotNull(), told))
+
+
+def calls_of(messages: DataFrame) -> DataFrame:
+    """Calls in messages: those that assistants' texts hold, and, for each user's turn, a call of `reply` with its text, after the user's turn
+    before it. Of several users' texts in a turn, the least is the call."""
     arguments = F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt")), {"ignoreNullFields": "false"})
-    calls = before(asked).select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("last")).alias("parent"), "turn", F.lit("reply").alias("tool"), arguments.alias("arguments"))
-    results = before(answered).filter("last is not null").select("conv_id", name(F.col("last")).alias("call_id"), "turn", F.col("text").alias("content"))
-    return calls, results
+    asked = messages.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text", "copies")).alias("least"), F.min("last").alias("last")).select("conv_id", "turn", "least.*", "last")
+    replies = asked.select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("last")).alias("parent"), "turn", F.lit("reply").alias("tool"), arguments.alias("arguments"), "copies")
+    held = messages.filter("made is not null").select("conv_id", "turn", F.explode("made").alias("call"), "copies")
+    return replies.unionByName(held.select("conv_id", F.col("call.id").alias("call_id"), F.col("call.after").alias("parent"), "turn", F.col("call.name").alias("tool"), F.col("call.arguments").alias("arguments"), "copies"))
+
+
+def results_of(messages: DataFrame) -> DataFrame:
+    """Results in messages: a tool's turns that name a call, and an assistant's without calls, which answer the user's turn before them."""
+    own = F.when(F.col("told").isNotNull(), F.col("told.tool_call_id")).when((F.col("role") == "assistant") & F.col("made").isNull(), name(F.col("last")))
+    content = F.when(F.col("told").isNotNull(), F.col("told.content")).otherwise(F.col("text"))
+    return messages.select("conv_id", own.alias("call_id"), "turn", "role", content.alias("content"), "copies").filter("call_id is not null")
 
 
 #: Turns of a conversation that are looked at together.
@@ -242,8 +263,45 @@ def previous(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return within.join(carried, ["conv_id", "stride"], "left").withColumn("last", F.coalesce("near", "carried")).select(*rows.columns, "last")
 
 
-def formatted(conversations: DataFrame) -> DataFrame:
-    """conv_id, call_id, tool, turn, depth, status, n_faults, arguments_json, result_turn, n_results, record of every user's turn."""
-    calls, results = plain_calls(conversations)
-    linked = link_calls(calls, results, SCHEMAS)
-    return linked.select("conv_id", "call_id", "tool", "turn", "depth", "status", F.size("faults").cast("long").alias("n_faults"), "arguments_json", "result_turn", "n_results", "record")
+def formatted(conversations: DataFrame, schemas: dict[str, dict] = SCHEMAS) -> DataFrame:
+    """conv_id, turn, role, kind, call_id, tool, depth, status, n_faults, arguments_json, result_turn, n_results, n_copies, record: a row for
+    every call, and for every message that is none. No row is left out: equal rows are one, whose n_copies tells how many they are.
+
+    kind `call`: see link_calls(). kind `result`: a turn that answers a call; status `linked`, or `unlinked` if the conversation has no such call.
+    kind `message`: all other turns, with their text; status `repeated` for further texts of a user's turn, `rejected` without a
+    conv_id or turn, `unlinked` for assistants' turns before any user's, else `kept`. Texts of any length, null and empty ones too, are written whole.
+    """
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    messages = cut(read_messages(rows), "messages")
+    calls = cut(calls_of(messages), "told")
+    results = results_of(messages)
+    linked = link_calls(calls, results, schemas)
+    counted = calls.groupBy("conv_id", "call_id").agg(F.sum("copies").alias("n_copies")).hint("shuffle_hash")
+    done = linked.join(counted, ["conv_id", "call_id"]).withColumn("role", F.when(F.col("tool") == "reply", "user").otherwise("assistant")).withColumn("kind", F.lit("call")).withColumn("n_faults", F.size("faults").cast("long"))
+    keys = calls.select("conv_id", "call_id").distinct().withColumn("known", F.lit(True)).hint("shuffle_hash")
+    answers = results.join(keys, ["conv_id", "call_id"], "left").select("conv_id", "turn", "role", F.lit("result").alias("kind"), "call_id", F.when(F.col("known"), "linked").otherwise("unlinked").alias("status"), F.col("copies").alias("n_copies"), "content")
+    least = messages.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text")).alias("least"), F.count("*").alias("n")).filter("n > 1").hint("shuffle_hash")
+    again = messages.filter("role = 'user'").join(least, ["conv_id", "turn"]).filter(~F.col("text").eqNullSafe(F.col("least.text"))).withColumn("status", F.lit("repeated"))
+    other = messages.filter("role is null or role not in ('user', 'assistant', 'tool') or (role = 'tool' and told is null) or (role = 'assistant' and made is null and last is null)")
+    other = other.withColumn("status", F.when(F.col("role") == "assistant", "unlinked").otherwise("kept"))
+    gone = rows.filter("conv_id is null or turn is null").groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies")).withColumn("status", F.lit("rejected"))
+    plain = [x.select("conv_id", "turn", "role", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), "status", F.col("copies").alias("n_copies"), F.col("text").alias("content")) for x in (again, other, gone)]
+    told = message_records(answers.unionByName(plain[0]).unionByName(plain[1]).unionByName(plain[2]))
+    names = ["conv_id", "turn", "role", "kind", "call_id", "tool", "depth", "status", "n_faults", "arguments_json", "result_turn", "n_results", "n_copies", "record"]
+    return done.select(names).unionByName(told, allowMissingColumns=True).select(names)
+
+
+def message_records(messages: DataFrame) -> DataFrame:
+    """messages with record: call, content, role and turn as one canonical JSON object, call only where there is one; content then goes."""
+    kept = messages.drop("content")
+    schema = T.StructType([*kept.schema.fields, T.StructField("record", T.StringType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for call, content, role, turn in zip(*(batch.column(c).to_pylist() for c in ("call_id", "content", "role", "turn")), strict=True):
+                made.append(canonical({"content": content, "role": role, "turn": turn} | ({"call": call} if call is not None else {})))
+            names = [c for c in batch.schema.names if c != "content"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(made, pa.string())], [*names, "record"])
+
+    return messages.mapInArrow(run, schema)

@@ -102,30 +102,44 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_i
 """
 
 
+#: No text of the tables holds a call as JSON; tests cover those.
 OP10_SQL = """
-WITH c AS (
-  SELECT conv_id, turn, min(text) AS text FROM conversations
-  WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+WITH m AS (
+  SELECT conv_id, turn, role, text, count(*) AS n_copies FROM conversations GROUP BY ALL
+), u AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS k FROM m WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL
 ), calls AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS depth,
     lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS following
-  FROM c
+  FROM u WHERE k = 1
 ), met AS (
   SELECT calls.conv_id, calls.turn, r.turn AS result_turn, r.text AS content,
     row_number() OVER (PARTITION BY calls.conv_id, calls.turn ORDER BY r.turn, r.text) AS k,
     CAST(count(r.turn) OVER (PARTITION BY calls.conv_id, calls.turn) AS BIGINT) AS n_results
-  FROM calls LEFT JOIN conversations r ON r.role = 'assistant' AND r.conv_id = calls.conv_id AND r.turn > calls.turn
+  FROM calls LEFT JOIN m r ON r.role = 'assistant' AND r.conv_id = calls.conv_id AND r.turn > calls.turn
     AND (r.turn <= calls.following OR calls.following IS NULL)
 ), told AS (
   SELECT calls.*, result_turn, content, n_results, CAST(coalesce(length(text), 0) = 0 AS BIGINT) AS n_faults,
     CASE WHEN coalesce(length(text), 0) = 0 THEN 'invalid' WHEN result_turn IS NOT NULL THEN 'answered' ELSE 'open' END AS status,
     '{"prompt":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"turn":' || calls.turn || '}' AS arguments_json
   FROM calls JOIN met ON met.conv_id = calls.conv_id AND met.turn = calls.turn AND met.k = 1
+), rest AS (
+  SELECT m.conv_id, m.turn, m.role, m.text, m.n_copies,
+    CASE WHEN m.role = 'assistant' AND m.turn IS NOT NULL THEN (SELECT max(c.turn) FROM calls c WHERE c.conv_id = m.conv_id AND c.turn < m.turn) END AS last,
+    CASE WHEN m.conv_id IS NULL OR m.turn IS NULL THEN 'rejected' WHEN m.role = 'user' THEN 'repeated' ELSE 'kept' END AS status
+  FROM m LEFT JOIN u ON u.conv_id = m.conv_id AND u.turn = m.turn AND m.role = 'user' AND u.text IS NOT DISTINCT FROM m.text AND u.k = 1
+  WHERE u.k IS NULL
 )
-SELECT conv_id, 'call_' || turn AS call_id, 'reply' AS tool, turn, depth, status, n_faults, arguments_json, result_turn, n_results,
+SELECT conv_id, turn, 'user' AS role, 'call' AS kind, 'call_' || turn AS call_id, 'reply' AS tool, depth, status, n_faults, arguments_json, result_turn, n_results, n_copies,
   '{' || CASE WHEN before IS NULL THEN '' ELSE '"after":"call_' || before || '",' END || '"arguments":' || arguments_json
   || ',"id":"call_' || turn || '","name":"reply","result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"status":"' || status || '"}' AS record
 FROM told
+UNION ALL
+SELECT conv_id, turn, role, CASE WHEN last IS NULL THEN 'message' ELSE 'result' END, 'call_' || last, NULL, NULL,
+  CASE WHEN last IS NOT NULL THEN 'linked' WHEN role = 'assistant' AND status = 'kept' THEN 'unlinked' ELSE status END, NULL, NULL, NULL, NULL, n_copies,
+  '{' || CASE WHEN last IS NULL THEN '' ELSE '"call":"call_' || last || '",' END || '"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null')
+  || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"turn":' || coalesce(CAST(turn AS VARCHAR), 'null') || '}'
+FROM rest
 """
 
 

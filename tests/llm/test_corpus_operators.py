@@ -353,10 +353,30 @@ def test_canonical_json():
 
 
 def test_plain_conversations(spark):
-    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "assistant", "c"), (1, 300, "user", None), (1, 301, "system", "s"), (2, 0, "assistant", "x"), (None, 0, "user", "q"), (1, None, "user", "q"), (1, 0, "user", "a")]
-    found = {(r.conv_id, r.turn): r for r in chat.formatted(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("stride", F.lit(1)).withColumn("mark", F.lit(1))).collect()}
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "assistant", "c"), (1, 300, "user", None), (1, 301, "system", "s"), (2, 0, "assistant", "x"), (None, 0, "user", "q"), (1, None, "user", "q"), (1, 0, "user", "a"), (1, 0, "user", "z"), (3, 0, None, "")]
+    made = chat.formatted(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("stride", F.lit(1)).withColumn("mark", F.lit(1)).withColumn("last", F.lit(1))).collect()
+    found = {(r.conv_id, r.turn): r for r in made if r.kind == "call"}
     assert set(found) == {(1, 0), (1, 300)}
-    assert (found[1, 0].status, found[1, 0].n_results, found[1, 0].result_turn) == ("answered", 2, 1)
+    assert (found[1, 0].status, found[1, 0].n_results, found[1, 0].result_turn, found[1, 0].n_copies) == ("answered", 2, 1, 2)
     assert (found[1, 300].status, found[1, 300].depth) == ("invalid", 1)
+    rest = sorted((str(r.conv_id), str(r.turn), r.kind, r.status, r.call_id, r.record) for r in made if r.kind != "call")
+    assert rest == [
+        ("1", "0", "message", "repeated", None, '{"content":"z","role":"user","turn":0}'), ("1", "1", "result", "linked", "call_0", '{"call":"call_0","content":"b","role":"assistant","turn":1}'),
+        ("1", "2", "result", "linked", "call_0", '{"call":"call_0","content":"c","role":"assistant","turn":2}'), ("1", "301", "message", "kept", None, '{"content":"s","role":"system","turn":301}'),
+        ("1", "None", "message", "rejected", None, '{"content":"q","role":"user","turn":null}'), ("2", "0", "message", "unlinked", None, '{"content":"x","role":"assistant","turn":0}'),
+        ("3", "0", "message", "kept", None, '{"content":"","role":null,"turn":0}'), ("None", "0", "message", "rejected", None, '{"content":"q","role":"user","turn":0}'),
+    ]
+    assert sum(r.n_copies for r in made) == len(rows)
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.formatted(empty).count() == 0
+
+
+def test_calls_in_texts(spark):
+    call = '{"tool_calls": [{"id": "x", "name": "add", "arguments": {"b": 2, "a": 1}}, {"id": "y", "name": "add", "arguments": "{\\"a\\": \\"no\\"}", "after": "x"}]}'
+    rows = [(1, 0, "user", "sum"), (1, 1, "assistant", call), (1, 2, "tool", '{"tool_call_id": "x", "content": "3"}'), (1, 3, "tool", '{"tool_call_id": "gone", "content": "?"}'), (1, 4, "tool", "plain"), (1, 5, "assistant", "It is 3"), (1, 6, "assistant", "{no call}")]
+    schemas = chat.SCHEMAS | {"add": {"type": "object", "properties": {"a": {"type": "integer"}}}}
+    made = chat.formatted(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), schemas).collect()
+    calls = {r.call_id: r for r in made if r.kind == "call"}
+    assert {k: (r.status, r.depth, r.n_results) for k, r in calls.items()} == {"call_0": ("answered", 0, 2), "x": ("answered", 0, 1), "y": ("invalid", 1, 0)}
+    assert calls["x"].record == '{"arguments":{"a":1,"b":2},"id":"x","name":"add","result":"3","status":"answered"}'
+    assert sorted((r.turn, r.kind, r.status) for r in made if r.kind != "call") == [(2, "result", "linked"), (3, "result", "unlinked"), (4, "message", "kept"), (5, "result", "linked"), (6, "result", "linked")]
