@@ -1,10 +1,11 @@
 """Exact range join of embeddings by angle (operator 7).
 
 Pivots cut the sphere into cells: a vector belongs to its nearest pivot. A vector within the join's angle of a cell's members can
-lie outside that cell by no more than this angle, by the triangle inequality; so every vector goes to its own cell,
-and as a candidate to the cells whose border is that near. Cells, cut into parts of at most ROWS members, are
-joined independently: a part's members stay in memory, its candidates stream past. Cosines come from float32 products, and from
-double precision where the rounding error's bound leaves a doubt.
+lie outside that cell by no more than this angle, by the triangle inequality; so every vector is a member of its own cell,
+and a candidate of the cells whose border is that near. Two vectors of different cells are near each other's cell, so it is enough that the
+one of the lesser cell goes to the greater. Cells, cut into parts of a bounded size, are joined independently: a part's members
+stay in memory, its candidates stream past. Cosines come from float32 products, and from double precision where the rounding
+error's bound leaves a doubt.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import cut, spread_keys
+from ._shared import cut, drop_cut, spread_keys
 from .components import connected_components, unite
 
-#: Members of a cell's part.
-ROWS = 4096
+#: Members of a part, while there are few parts; beyond PARTS parts members grow, to so many numbers, since every part has candidates of its own.
+ROWS, PARTS, NUMBERS = 4096, 64, 1 << 21
 #: Most pivots; their vectors go to every task.
-PIVOTS = 64
+PIVOTS = 1024
 #: Candidates compared at once.
 COLUMNS = 256
 
@@ -44,17 +45,23 @@ def unit(x: np.ndarray) -> np.ndarray:
 def cells_near(u: np.ndarray, pivots: np.ndarray, angle: float) -> tuple[np.ndarray, np.ndarray]:
     """Own cell of each unit vector, and (vectors x cells) whether a cell's border is within angle of it."""
     sims = u @ pivots.T
+    own = sims.argmax(axis=1)
+    apart = np.linalg.norm(pivots[:, None] - pivots[None], axis=2) if len(pivots) <= PARTS else None
     near = np.ones(sims.shape, bool)
     edge = math.sin(angle) + 1e-9
     for i in range(len(pivots)):
-        apart = np.linalg.norm(pivots - pivots[i], axis=1)
-        apart[apart == 0] = np.inf  # equal pivots have no border
-        near[:, i] = ((sims - sims[:, i : i + 1]) / apart).max(axis=1) <= edge
-    own = sims.argmax(axis=1)
+        gap = apart[i].copy() if apart is not None else np.linalg.norm(pivots - pivots[i], axis=1)
+        gap[gap == 0] = np.inf  # equal pivots have no border
+        near[:, i] = ((sims - sims[:, i : i + 1]) / gap).max(axis=1) <= edge
     near[np.arange(len(u)), own] = True
     return own, near
 
 
+def members_of_part(n: int, d: int) -> int:
+    """Members of a part for n vectors of d numbers: ROWS up to PARTS parts, then more, as far as they have NUMBERS numbers at most."""
+    return max(ROWS, min(-(-n // PARTS), NUMBERS // max(1, d)))
+
+
 def by_length(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.RecordBatch]]:
     sizes = batch.column(column).value_lengths().to_numpy(zero_copy_only=False)
     for d in np.unique(sizes):
@@ -64,13 +71,15 @@ def by_length(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.Reco
 def join_cells(classes: DataFrame, least: float) -> DataFrame:
     """kind, a, b, n from classes (rep, h, n, v), each different vector v once with its n rows.
 
-    kind 0: class (rep a, h b) is linked to n other rows; kind 1: links a, b that join up all linked classes.
+    kind 0: class (rep a, h b) is linked to n other rows, to be summed over a class's rows, of which each class has one at least;
+    kind 1: links a, b that join up all linked classes.
     """
     spark = classes.sparkSession
     angle = math.acos(least)
     lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     main, n = (lengths[0].d, lengths[0].n) if lengths else (0, 0)
-    count = max(1, min(PIVOTS, -(-n // ROWS)))
+    most = members_of_part(n, main)
+    count = max(1, min(PIVOTS, -(-n // most)))
     picked = classes.filter(F.size("v") == main).orderBy(F.xxhash64("h", "rep"), "rep", "h").limit(count).collect()  # at most PIVOTS rows
     pivots = unit(np.array([r.v for r in picked], np.float64)) if picked else np.zeros((1, 0))
 
@@ -85,7 +94,7 @@ def join_cells(classes: DataFrame, least: float) -> DataFrame:
     parts: dict[tuple[int, int], list[int]] = {}  # a row a length and cell
     total = 0
     for r in placed.groupBy("d", "cell").agg(F.count("*").alias("n")).sort("d", "cell").collect():
-        parts[r.d, r.cell] = list(range(total, total := total + -(-r.n // ROWS)))
+        parts[r.d, r.cell] = list(range(total, total := total + -(-r.n // members_of_part(n, r.d))))
     keys = spread_keys(spark, max(1, total))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,71 +106,96 @@ def join_cells(classes: DataFrame, least: float) -> DataFrame:
                 else:
                     near = np.ones((part.num_rows, 1), bool)
                 h = part.column("h").to_numpy(zero_copy_only=False)
+                mine = np.empty(part.num_rows, np.int64)
+                for cell in np.unique(own).tolist():
+                    at = np.flatnonzero(own == cell)
+                    groups = np.array(parts[d, cell])
+                    mine[at] = groups[np.abs((h[at] >> 7) % len(groups))]
+                yield sent(part, np.arange(part.num_rows), mine, 0)
                 for (length, cell), groups in parts.items():
-                    if length != d:
-                        continue
-                    mine = np.flatnonzero(own == cell)
-                    which = np.array(groups)[np.abs((h[mine] >> 7) % len(groups))] if len(mine) else mine
-                    outs = [(mine, which, 0)]
-                    seen = np.flatnonzero(near[:, cell])
-                    outs += [(seen, np.full(len(seen), g), 1) for g in groups]
-                    for rows, g, role in outs:
-                        if len(rows):
-                            some = part.take(pa.array(rows))
-                            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys)[g], pa.int64()), pa.array(g.astype(np.int32)), pa.array(np.full(len(rows), role, np.int8)), *(some.column(c) for c in ("rep", "h", "n", "v"))], ["key", "part", "role", "rep", "h", "n", "v"])
+                    if length == d:
+                        for g in groups:
+                            rows = np.flatnonzero(near[:, cell] & (mine < g))
+                            if len(rows):
+                                yield sent(part, rows, np.full(len(rows), g), 1)
+
+    def sent(part: pa.RecordBatch, rows: np.ndarray, to: np.ndarray, role: int) -> pa.RecordBatch:
+        some = part.take(pa.array(rows))
+        return pa.RecordBatch.from_arrays([pa.array(np.array(keys)[to], pa.int64()), pa.array(to.astype(np.int32)), pa.array(np.full(len(rows), role, np.int8)), *(some.column(c) for c in ("rep", "h", "n", "v"))], ["key", "part", "role", "rep", "h", "n", "v"])
 
     dealt = placed.mapInArrow(deal, f"key bigint, part int, role tinyint, rep bigint, h bigint, n bigint, v {kind}")
     spread = dealt.repartition(max(1, total), "key").drop("key").sortWithinPartitions("part", "role")
-    return spread.mapInArrow(lambda batches: _joined(batches, least), "kind tinyint, a bigint, b bigint, n bigint")
+    out = spread.mapInArrow(lambda batches: _joined(batches, least), "kind tinyint, a bigint, b bigint, n bigint")
+    out._tejido_path = placed._tejido_path
+    return out
 
 
 class Part:
     """The members of a part of a cell, their counts so far, and what ties them together."""
 
-    def __init__(self, number: int):
-        self.number, self.chunks, self.ready = number, [], False
+    def __init__(self, number: int, least: float):
+        self.number, self.least, self.chunks, self.ready = number, least, [], False
         self.links: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, batch: pa.RecordBatch) -> None:
-        self.chunks.append((batch.column("rep").to_numpy(zero_copy_only=False), batch.column("h").to_numpy(zero_copy_only=False), unit(doubles(batch.column("v")))))
+        self.chunks.append((*_columns(batch), unit(doubles(batch.column("v")))))
 
     def begin(self) -> None:
-        self.rep, self.h, self.u = (np.concatenate(x) for x in zip(*self.chunks, strict=True))
+        """All members are there: they meet each other."""
+        self.rep, self.h, self.n, self.u = (np.concatenate(x) for x in zip(*self.chunks, strict=True))
         self.chunks, self.ready = [], True
         self.u32 = self.u.astype(np.float32)
         self.count = np.zeros(len(self.rep), np.int64)
         self.root = np.arange(len(self.rep))
         self.doubt = (self.u.shape[1] + 8) * 2.4e-7  # bounds the rounding error of a float32 product
-
-    def meet(self, batch: pa.RecordBatch, least: float) -> None:
-        rep, n = batch.column("rep").to_numpy(zero_copy_only=False), batch.column("n").to_numpy(zero_copy_only=False)
+        for k in range(0, len(self.u), COLUMNS):
+            mask = self.near(self.u[k : k + COLUMNS])
+            self.count += mask @ self.n[k : k + COLUMNS]
+            i, j = np.nonzero(mask)
+            unite(self.root, i, j + k)
+
+    def near(self, some: np.ndarray) -> np.ndarray:
+        """Members x some: whether the cosine is `least` or more."""
+        sims = self.u32 @ some.astype(np.float32).T
+        mask = sims >= self.least + self.doubt
+        i, j = np.nonzero((sims >= self.least - self.doubt) & ~mask)
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            good = np.einsum("ij,ij->i", self.u[a], some[b]) >= self.least
+            mask[a[good], b[good]] = True
+        return mask
+
+    def meet(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rep, h, n = _columns(batch)
         u = unit(doubles(batch.column("v")))
         for k in range(0, len(u), COLUMNS):
-            some = u[k : k + COLUMNS]
-            sims = self.u32 @ some.astype(np.float32).T
-            mask = sims >= least + self.doubt
-            i, j = np.nonzero((sims >= least - self.doubt) & ~mask)
-            for at in range(0, len(i), 1 << 16):
-                a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                good = np.einsum("ij,ij->i", self.u[a], some[b]) >= least
-                mask[a[good], b[good]] = True
-            if not mask.any():
+            mask = self.near(u[k : k + COLUMNS])
+            columns = np.flatnonzero(mask.any(axis=0))
+            if not len(columns):
                 continue
             self.count += mask @ n[k : k + COLUMNS]
-            columns = np.flatnonzero(mask.any(axis=0))
-            first = mask[:, columns].argmax(axis=0)
+            mask = mask[:, columns]
+            first = mask.argmax(axis=0)
             self.links.append((rep[k : k + COLUMNS][columns], self.rep[first]))
-            i, j = np.nonzero(mask[:, columns])
+            i, j = np.nonzero(mask)
             unite(self.root, i, first[j])
+            yield _made(0, rep[k : k + COLUMNS][columns], h[k : k + COLUMNS][columns], self.n @ mask)
 
     def end(self) -> Iterator[pa.RecordBatch]:
-        made = lambda kind, a, b, n: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), *(pa.array(x.astype(np.int64)) for x in (a, b, n))], ["kind", "a", "b", "n"])
         if not self.ready:
             self.begin()
-        yield made(0, self.rep, self.h, self.count - 1)  # each has met itself
+        yield _made(0, self.rep, self.h, self.count - 1)  # each has met itself
         a, b = (np.concatenate(x) for x in zip(*[*self.links, (self.rep, self.rep[self.root])], strict=True))
         apart = a != b
-        yield made(1, a[apart], b[apart], np.zeros(int(apart.sum())))
+        yield _made(1, a[apart], b[apart], np.zeros(int(apart.sum())))
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "h", "n"))
+
+
+def _made(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), *(pa.array(x.astype(np.int64)) for x in (a, b, n))], ["kind", "a", "b", "n"])
 
 
 def _joined(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -174,7 +208,7 @@ def _joined(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
             if now is None or now.number != numbers[start]:
                 if now:
                     yield from now.end()
-                now = Part(int(numbers[start]))
+                now = Part(int(numbers[start]), least)
             for at in range(start, stop, 2048):
                 some = batch.slice(at, min(2048, stop - at))
                 if roles[start] == 0:
@@ -184,7 +218,7 @@ def _joined(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
                     if not now.chunks:
                         break  # no members: nothing to join
                     now.begin()
-                now.meet(some, least)
+                yield from now.meet(some)
     if now and (now.ready or now.chunks):
         yield from now.end()
 
@@ -201,9 +235,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, vec_id: str = "vec_
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.when(sound, F.transform(given, lambda x: x + F.lit(0).cast(_number(vectors, embedding)))).alias("v")).withColumn("h", F.xxhash64("v"))
     whole = rows.filter("v is not null")
     classes = cut(whole.groupBy("h", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
-    found = cut(join_cells(classes, least), "joined")
+    joined = join_cells(classes, least)
+    found = cut(joined, "joined")
+    drop_cut(joined)
     linked = connected_components(found.filter("kind = 1"))
-    counts = found.filter("kind = 0").select(F.col("a").alias("rep"), F.col("b").alias("h"), F.col("n").alias("n_links"))
+    counts = found.filter("kind = 0").groupBy(F.col("a").alias("rep"), F.col("b").alias("h")).agg(F.sum("n").alias("n_links"))
     told = classes.join(counts, ["rep", "h"]).join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("h", "v", "n_links", F.coalesce("component", "rep").alias("component_id"))
     out = rows.join(told, ["h", "v"], "left")
     component = F.coalesce("component_id", "vec_id")
