@@ -22,7 +22,7 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.size(words(F.coalesce(text, F.lit("")))), F.lit(0)).cast("long")
+    return matches(text, r"(?U)\S+")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -35,6 +35,53 @@ def lexicon_hits(lowered: Column, terms: list[str]) -> Column:
     return let(lowered, lambda t: F.size(F.filter(F.array(*map(F.lit, terms)), lambda k: F.contains(t, k))).cast("long"))
 
 
+def finder(terms: list[str]) -> Callable[[str], set[int]]:
+    """Finds the numbers of the terms that a text contains: by an automaton that reads the text once, or a term at a time without that library."""
+    try:
+        import ahocorasick
+    except ImportError:
+        return lambda text: {k for k, term in enumerate(terms) if term in text}
+    machine = ahocorasick.Automaton()
+    for k, term in enumerate(terms):
+        machine.add_word(term, k)
+    machine.make_automaton()
+    return lambda text: {k for _, k in machine.iter(text)}
+
+
+def counter_of(lists: dict[str, list[str]]) -> Callable[[str | None], list[int]]:
+    """Counts, for each list, the different terms of it that a text contains."""
+    terms = sorted({t for terms in lists.values() for t in terms})
+    places = {t: k for k, t in enumerate(terms)}
+    of = [[] for _ in terms]
+    for k, name in enumerate(lists):
+        for t in set(lists[name]):
+            of[places[t]].append(k)
+    find, empty = finder(terms), [0] * len(lists)
+
+    def count(text: str | None) -> list[int]:
+        out = empty.copy()
+        if text:
+            for term in find(text):
+                for k in of[term]:
+                    out[k] += 1
+        return out
+
+    return count
+
+
+def lexicon_counts(lowered: Column, lists: dict[str, list[str]]) -> Column:
+    """Struct of how many different terms of each list lower-cased text contains. A batch of texts is read once for all lists together;
+    in columns each term would read each text. Not for use inside a lambda."""
+
+    @pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in lists]))
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        counts = counter_of(lists)
+        for texts in batches:
+            yield pd.DataFrame([counts(t) for t in texts], columns=list(lists))
+
+    return count(lowered)
+
+
 def any_in(text: Column, terms: list[str]) -> Column:
     return let(text, lambda t: F.exists(F.array(*map(F.lit, terms)), lambda k: F.contains(t, k)))
 
