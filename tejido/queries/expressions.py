@@ -44,7 +44,7 @@ register("t11_stable_hash", lambda t: t.documents.select("doc_id", F.xxhash64("t
 over("t12_url_host", "pages", ["page_id"], {"host": (lambda: urls.host(C("url")), sql.host("url")), "path": (lambda: urls.path(C("url")), sql.path("url")), "query": (lambda: urls.query(C("url")), sql.query("url")), "fragment": (lambda: urls.fragment(C("url")), sql.fragment("url"))})
 over("t13_url_join", "links", ["page_id", "pos"], {"joined": (lambda: urls.resolve(C("url"), C("href")), "link")}, X.LINKS_SQL)
 over("t14_host_by_split", "pages", ["page_id"], {"host": (lambda: urls.host_by_split(C("url")), "split_part(split_part(url, '://', 2), '/', 1)")})
-over("t15_safe_name", docs, D, {"name": (lambda: text.safe_name(F.substring("text", 1, 80)), """lower(substring(regexp_replace(regexp_replace(trim(regexp_replace(substring(text, 1, 80), '[\\\\/*?:"<>|]', '', 'g'), ' ' || chr(10) || chr(9) || chr(13)), '\\s+', '_', 'g'), '[^\\x00-\\x7F]', '', 'g'), 1, 50))""")})
+over("t15_safe_name", docs, D, {"name": (lambda: text.safe_name(C("text")), """lower(substring(regexp_replace(regexp_replace(trim(regexp_replace(text, '[\\\\/*?:"<>|]', '', 'g'), ' ' || chr(10) || chr(9) || chr(13)), '\\s+', '_', 'g'), '[^\\x00-\\x7F]', '', 'g'), 1, 50))""")})
 over("t16_path_domain", "pages", ["page_id"], {"folder": (lambda: text.path_domain(urls.host(C("url"))), f"translate({sql.host('url')}, ':/', '__')")})
 over("t17_genre_of_url", "songs", D, {"found": (lambda: urls.genre_of(F.concat(F.lit("https://h.example/"), "genre", F.lit("/artistas.html"))), "regexp_extract('https://h.example/' || genre || '/artistas.html', '/([^/]+)/artistas\\.html$', 1)"), "none_found": (lambda: urls.genre_of(F.lit("https://h.example/x")), "'unknown_genre'")}, X.SONGS_SQL)
 over("t18_artist_of_url", "songs", D, {"found": (lambda: urls.artist_of(F.concat(F.lit("https://h.example/grupo-"), "artist", F.lit("/song/"))), "'Grupo ' || upper(substring(artist, 1, 1)) || substring(artist, 2)")}, X.SONGS_SQL)

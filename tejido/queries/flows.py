@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import text, urls
 from ..operators import frontier as O
 from ..plans import fixtures as X
 from ..streaming import flows
@@ -50,33 +50,40 @@ def _(t):
     return t.documents.select("doc_id", F.when(short, "failed").otherwise("completed").alias("status"), F.when(short, "too short").alias("error"))
 
 
-EDGES = "edges AS (SELECT doc_id AS parent, (doc_id * 3 + 1) % 997 AS child FROM documents UNION ALL SELECT doc_id, (doc_id * 5 + 2) % 997 FROM documents)"
+#: A host leads to its pages, a page to its links, a link to its host, which closes circles.
+EDGES = f"""{X.LINKS_SQL}, edges AS (SELECT {X.HOST_SQL} AS parent, url AS child FROM pages UNION SELECT url, link FROM links UNION SELECT link, {X.HOST_SQL.replace('url', 'link')} FROM links),
+ hosts AS (SELECT DISTINCT {X.HOST_SQL} AS node FROM pages)"""
 
 
 def _edges(t):
-    i = C("doc_id")
-    return t.documents.select(i.alias("parent"), F.explode(F.array(F.pmod(i * 3 + 1, F.lit(997)), F.pmod(i * 5 + 2, F.lit(997)))).alias("child"))
+    host = lambda c: urls.host(C(c))
+    found = t.links.select("url", "link")
+    return t.pages.select(host("url").alias("parent"), C("url").alias("child")).unionByName(found.select(C("url").alias("parent"), C("link").alias("child"))).unionByName(found.select(C("link").alias("parent"), host("link").alias("child"))).distinct()
 
 
-REACH = f"WITH RECURSIVE {EDGES}, reach AS (SELECT 0::BIGINT AS node, 0 AS depth UNION SELECT child, depth + 1 FROM reach JOIN edges ON parent = node WHERE depth < 6) SELECT node, min(depth) AS depth FROM reach GROUP BY node"
+def _hosts(t):
+    return t.pages.select(urls.host(C("url")).alias("node"))
+
+
+REACH = f"WITH RECURSIVE {EDGES}, reach AS (SELECT node, 0 AS depth FROM hosts UNION SELECT child, depth + 1 FROM reach JOIN edges ON parent = node WHERE depth < 6) SELECT node, min(depth) AS depth FROM reach GROUP BY node"
 
 
 @query("r03_recursive_growth", REACH)
 def _(t):
-    return flows.reachable(t.spark, t.spark.range(1).select(C("id").alias("node")), _edges(t), 6, keep(t))
+    return flows.reachable(t.spark, _hosts(t), keep(t)(_edges(t)), 6, keep(t))
 
 
-@query("r04_cycle_guard", f"WITH RECURSIVE {EDGES}, reach AS (SELECT 0::BIGINT AS node UNION SELECT child FROM reach JOIN edges ON parent = node) SELECT count(*) AS nodes FROM reach")
+@query("r04_cycle_guard", f"WITH RECURSIVE {EDGES}, reach AS (SELECT node FROM hosts UNION SELECT child FROM reach JOIN edges ON parent = node) SELECT count(*) AS nodes FROM reach")
 def _(t):
-    return flows.reachable(t.spark, t.spark.range(1).select(C("id").alias("node")), _edges(t), 50, keep(t)).agg(F.count("*").alias("nodes"))
+    return flows.reachable(t.spark, _hosts(t), keep(t)(_edges(t)), 50, keep(t)).agg(F.count("*").alias("nodes"))
 
 
 @query("r05_stream_dedup", "SELECT event_type, user_id FROM events GROUP BY 1, 2")
 def _(t):
     out, state = folder(t, "seen"), folder(t, "state")
     first = flows.first_seen(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), "ts", "60 days", "event_type", "user_id").select("event_type", "user_id")
-    flows.run_stream(first, lambda df, n: df.write.mode("append").parquet(out), state)
-    return t.spark.read.schema("event_type string, user_id bigint").parquet(out)
+    flows.run_stream(first, flows.batch_sink(out), state)
+    return t.spark.read.schema("event_type string, user_id bigint, batch bigint").parquet(out).drop("batch")
 
 
 @query("r06_rolling_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -91,6 +98,13 @@ def _(t):
     return flows.rolling_counts(e, "ts", "1 day").select(F.date_format("start", "yyyy-MM-dd").alias("start"), "n")
 
 
+@query("r06_trailing_counts", "SELECT event_type, count(*) FILTER (ts > m - INTERVAL 1 HOUR) AS last_hour, count(*) FILTER (ts > m - INTERVAL 1 DAY) AS last_day FROM events, (SELECT max(ts) AS m FROM events) GROUP BY 1")
+def _(t):
+    e = t.events.withColumn("ts", C("ts").cast("timestamp"))
+    now = F.lit(e.agg(F.max("ts")).first()[0])
+    return flows.trailing_counts(e, "ts", now, {"last_hour": "INTERVAL 1 HOUR", "last_day": "INTERVAL 1 DAY"}, "event_type")
+
+
 @query("r07_freshness_horizon", f"WITH {X.FEED_SQL} SELECT event_id FROM feed WHERE published_date IS NULL OR published_date >= TIMESTAMP '2024-01-28' - INTERVAL 48 HOUR")
 def _(t):
     return flows.fresh(t.feed, "published_date", F.lit("2024-01-28").cast("timestamp") - F.expr("INTERVAL 48 HOURS")).select("event_id")
@@ -100,11 +114,11 @@ def _(t):
 def _(t):
     out, state = folder(t, "frontier"), folder(t, "state")
 
-    def put(df, n):
-        O.first_of(O.new_rows(df.select("url", F.lit("pages").alias("source")), t.as_of), ["url_hash"], C("url")).select("url_hash", C("discovered_from").alias("method"), "status").write.mode("append").parquet(out)
-
+    rows = lambda df: O.first_of(O.new_rows(df.select("url", F.lit("pages").alias("source")), t.as_of), ["url_hash"], C("url")).select("url_hash", C("discovered_from").alias("method"), "status")
+    put = flows.batch_sink(out, rows, ["url_hash"])
     flows.run_stream(stream(t, "pages"), put, state)
-    return t.spark.read.parquet(out)
+    flows.run_stream(stream(t, "pages"), lambda df, n: put(df, n + 1_000_000), folder(t, "state"))  # all of it comes once more
+    return t.spark.read.parquet(out).drop("batch")
 
 
 @query("r11_running_totals", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
@@ -115,10 +129,11 @@ def _(t):
     return t.spark.read.parquet(out).select("event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query("r12_alerts", "SELECT start, tokens, errors FROM (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, CAST(sum(event_id) AS BIGINT) AS tokens, count(*) FILTER (event_type = 'click') AS errors, count(*) AS n FROM events GROUP BY 1) WHERE tokens < 1000000 OR errors / n::DOUBLE > 0.3")
+@query("r12_alerts", f"""WITH {X.FRONTIER_SQL} SELECT start, tokens, errors FROM (SELECT strftime(date_trunc('hour', updated_at), '%Y-%m-%d %H:00') AS start, CAST(sum(token_count) AS BIGINT) AS tokens,
+  count(*) FILTER (status = 'failed') AS errors, count(*) AS n FROM frontier WHERE status <> 'pending' GROUP BY 1) WHERE tokens < 1000000 OR errors / n::DOUBLE > 0.3""")
 def _(t):
-    day = F.date_format("ts", "yyyy-MM-dd")
-    hourly = t.events.groupBy(day.alias("start")).agg(F.sum("event_id").alias("tokens"), F.count_if(C("event_type") == "click").alias("errors"), F.count("*").alias("n"))
+    hour = F.date_format("updated_at", "yyyy-MM-dd HH:00")
+    hourly = t.frontier.filter("status <> 'pending'").groupBy(hour.alias("start")).agg(F.sum("token_count").alias("tokens"), F.count_if(C("status") == "failed").alias("errors"), F.count("*").alias("n"))
     return flows.alerts(hourly).select("start", "tokens", "errors")
 
 

@@ -112,9 +112,9 @@ def _(t):
     return found.filter(urls.valid_link(C("url"), F.lit("feed.example.com")))
 
 
-@query("s18_pdf_text", "SELECT item_id, substring(regexp_replace(text, '[()\\\\]', ' ', 'g'), 1, 400) AS text FROM benchmark")
+@query("s18_pdf_text", "SELECT item_id, regexp_replace(text, '[()\\\\]', ' ', 'g') AS text FROM benchmark")
 def _(t):
-    shown = F.substring(F.regexp_replace("text", r"[()\\]", " "), 1, 400)
+    shown = F.regexp_replace("text", r"[()\\]", " ")
     pdf = F.concat(F.lit("%PDF-1.4\n1 0 obj << >> stream\nBT ("), shown, F.lit(") Tj ET\nendstream endobj\n%%EOF")).cast("binary")
     return t.benchmark.select("item_id", readers.pdf_text(pdf).alias("text"))
 
@@ -137,7 +137,7 @@ def _(t):
     return latin.select("doc_id", readers.decoded(C("content")).alias("text"))
 
 
-@query("s23_robots_rules", "SELECT * FROM (VALUES ('a.example', '*', 'disallow', '/privado'), ('a.example', '*', 'allow', '/'), ('a.example', 'bot', 'disallow', '/x')) v(host, agent, rule, path)")
+@query("s23_robots_rules", f"WITH {X.DOMAINS_SQL} SELECT domain AS host, agent, rule, path FROM domains, (VALUES ('*', 'disallow', '/privado'), ('*', 'allow', '/'), ('bot', 'disallow', '/x'), ('other', 'disallow', '/x')) v(agent, rule, path)")
 def _(t):
-    lines = ["User-agent: *", "Disallow: /privado # no", "Allow: /", "User-Agent: Bot", "Disallow:", "Disallow: /x"]
-    return readers.robots_rules(t.spark.createDataFrame([("a.example", k, x) for k, x in enumerate(lines)], "host string, seq int, line string"))
+    lines = F.array(*map(F.lit, ["User-agent: *", "Disallow: /privado # no", "Allow: /", "User-Agent: Bot", "User-agent: other", "Disallow:", "Disallow: /x"]))
+    return readers.robots_rules(t.domains.select(C("domain").alias("host"), F.posexplode(lines).alias("seq", "line")))

@@ -147,14 +147,18 @@ def decoded(content: Column) -> Column:
 
 
 def robots_rules(lines: DataFrame) -> DataFrame:
-    """host, agent, rule and path of robots.txt lines (host, seq, line): a rule is under the user-agent line before it."""
+    """host, agent, rule and path of robots.txt lines (host, seq, line): a rule is for all user-agents of the group before it, which are
+    those named in successive lines."""
     from pyspark.sql.window import Window
 
-    agent = F.lower(F.trim(F.regexp_extract("line", r"(?i)^\s*user-agent:\s*([^#]*)", 1)))
-    w = Window.partitionBy("host").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    under = lines.withColumn("agent", F.last(F.nullif(agent, F.lit("")), True).over(w))
+    agent = F.nullif(F.lower(F.trim(F.regexp_extract("line", r"(?i)^\s*user-agent:\s*([^#]*)", 1))), F.lit(""))
     rule, path = F.lower(F.regexp_extract("line", r"(?i)^\s*(allow|disallow):", 1)), F.trim(F.regexp_extract("line", r"(?i)^\s*(?:allow|disallow):\s*([^#]*)", 1))
-    return under.select("host", "agent", rule.alias("rule"), path.alias("path")).filter("rule <> '' and path <> ''")
+    told = lines.select("host", "seq", agent.alias("agent"), rule.alias("rule"), path.alias("path")).filter("agent is not null or rule <> ''")
+    order = Window.partitionBy("host").orderBy("seq")  # the lines of one file
+    opens = F.col("agent").isNotNull() & F.lag("agent").over(order).isNull()
+    grouped = told.withColumn("opens", opens.cast("int")).withColumn("group", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    named = grouped.filter("agent is not null").groupBy("host", "group").agg(F.collect_set("agent").alias("agents"))
+    return grouped.filter("agent is null and path <> ''").join(named, ["host", "group"]).select("host", F.explode("agents").alias("agent"), "rule", "path")
 
 
 def pdf_text_of(content: bytes | None) -> str | None:

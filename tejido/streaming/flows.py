@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import frontier as O
 
@@ -15,11 +16,31 @@ def run_stream(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkp
     stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def batch_sink(folder: str, rows: Callable[[DataFrame], DataFrame] = lambda df: df, keys: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink of rows(batch), each batch in a folder of its own (batch=n): a batch that comes again after a failure takes its own place.
+    With keys, rows whose keys an earlier batch has written are left out, so that what is delivered twice is kept once."""
+
+    def put(batch: DataFrame, n: int) -> None:
+        spark, new = batch.sparkSession, rows(batch)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if keys and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            before = spark.read.schema(T.StructType([*new.schema.fields, T.StructField("batch", T.LongType())])).parquet(folder)
+            new = new.join(before.filter(F.col("batch") < n).select(*keys), keys, "left_anti")
+        new.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+    return put
+
+
 def rolling_counts(events: DataFrame, stamp: str, span: str, *keys: str) -> DataFrame:
     """Events by key in tumbling windows."""
     return events.groupBy(F.window(stamp, span), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *keys, "n")
 
 
+def trailing_counts(events: DataFrame, stamp: str, as_of: Column, spans: dict[str, str], *keys: str) -> DataFrame:
+    """Events by key in the spans (name: interval) that end at as_of."""
+    return events.groupBy(*keys).agg(*[F.count_if(F.col(stamp) > as_of - F.expr(span)).alias(name) for name, span in spans.items()])
+
+
 def first_seen(stream: DataFrame, stamp: str, horizon: str, *keys: str) -> DataFrame:
     """Rows whose keys have not come within the horizon; state older than that is dropped."""
     return stream.withWatermark(stamp, horizon).dropDuplicatesWithinWatermark(list(keys))
