@@ -3,16 +3,15 @@
 Each match of the splitting pattern is a piece. The distinct pieces of a batch that are not cached go
 into padded matrices, one row a piece, pieces of like length together. In every round every row
 merges its leftmost pair of least rank; ranks of pairs come from an exact hash table for the whole
-matrix at once, and rows that can merge no further leave the matrix. Pieces beyond LONG bytes, for which a
-round a merge costs the square of the length, merge by a heap of (rank, position), which takes the same pairs
-in the same order.
+matrix at once, and rows that can merge no further leave the matrix. For rows beyond LONG bytes a round a merge
+would cost the square of the length; if every token ranks behind its parts, as trained vocabularies have it, a round merges
+the pair of least rank in all its places, from left to right, which gives the same ids: a merge then makes no pair of less or equal rank.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,7 +24,7 @@ from pyspark.sql import types as T
 
 from ._shared import IntTable, slices
 
-#: Bytes of a piece from which the heap takes over.
+#: Bytes of a piece from which a round merges a pair in all its places.
 LONG = 192
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
 CACHE = 200_000
@@ -65,7 +64,8 @@ class Codec:
                     keys.append(a << 32 | b)
                     values.append(rank)
         self.pairs = IntTable(np.array(keys, np.int64), np.array(values, np.int32))
-        self.pair_of = None
+        parts = np.array(keys, np.int64)
+        self.ordered = bool((np.array(values) > np.maximum(parts >> 32, parts & 0xFFFFFFFF)).all())
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.forget()
         order = sorted(self.ranks.items(), key=lambda x: x[1])
@@ -133,29 +133,23 @@ class Codec:
         return np.where(found < 0, NONE, found)
 
     def merge_long(self, piece: bytes) -> np.ndarray:
-        """Ids of one piece of any length, in n log n steps."""
-        if self.pair_of is None:
-            held = self.pairs.keys >= 0
-            self.pair_of = dict(zip(self.pairs.keys[held].tolist(), self.pairs.values[held].tolist(), strict=True))
-        pair_of, n = self.pair_of, len(piece)
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := pair_of.get(ids[i] << 32 | ids[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = rank, -1
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                if (r := pair_of.get(rank << 32 | ids[k])) is not None:
-                    heapq.heappush(heap, (r, i, rank, ids[k]))
-            if (h := before[i]) >= 0 and (r := pair_of.get(ids[h] << 32 | rank)) is not None:
-                heapq.heappush(heap, (r, h, ids[h], rank))
-        return np.array([x for x in ids if x >= 0], np.int32)
+        """Ids of one piece of any length, a round for each different pair that it merges."""
+        if not self.ordered:
+            return self.merge_rows([piece], len(piece))[0]
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        ranks = self._rank(ids[:-1], ids[1:])
+        while len(ranks) and (best := ranks.min()) != NONE:
+            at = np.flatnonzero(ranks == best)
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))  # where places overlap, every second one goes
+            at = at[(np.arange(len(at)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(at)]])))) % 2 == 0]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids[at] = best
+            ids, ranks = ids[stay], ranks[stay[1:]]
+            at = at - np.arange(len(at))
+            for near in (at[at > 0] - 1, at[at < len(ranks)]):
+                ranks[near] = self._rank(ids[near], ids[near + 1])
+        return ids
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of pieces into the cache."""
@@ -272,7 +266,8 @@ def decode(df: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", into: st
 
 def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: the ids that encode() gives, joined by commas, and the bytes that
-    decode() gives for those ids, as SHA-256. The digests are taken where the ids are made, so that neither goes through the JVM."""
+    decode() gives for those ids, as SHA-256. Null and empty texts have no ids; texts of any length are taken whole; repeated rows have a
+    row each. The digests are taken where the ids are made, so that neither goes through the JVM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)

@@ -380,3 +380,88 @@ def test_calls_in_texts(spark):
     assert {k: (r.status, r.depth, r.n_results) for k, r in calls.items()} == {"call_0": ("answered", 0, 2), "x": ("answered", 0, 1), "y": ("invalid", 1, 0)}
     assert calls["x"].record == '{"arguments":{"a":1,"b":2},"id":"x","name":"add","result":"3","status":"answered"}'
     assert sorted((r.turn, r.kind, r.status) for r in made if r.kind != "call") == [(2, "result", "linked"), (3, "result", "unlinked"), (4, "message", "kept"), (5, "result", "linked"), (6, "result", "linked")]
+
+
+def test_warc_headers_of_any_length(spark, tmp_path):
+    records = [warc.record("response", str(k), "http://x/" + "".join(random.Random(k).choices("abcdefghijklmnop0123456789", k=100_000 if k == 1 else 10)), b"payload", "00" * 20, None) for k in range(4)]
+    members = [warc.gzip_member(r, 4) for r in records]
+    starts = np.cumsum([0, *map(len, members)]).tolist()
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(members))
+    assert len(members[1]) > 50_000
+    for split in (starts[1], 4096, starts[4]):  # the long header begins a split
+        assert [o for s in range(0, starts[4], split) for o, *_ in warc.records_of(str(path), starts[4], s, min(s + split, starts[4]))] == starts[:4]
+    rows = [(k, "http://x/" + "ab" * 60_000, "x" * (900 + 100 * k)) for k in range(3)]
+    found = warc.archived(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(r.page_id for r in found) == [0, 1, 2]
+
+
+def test_warc_hot_payloads(spark):
+    rows = [(k, "http://x/", "y" * 2000 if k % 3 else "small") for k in range(400)] + [(399, "http://again/", "y" * 2000), (399, "http://other/", "z" * 2000)]
+    found = warc.archived(spark.createDataFrame(rows, PAGES).repartition(5)).collect()
+    assert len(found) == len(rows)
+    assert all((r.record_type, r.refers_to) == (("response", None) if r.payload_bytes < 1000 or r.page_id == 399 else ("revisit", 399)) for r in found)
+
+
+def test_passages_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    rng = random.Random(21)
+    line, pieces = prose(800, 14), [prose(810 + k, 55) for k in range(5)]
+    texts = [" ".join(x for k in range(3) for x in (prose(8000 + 10 * i + k, rng.randint(3, 30)), line, rng.choice(pieces))) for i in range(60)] + [prose(850, 20) + " " + " ".join([line] * 30)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    one = sorted(map(tuple, substring_dedup.passages(df.coalesce(1)).collect()))
+    monkeypatch.setattr(substring_dedup, "SLICE", 900)
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert sorted(map(tuple, substring_dedup.passages(df.orderBy(F.desc("doc_id")).repartition(7)).collect())) == one
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(one) >= 60
+
+
+def common_words(x, y):
+    row = [0] * (len(y) + 1)
+    for v in x:
+        before = row[:]
+        for j, u in enumerate(y):
+            row[j + 1] = before[j] + 1 if u == v else max(row[j], before[j + 1])
+    return row[-1]
+
+
+def test_fuzzy_passages_against_plain_version(spark):
+    rng = random.Random(31)
+    texts, planted = [], []
+    for k in range(40):
+        piece = prose(900 + k, 80).split()
+        changed = piece[:]
+        for at in rng.sample(range(80), rng.choice([2, 4, 6, 8])):
+            changed[at] = f"other{at}" if rng.random() < 0.7 else ""
+        a, b = prose(1000 + k, 30).split(), prose(1100 + k, 25).split()
+        texts.append(" ".join(a + piece))
+        texts.append(" ".join(b + [w for w in changed if w] + prose(1200 + k, 20).split()))
+        planted.append((2 * k, 2 * k + 1))
+    found = substring_dedup.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    for r in found:  # every row is what it says
+        x, y = texts[r.first_id].split()[r.first_start : r.first_stop], texts[r.doc_id].split()[r.start : r.stop]
+        assert min(len(x), len(y)) >= 50 and r.n_same >= 0.8 * max(len(x), len(y)) and r.n_same <= common_words(x, y)
+    pairs = {(r.first_id, r.doc_id) for r in found}
+    assert pairs <= set(planted) and len(pairs) >= 0.9 * len(planted)
+
+
+def test_passages_of_odd_rows(spark):
+    shared = prose(70, 60)
+    rows = [(1, shared + " " + " ".join(["again"] * 3000)), (2, shared), (2, shared), (3, " ".join(["again"] * 4000)), (None, shared), (4, None), (5, "")]
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.first_id, r.doc_id) for r in found} >= {(1, 2), (1, 3)} and all(r.first_id < r.doc_id for r in found)
+
+
+def test_slots_are_the_earliest_deadlines():
+    from fractions import Fraction
+
+    share, period = mixing.exact_shares({"a": 0.5, "b": 0.3, None: 0.15, "c": 0.05})
+    names = sorted(share, key=lambda s: (s is not None, s or ""))
+    done = dict.fromkeys(names, 0)
+    for slot, (k, i) in zip(range(3 * period), mixing.slots(share, period), strict=False):
+        weight = {s: Fraction(share[s], period) for s in names}
+        ready = [(-(-(done[s] + 1) // weight[s]), j) for j, s in enumerate(names) if done[s] / weight[s] <= slot or done[s] // weight[s] <= slot]
+        assert (k, i) == (min(ready)[1], done[names[min(ready)[1]]])
+        done[names[k]] += 1

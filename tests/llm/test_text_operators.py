@@ -175,3 +175,130 @@ def test_long_texts_are_scored_in_stretches():
     model = langid.Model(["a", "b"], np.random.default_rng(0).integers(0, 9, (2, langid.BUCKETS)), np.array([1.0, 1.0]))
     text = "word " * 100_000
     assert model.score([text]).shape == (1, 2)
+
+
+def plain_ngrams(text):
+    padded = f" {text.lower()} "
+    return [padded[k : k + n] for n in langid.ORDERS for k in range(len(padded) - n + 1)]
+
+
+def test_long_texts_count_as_if_uncut(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdé ß"), 600_000))
+    model = langid.Model(["a", "b"], rng.integers(0, 90, (2, langid.BUCKETS)), np.array([1.0, 3.0]))
+    cut = model.score([text, "short", text[:300_000]])
+    monkeypatch.setattr(langid, "STRETCH", 1 << 22)
+    whole = model.score([text, "short", text[:300_000]])
+    assert np.allclose(cut, whole, rtol=0, atol=1e-5)
+    for most in (1, 2, 3, 7, 50):
+        counts = np.zeros(langid.BUCKETS, np.int64)
+        for _, parts, own in langid.stretches(["Ab ba", "x", "", "yyyy" * 9], most):
+            sizes = np.array([len(p) for p in parts])
+            for n, found in zip(langid.ORDERS, langid.ngram_buckets(langid.codes("".join(parts))), strict=False):
+                counts += np.bincount(found[langid.owned(sizes, own, n)], minlength=langid.BUCKETS)
+        want = np.zeros(langid.BUCKETS, np.int64)
+        for t in ("Ab ba", "x", "", "yyyy" * 9):
+            for g in plain_ngrams(t):
+                want[langid.ngram_buckets(langid.codes(g))[len(g) - 1][0]] += 1
+        assert (counts == want).all()
+
+
+def test_language_against_plain_naive_bayes(spark):
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(8)
+    stems = {"en": "th ing er and on re".split(), "es": "que ción lla ño ar es".split(), "de": "sch ung über en ich ein".split()}
+    rows = []
+    for i in range(160):
+        lang = ("en", "es", "de")[i % 3]
+        text = " ".join("".join(rng.choices(stems[lang] + stems["en"], k=rng.randint(1, 3))) for _ in range(rng.randint(1, 25)))
+        rows.append((i, text, lang if i % 5 else None, "s", len(text)))
+    learnt = [(t, a) for i, t, a, _, _ in rows if a and zlib.crc32(str(i).encode()) % 4 != 2]
+    bucket = lambda g: int(langid.ngram_buckets(langid.codes(g))[len(g) - 1][0])
+    counts = {a: Counter(bucket(g) for t, b in learnt if a == b for g in plain_ngrams(t)) for a in stems}
+    total = {a: sum(c.values()) + langid.ALPHA * langid.BUCKETS for a, c in counts.items()}
+    found = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    right = held = 0
+    for i, text, _, _, _ in rows:
+        log = {a: math.log(sum(b == a for _, b in learnt) / len(learnt)) + sum(math.log((counts[a][bucket(g)] + langid.ALPHA) / total[a]) for g in plain_ngrams(text)) for a in stems}
+        best = max(sorted(log), key=log.get)
+        assert found[i].lang_pred == best
+        assert found[i].score == pytest.approx(1 / sum(math.exp(v - log[best]) for v in log.values()), abs=1e-3)
+        if found[i].held_out:
+            held += 1
+            right += best == ("en", "es", "de")[i % 3]
+    assert right >= 0.9 * held > 0
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    told = [r for r in langid.identify(docs).collect() if r.held_out and truth[r.doc_id] is not None and r.lang_pred != "und"]
+    assert sum(truth[r.doc_id] == r.lang_pred for r in told) >= 0.97 * len(told) > 0
+
+
+def test_margin_tells_texts_in_doubt(spark):
+    df = table(spark, ["the thing and the other"] * 12).unionByName(table(spark, ["der schöne und die straße"] * 12).selectExpr("doc_id + 100 as doc_id", "text", "'de' as lang", "source", "n_chars"))
+    odd = spark.createDataFrame([(900, "qqqqq" * 40, None, "s", 200), (901, "the thing and", None, "s", 13)], DOCS)
+    kept = {r.doc_id for r in langid.keep_identified(df.unionByName(odd)).collect()}
+    assert 900 not in kept and 901 in kept and len(kept) == 25
+
+
+def test_likeness_against_true_phrase_sets():
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(400)]
+    for share in (0.0, 0.3, 0.7, 0.95):
+        a = [rng.choice(words) for _ in range(1500)]
+        b = a[: int(len(a) * share)] + [rng.choice(words) for _ in range(len(a) - int(len(a) * share))]
+        a, b = " ".join(a), " ".join(b)
+        x, y = plain_parse(a), plain_parse(b)
+        assert len(x) > 1000
+        told = lz_fingerprint.likeness(lz_fingerprint.fingerprint_text(a), lz_fingerprint.fingerprint_text(b))
+        assert told == pytest.approx(len(x & y) / len(x | y), abs=0.15)  # 3.4 deviations of a sample of 128
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="abc é", max_size=60), st.text(alphabet="abd日", max_size=30))
+def test_edited_text_is_parsed_as_by_itself(text, follower):
+    digest, own, other = lz_fingerprint._both(text, follower)
+    n = len(text) // 4
+    changed = text[: len(text) - n] + follower[:n]
+    assert digest == hashlib.sha256(changed.encode()).hexdigest()
+    assert np.array_equal(own, lz_fingerprint.fingerprint_text(text)) and np.array_equal(other, lz_fingerprint.fingerprint_text(changed))
+    assert set(lz_fingerprint.Parser().feed(text)) == plain_parse(text)
+
+
+def test_very_long_and_repetitive_texts(spark):
+    text = "ab" * 200_000 + "é" * 300_000
+    assert len(lz_fingerprint.fingerprint_text(text)) == lz_fingerprint.K
+    found = lz_fingerprint.edit_ring(spark.createDataFrame([(1, text), (2, "x" * 10), (3, text)], "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert found[0].fingerprint == found[2].fingerprint and found[0].n_chars == 700_000
+
+
+def test_long_pieces_agree_with_library():
+    own, e = bpe.codec(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN), encoding()
+    assert own.ordered
+    rng = np.random.default_rng(4)
+    for text in ("a" * 5000, "ab" * 4001, "日本語" * 900, "".join(rng.choice(list("etaoinshr"), 9000)), "=" * 3001 + "-" * 777):
+        assert own.encode([text])[0].tolist() == e.encode_ordinary(text)
+    own.ordered = False
+    assert own.merge_long(b"abcabcabc" * 30).tolist() == e.encode_ordinary("abcabcabc" * 30)
+    own.ordered = True
+
+
+def test_rows_are_placed_by_halving(spark):
+    edges = [-5, 0, 3, 3_000_000_000, 2**62]
+    values = [-(2**63), -6, -5, -1, 0, 2, 3, 4, 2**40, 2**62, 2**63 - 1]
+    for some in (edges, edges[:1], []):
+        got = [r.p for r in spark.createDataFrame([(v,) for v in values], "v bigint").coalesce(1).select(lz_fingerprint.below(F_col("v"), some).alias("p")).collect()]
+        assert got == [sum(e <= v for e in some) for v in values]
+
+
+def F_col(name):
+    from pyspark.sql import functions as F
+
+    return F.col(name)
