@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tejido.llm import bpe, langid, mixing, simhash, substring_dedup
-from tejido.llm._shared import cut
+from tejido.llm._shared import cut, drop_cut
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +57,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for _, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), "stage")
+        if before is not None:
+            drop_cut(before)
+        before = docs
     return docs
 
 
