@@ -323,6 +323,32 @@ def _word_hits(lowered: Column, list_: list[str]) -> Column:
     return F.size(F.filter(words(lowered), lambda w: w.isin(*list_)))
 
 
+#: Frequent function words of some languages, by which language() tells them; the first of languages with equal counts is taken.
+FUNCTION_WORDS = {
+    "es": ["de", "la", "que", "el", "los", "las", "por", "con", "para", "una", "su", "del", "al", "como", "más", "pero", "es", "se", "un", "y"],
+    "en": ["the", "of", "and", "to", "is", "in", "that", "it", "was", "for", "on", "are", "with", "as", "be", "this", "by", "not", "an", "or"],
+    "fr": ["le", "les", "des", "et", "du", "une", "est", "dans", "qui", "pour", "pas", "sur", "au", "avec", "ce", "ne", "la", "de", "par", "un"],
+    "de": ["der", "die", "und", "das", "den", "von", "zu", "mit", "sich", "des", "auf", "für", "ist", "im", "nicht", "ein", "eine", "dem", "es", "auch"],
+    "pt": ["de", "que", "do", "da", "em", "um", "para", "com", "não", "uma", "os", "no", "se", "na", "por", "mais", "as", "dos", "ao", "foi"],
+    "it": ["di", "che", "il", "per", "non", "una", "della", "con", "sono", "del", "gli", "dei", "alla", "più", "ha", "è", "le", "un", "nel", "si"],
+}
+
+
+def language(text: Column) -> Column:
+    """The language of which text holds the most different function words; null if it holds none. A plain scorer of the engine's own."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
+
+    def best(words_: Column) -> Column:
+        counts = {lang: F.size(F.array_intersect(words_, F.array(*map(F.lit, terms)))) for lang, terms in FUNCTION_WORDS.items()}
+        most = F.greatest(*counts.values())
+        out = F.when(most <= 0, F.lit(None).cast("string"))
+        for lang, n in counts.items():
+            out = out.when(n == most, lang)
+        return out
+
+    return let(found, best)
+
+
 def spanish_post(text: Column) -> Column:
     lowered = F.lower(text)
     return any_in(lowered, L.SPANISH_LETTERS) | (_word_hits(lowered, L.POST_WORDS) >= 2)

@@ -9,20 +9,11 @@ from ..operators import frontier as O
 from ..plans import fixtures as X
 from ..streaming import flows
 from . import query, sql
-from .sinks import folder
+from .sinks import folder, keep
 
 C = F.col
 
 
-def keep(t):
-    def put(df):
-        to = folder(t, "round")
-        df.write.parquet(to)
-        return t.spark.read.schema(df.schema).parquet(to)
-
-    return put
-
-
 def stream(t, name: str):
     """A table as a stream of files."""
     return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.dir}/{name}.parquet*")
@@ -137,8 +128,11 @@ def _(t):
     return flows.alerts(hourly).select("start", "tokens", "errors")
 
 
-@query("a22_language_words", f"SELECT doc_id, {sql.hits('lower(text)', ['ción', 'ñ'])} > 0 AS spanish_marks FROM documents")
-def _(t):
-    return t.documents.select("doc_id", (text.lexicon_hits(F.lower("text"), ["ción", "ñ"]) > 0).alias("spanish_marks"))
+FOUND = "list_distinct(regexp_extract_all(lower(text), '\\p{L}+'))"
+KINDS = ", ".join(f"len(list_intersect({FOUND}, {sql.array(w)})) AS n_{lang}" for lang, w in text.FUNCTION_WORDS.items())
+MOST = f"greatest({', '.join(f'n_{lang}' for lang in text.FUNCTION_WORDS)})"
 
 
+@query("a22_language_words", f"SELECT doc_id, {sql.hits('lower(text)', ['ción', 'ñ'])} > 0 AS spanish_marks, CASE WHEN {MOST} = 0 THEN NULL {' '.join(f'WHEN n_{lang} = {MOST} THEN {sql.lit(lang)}' for lang in text.FUNCTION_WORDS)} END AS language FROM (SELECT doc_id, text, {KINDS} FROM documents)")
+def _(t):
+    return t.documents.select("doc_id", (text.lexicon_hits(F.lower("text"), ["ción", "ñ"]) > 0).alias("spanish_marks"), text.language(C("text")).alias("language"))

@@ -22,6 +22,17 @@ def folder(t, kind: str) -> str:
     return f"{base.rstrip('/')}/tejido-{kind}-{uuid.uuid4().hex}"
 
 
+def keep(t):
+    """Writes a table between rounds and reads it back, which ends its lineage."""
+
+    def put(df):
+        to = folder(t, "round")
+        df.write.parquet(to)
+        return t.spark.read.schema(df.schema).parquet(to)
+
+    return put
+
+
 def _texts(t):
     key = text.content_key(C("text"))
     return t.documents.select(

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text, urls
+from ..operators import ranking
 from ..plans import fixtures as X
 from ..sources import readers
 from . import query, sql
+from .sinks import keep
 
 C = F.col
 SETTINGS = """
@@ -41,10 +43,20 @@ def _(t):
     return readers.seeds(readers.source_catalog(t.spark, CATALOG))
 
 
-@query("s06_channel_videos", "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS k FROM documents) WHERE k <= 50")
+#: Videos a response holds, and the most a channel gives.
+PER_RESPONSE, PER_CHANNEL = 50, 500
+
+
+@query("s06_channel_videos", f"SELECT source AS channel_id, rank, doc_id AS video_id FROM (SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS INTEGER) AS rank FROM documents) WHERE rank <= {PER_CHANNEL}")
 def _(t):
-    landed = t.documents.select(F.to_json(F.struct("doc_id", "source")).alias("json")).select(F.from_json("json", "doc_id bigint, source string").alias("v")).select("v.*")
-    return landed.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(C("doc_id").desc()))).filter("k <= 50").drop("k")
+    ranked = ranking.rank(t.documents.select("doc_id", "source", (-C("doc_id")).alias("newest")), "source", "newest", "k").withColumn("page", F.floor((C("k") - 1) / PER_RESPONSE))
+    item = F.struct(F.struct(F.struct(C("doc_id").cast("string").alias("videoId")).alias("resourceId")).alias("snippet"))
+    packed = ranked.groupBy("source", "page").agg(F.array_sort(F.collect_list(F.struct("k", item.alias("item")))).alias("rows"))
+    token = lambda c: F.concat(F.lit("p"), c.cast("string"))
+    following = F.when(F.size("rows") == PER_RESPONSE, token(C("page") + 1))
+    landed = packed.select(C("source").alias("channel_id"), F.when(C("page") > 0, token(C("page"))).alias("token"), F.to_json(F.struct(following.alias("nextPageToken"), F.col("rows.item").alias("items"))).alias("json"))
+    found = readers.channel_videos(keep(t)(landed), PER_CHANNEL, keep(t))
+    return found.select("channel_id", "rank", C("video_id").cast("long").alias("video_id"))
 
 
 @query("s07_channel_id", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'UC' || doc_id WHEN 1 THEN 'h' || doc_id END AS handle FROM documents")
@@ -119,6 +131,19 @@ def _(t):
     return t.benchmark.select("item_id", readers.pdf_text(pdf).alias("text"))
 
 
+ROWS = "item_id || chr(9) || length(text)"
+
+
+@query("s18_pdf_tables", f"SELECT item_id, regexp_replace(text, '[()\\\\]', ' ', 'g') || chr(10) || 'id' || chr(10) || 'n' || chr(10) || replace({ROWS}, chr(9), chr(10)) || repeat(chr(10), 3) || '[TABLA]' || chr(10) || 'id' || chr(9) || 'n' || chr(10) || {ROWS} || chr(10) || '[/TABLA]' || chr(10) AS text, 1 AS total_pages, 1 AS tables_found, 'no. ' || item_id AS title, '' AS author FROM benchmark")
+def _(t):
+    shown, i = F.regexp_replace("text", r"[()\\]", " "), C("item_id").cast("string")
+    cell = lambda x, y, s: F.concat(F.lit(f"1 0 0 1 {x} {y} Tm ("), s, F.lit(") Tj "))
+    cells = F.concat(cell(72, 600, F.lit("id")), cell(200, 600, F.lit("n")), cell(72, 580, i), cell(200, 580, F.length("text").cast("string")))
+    head = F.concat(F.lit("%PDF-1.4\n1 0 obj << /Title (no. "), i, F.lit(") >> endobj 2 0 obj << /Type /Page >> endobj 3 0 obj << >> stream\nBT /F1 12 Tf 72 700 Td ("))
+    pdf = F.concat(head, shown, F.lit(") Tj ET BT "), cells, F.lit("ET\nendstream endobj\n%%EOF")).cast("binary")
+    return t.benchmark.select("item_id", readers.pdf(pdf).alias("p")).select("item_id", "p.text", "p.total_pages", "p.tables_found", "p.title", "p.author")
+
+
 @query("s19_corpus_scan", "SELECT doc_id, substring(sha256(text), 1, 16) AS content_hash FROM documents")
 def _(t):
     path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), text.file_name(C("source"), F.lit("2024-01-01").cast("date"), text.content_key(C("text"))))

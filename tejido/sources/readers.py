@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,6 +121,36 @@ def sitemap_urls(xml: Column) -> Column:
     return F.transform(F.xpath(xml, F.lit("//*[local-name()='url']/*[local-name()='loc']/text()")), lambda u: F.trim(u))
 
 
+#: A response of a video service's list of uploads, and one item of it.
+UPLOAD = "struct<snippet: struct<title: string, description: string, publishedAt: string, resourceId: struct<videoId: string>>>"
+UPLOADS = f"struct<nextPageToken: string, items: array<{UPLOAD}>>"
+
+
+def channel_videos(responses: DataFrame, most: int, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """channel_id, rank, video_id, title, description and published_at of landed responses (channel_id, token, json), of which a channel's
+    first one has no token and each names the next one's. A channel ends with a response that names none, one that hasn't landed or one
+    that was read before, or at `most` videos.
+
+    A round follows all channels' cursors by one response; rounds carry tokens and counts only, which keep() writes, and the items are
+    read at the end. Responses that landed twice count once.
+    """
+    page = F.from_json("json", UPLOADS)
+    landed = responses.groupBy("channel_id", F.coalesce("token", F.lit("")).alias("token")).agg(F.min("json").alias("json")).select("channel_id", "token", page.alias("page"))
+    items = F.coalesce(F.col("page.items"), F.array().cast(f"array<{UPLOAD}>"))
+    cursors = keep(landed.select("channel_id", "token", F.nullif("page.nextPageToken", F.lit("")).alias("next"), F.size(items).alias("n")))
+    newest = keep(cursors.filter("token = ''").withColumn("before", F.lit(0)))
+    read = newest
+    while not newest.isEmpty():
+        ahead = newest.filter((F.col("before") + F.col("n") < most) & F.col("next").isNotNull()).select("channel_id", F.col("next").alias("token"), (F.col("before") + F.col("n")).alias("before"))
+        newest = keep(ahead.join(cursors, ["channel_id", "token"]).join(read.select("channel_id", "token"), ["channel_id", "token"], "left_anti").select(*newest.columns))
+        read = read.unionByName(newest)
+    found = landed.join(read.select("channel_id", "token", "before"), ["channel_id", "token"]).select("channel_id", "before", F.posexplode(items).alias("at", "item"))
+    return found.withColumn("rank", F.col("before") + F.col("at") + 1).filter(F.col("rank") <= most).select(
+        "channel_id", "rank", F.col("item.snippet.resourceId.videoId").alias("video_id"), F.col("item.snippet.title").alias("title"),
+        F.col("item.snippet.description").alias("description"), F.col("item.snippet.publishedAt").alias("published_at"),
+    )
+
+
 def transcripts(segments: DataFrame, languages: list[str] = ("es", "es-MX")) -> DataFrame:
     """video_id and text of (video_id, lang, seq, text): the first listed language that a video has, its segments cleaned and joined."""
     order = F.array_position(F.array(*map(F.lit, languages)), F.col("lang"))
@@ -161,29 +191,107 @@ def robots_rules(lines: DataFrame) -> DataFrame:
     return grouped.filter("agent is null and path <> ''").join(named, ["host", "group"]).select("host", F.explode("agents").alias("agent"), "rule", "path")
 
 
-def pdf_text_of(content: bytes | None) -> str | None:
-    """Text of a PDF's text layer: strings shown by Tj and TJ in plain or deflated streams; pages and lines by line feeds. None if the
-    bytes are no PDF. Fonts with an encoding of their own are not decoded."""
+#: What a content stream is made of: strings, hexadecimal strings, arrays, numbers, names and operators.
+PDF_TOKEN = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\[(?:\((?:\\.|[^\\()])*\)|[^\]()])*\]|[-+]?\d*\.?\d+|/[^\s/\[\]()<>]+|[A-Za-z*'\"]+", re.S)
+PDF_STRING = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>", re.S)
+PDF_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+PDF_FIELDS = {"title": b"Title", "author": b"Author", "subject": b"Subject", "creator": b"Creator", "creation_date": b"CreationDate"}
+
+
+def _pdf_string(raw: bytes) -> str:
+    if raw[:1] == b"<":
+        digits = re.sub(rb"\s", b"", raw[1:-1])
+        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode()).decode("utf-8", "replace")
+
+    def plain(m: re.Match) -> bytes:
+        code = m.group(1)
+        return bytes([int(code, 8) & 255]) if code[:1].isdigit() else PDF_ESCAPES.get(code, code)
+
+    return re.sub(rb"\\([0-7]{1,3}|.)", plain, raw[1:-1], flags=re.S).decode("utf-8", "replace")
+
+
+def _pdf_shown(stream: bytes) -> list[tuple[float, float, str]]:
+    """x, y and text of every string that a content stream shows, in its order. Only moves are followed, not the widths of glyphs."""
+    out, stack = [], []
+    x = y = leading = 0.0
+    for m in PDF_TOKEN.finditer(stream):
+        token = m.group()
+        if token[:1] in b"(<[/" or token[-1:].isdigit() or token[-1:] == b".":
+            stack.append(token)
+            continue
+        numbers = [float(t) for t in stack if re.fullmatch(rb"[-+]?\d*\.?\d+", t)]
+        if token == b"BT":
+            x = y = 0.0
+        elif token in (b"Td", b"TD") and len(numbers) >= 2:
+            x, y = x + numbers[-2], y + numbers[-1]
+            leading = -numbers[-1] if token == b"TD" else leading
+        elif token == b"Tm" and len(numbers) >= 6:
+            x, y = numbers[-2:]
+        elif token == b"TL" and numbers:
+            leading = numbers[-1]
+        elif token in (b"T*", b"'", b'"'):
+            y -= leading
+        if token in (b"Tj", b"TJ", b"'", b'"') and stack:
+            out.append((x, y, "".join(map(_pdf_string, PDF_STRING.findall(stack[-1])))))
+        stack = []
+    return out
+
+
+def _pdf_tables(shown: list[tuple[float, float, str]]) -> list[str]:
+    """Runs of two and more successive rows (strings of one height) that have two and more strings at the same places."""
+    rows: list[tuple[float, list[tuple[float, str]]]] = []
+    for x, y, cell in shown:
+        if not rows or rows[-1][0] != y:
+            rows.append((y, []))
+        rows[-1][1].append((x, cell))
+    tables, run, places = [], [], None
+    for _, cells in [*rows, (0.0, [])]:
+        own = tuple(x for x, _ in cells)
+        if own != places:
+            tables += [run] if len(run) > 1 else []
+            run, places = [], own if len(set(own)) == len(own) > 1 else None
+        if places:
+            run.append("\t".join(cell for _, cell in cells))
+    return ["\n[TABLA]\n" + "\n".join(t) + "\n[/TABLA]\n" for t in tables]
+
+
+def pdf_of(content: bytes | None) -> dict | None:
+    """Text, tables and document fields of a PDF: strings shown in plain or deflated streams, a line each, pages apart by an empty line,
+    each page's tables after its text as tab-separated [TABLA] blocks. None if the bytes are no PDF. Fonts with an encoding of their own
+    are not decoded, and tables are told by the places of their cells, not by ruled lines."""
     if not content or content[:5] != b"%PDF-":
         return None
-    out = []
+    parts, found = [], 0
     for raw in re.findall(rb"stream\r?\n(.*?)\r?\nendstream", content, re.S):
         try:
             raw = zlib.decompress(raw)
         except zlib.error:
             pass
-        lines = []
-        for shown in re.finditer(rb"\[((?:\\.|\([^)]*\)|[^\]])*)\]\s*TJ|\(((?:\\.|[^\\)])*)\)\s*(?:Tj|'|\")", raw, re.S):
-            strings = re.findall(rb"\(((?:\\.|[^\\)])*)\)", shown.group(1), re.S) if shown.group(1) is not None else [shown.group(2)]
-            lines.append(b"".join(re.sub(rb"\\([()\\])", rb"\1", s) for s in strings).decode("utf-8", "replace"))
-        if lines:
-            out.append("\n".join(lines))
-    return "\n\n".join(out)
+        shown = _pdf_shown(raw)
+        if shown:
+            tables = _pdf_tables(shown)
+            found += len(tables)
+            parts += ["\n".join(s for _, _, s in shown), *tables]
+    out = {"text": "\n\n".join(parts), "total_pages": len(re.findall(rb"/Type\s*/Page\b", content)), "tables_found": found}
+    for name, key in PDF_FIELDS.items():
+        value = re.search(rb"/" + key + rb"\s*(\((?:\\.|[^\\()])*\))", content, re.S)
+        out[name] = _pdf_string(value.group(1)) if value else ""
+    return out
+
+
+def pdf(content: Column) -> Column:
+    """Struct of text, total_pages, tables_found, title, author, subject, creator and creation_date; its text is null if bytes are no PDF."""
+    types = {"total_pages": T.IntegerType(), "tables_found": T.IntegerType()}
+    names = ["text", *types, *PDF_FIELDS]
+
+    @pandas_udf(T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names]))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            found = [pdf_of(b) or {} for b in s]
+            yield pd.DataFrame({n: pd.Series([f.get(n) for f in found], dtype=object if n not in types else "Int32") for n in names})
 
+    return run(content)
 
-def pdf_text(content: Column) -> Column:
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([pdf_text_of(b) for b in s], dtype=object)
 
-    return pandas_udf(run, T.StringType())(content)
+def pdf_text(content: Column) -> Column:
+    return pdf(content)["text"]

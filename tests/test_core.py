@@ -1,5 +1,8 @@
 """Literal cases with answers worked out by hand, for expressions, pages, readers, the frontier and the session."""
 
+import json
+import zlib
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -146,11 +149,38 @@ def test_readers(spark, tmp_path):
     found = {r.url: r for r in readers.feed_entries(rows).collect()}
     assert set(found) == {"https://x/1", "https://x/2"} and found["https://x/1"].categories == ["c1", "c2"] and found["https://x/2"].title == "Sin título"
     assert (found["https://x/1"].published_date.hour, found["https://x/2"].published_date.hour) in {(10, 8)}
-    assert readers.pdf_text_of(b"no pdf") is None
-    assert readers.pdf_text_of(b"%PDF-1.4\nstream\nBT [(Ho) -20 (la)] TJ (a \\(b\\)) Tj ET\nendstream") == "Hola\na (b)"
     assert one(spark, readers.decoded(F.lit(b"\xf1a"))) == "ña"
 
 
+def test_pdf():
+    assert readers.pdf_of(b"no pdf") is None and readers.pdf_of(None) is None and readers.pdf_of(b"%PDF-1.4")["text"] == ""
+    assert readers.pdf_of(b"%PDF-1.4\nstream\nBT [(Ho) -20 (la)] TJ (a \\(b\\)\\101) Tj <4869> Tj ET\nendstream")["text"] == "Hola\na (b)A\nHi"
+    place = lambda x, y, s: b"1 0 0 1 %d %d Tm (%s) Tj " % (x, y, s)
+    cells = place(72, 700, b"head") + b"".join(place(x, y, b"%d" % (x + y)) for y in (600, 580) for x in (72, 200)) + place(72, 500, b"one") + place(200, 500, b"row") + place(90, 400, b"x") + place(220, 400, b"y")
+    page = zlib.compress(b"BT " + cells + b"ET")
+    found = readers.pdf_of(b"%PDF-1.4\n<< /Title (A \\(b\\)) /Type /Pages >> << /Type /Page >>\nstream\n" + page + b"\nendstream")
+    assert (found["tables_found"], found["total_pages"], found["title"], found["author"]) == (1, 1, "A (b)", "")
+    assert found["text"].endswith("\n\n\n[TABLA]\n672\t800\n652\t780\none\trow\n[/TABLA]\n") and found["text"].startswith("head\n672\n800\n")
+
+
+def test_channel_videos(spark):
+    page = lambda ids, following: json.dumps({"nextPageToken": following, "items": [{"snippet": {"title": f"t{i}", "resourceId": {"videoId": i}}} for i in ids]})
+    rows = [
+        ("a", None, page("abc", "p1")), ("a", "p1", page("de", "p2")), ("a", "p1", page("de", "p2")), ("a", "p2", page("fgh", "p3")), ("a", "p3", page("i", None)),
+        ("circle", None, page("x", "p1")), ("circle", "p1", page("y", "p1")), ("open", None, page("z", "lost")), ("headless", "p1", page("q", None)), ("empty", None, "{}"), ("broken", None, "no json"), ("null", None, None),
+    ]
+    found = readers.channel_videos(spark.createDataFrame(rows, "channel_id string, token string, json string"), 7, lambda df: df).collect()
+    got = {c: "".join(r.video_id for r in sorted(found, key=lambda r: r["rank"]) if r.channel_id == c) for c, _, _ in rows}
+    assert got == {"a": "abcdefg", "circle": "xy", "open": "z", "headless": "", "empty": "", "broken": "", "null": ""}
+    assert [r["rank"] for r in sorted(found, key=lambda r: r["rank"]) if r.channel_id == "a"] == list(range(1, 8))
+
+
+def test_language(spark):
+    texts = ["La casa de los abuelos es grande, pero el jardín no", "the cat sat on the mat and it was", "Der Hund und die Katze sind nicht da", "le chat est dans la maison avec des amis", "", "123", None, "não é para uma pessoa em casa"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.language(F.col("t")).alias("l")).orderBy("i").collect()
+    assert [r.l for r in got] == ["es", "en", "de", "fr", None, None, None, "pt"]
+
+
 def test_frontier_lifecycle(spark):
     now = F.lit("2024-01-01").cast("timestamp")
     seeds = spark.createDataFrame([("https://a.gob.mx/1", "s"), ("https://a.gob.mx/1", "s"), ("https://b.org/2", "s"), ("https://c.org/3", "s")], "url string, source string")
