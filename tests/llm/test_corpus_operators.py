@@ -427,6 +427,19 @@ def common_words(x, y):
     return row[-1]
 
 
+def test_crowded_anchors_give_the_same_passages(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    word = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 400, n))
+    common, pieces = word(70), [word(60) for _ in range(12)]
+    texts = [" ".join([word(5), pieces[rng.integers(12)], common, pieces[rng.integers(12)], word(5)]) for _ in range(40)] + ["a a " * 90, "b " + "a a " * 80]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    usual = sorted(map(tuple, substring_dedup.passages(df).collect()))
+    assert len(usual) > 40
+    for most in (0, 3):
+        monkeypatch.setattr(substring_dedup, "CLASSES", most)
+        assert sorted(map(tuple, substring_dedup.passages(df).collect())) == usual
+
+
 def test_fuzzy_passages_against_plain_version(spark):
     rng = random.Random(31)
     texts, planted = [], []
