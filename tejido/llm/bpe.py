@@ -65,7 +65,10 @@ class Codec:
                     values.append(rank)
         self.pairs = IntTable(np.array(keys, np.int64), np.array(values, np.int32))
         parts = np.array(keys, np.int64)
-        self.ordered = bool((np.array(values) > np.maximum(parts >> 32, parts & 0xFFFFFFFF)).all())
+        #: Tokens that are part of one which ranks before them.
+        self.late = np.zeros(self.size, bool)
+        for half in (parts >> 32, parts & 0xFFFFFFFF):
+            self.late[half[np.array(values, np.int64) < half]] = True
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.forget()
         order = sorted(self.ranks.items(), key=lambda x: x[1])
@@ -133,15 +136,16 @@ class Codec:
         return np.where(found < 0, NONE, found)
 
     def merge_long(self, piece: bytes) -> np.ndarray:
-        """Ids of one piece of any length, a round for each different pair that it merges."""
-        if not self.ordered:
-            return self.merge_rows([piece], len(piece))[0]
+        """Ids of one piece of any length. A round merges the least pair in all its places, or in the first one only where its token is part
+        of one that ranks before it, as that pair would come next."""
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
         ranks = self._rank(ids[:-1], ids[1:])
         while len(ranks) and (best := ranks.min()) != NONE:
             at = np.flatnonzero(ranks == best)
             starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))  # where places overlap, every second one goes
             at = at[(np.arange(len(at)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(at)]])))) % 2 == 0]
+            if self.late[best]:
+                at = at[:1]
             stay = np.ones(len(ids), bool)
             stay[at + 1] = False
             ids[at] = best

@@ -281,13 +281,13 @@ def test_very_long_and_repetitive_texts(spark):
 
 def test_long_pieces_agree_with_library():
     own, e = bpe.codec(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN), encoding()
-    assert own.ordered
     rng = np.random.default_rng(4)
     for text in ("a" * 5000, "ab" * 4001, "日本語" * 900, "".join(rng.choice(list("etaoinshr"), 9000)), "=" * 3001 + "-" * 777):
         assert own.encode([text])[0].tolist() == e.encode_ordinary(text)
-    own.ordered = False
-    assert own.merge_long(b"abcabcabc" * 30).tolist() == e.encode_ordinary("abcabcabc" * 30)
-    own.ordered = True
+    for late in (True, False):  # a pair at a time, and all places at once where no token is late
+        other = bpe.Codec(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+        other.late[:] = late | other.late
+        assert other.merge_long(b"abcabcabc" * 30).tolist() == e.encode_ordinary("abcabcabc" * 30)
 
 
 def test_rows_are_placed_by_halving(spark):
