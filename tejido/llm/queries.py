@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, lz_fingerprint, metric_join, mixing, simhash, substring_dedup, token_counts, warc
+from . import bpe, chat, langid, line_dedup, lz_fingerprint, metric_join, mixing, periodic, simhash, substring_dedup, token_counts, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +63,24 @@ def op10_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op5_substring_dedup, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe, op10_chat_tool_calls)}
+    ops = (
+        op1_lz_fingerprints, op2_warc, op3_simhash, op4_language_id, op5_substring_dedup, op6_source_mixing, op7_embedding_join, op8_token_counts, op9_byte_bpe, op10_chat_tool_calls,
+        op11_line_dedup, op12_whitening, op13_periodic_runs,
+    )
+    return {f.__name__: f for f in ops}
 
 
 OP2_SQL = """
@@ -143,5 +159,25 @@ FROM rest
 """
 
 
+OP11_SQL = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), told AS (
+  SELECT row_number() OVER () AS r, doc_id, lines FROM split
+), each AS (
+  SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM told
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each
+), firsts AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k
+), marked AS (
+  SELECT keyed.*, coalesce(doc_id > first, false) AS gone FROM keyed LEFT JOIN firsts ON firsts.k = keyed.k AND length(keyed.k) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op7_embedding_join": OP7_SQL, "op10_chat_tool_calls": OP10_SQL}
+    return {"op11_line_dedup": OP11_SQL, "op2_warc": OP2_SQL, "op7_embedding_join": OP7_SQL, "op10_chat_tool_calls": OP10_SQL}
