@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html, scoring, text, urls
 from ..operators import corpus, frontier
+from ..operators.store import Conflict, Store
 from ..schemas import FRONTIER, TARGET_TOKENS
 from ..sources import readers
 
@@ -28,27 +29,37 @@ class HarvestError(Exception):
         self.kind = kind
 
 
+#: How long rows may be under work before another session takes them up.
+LEASE = "1 HOUR"
+
+
 @dataclass
 class Harvest:
-    """Tables of a harvest under one root folder: frontier versions, texts, snapshots, metrics."""
+    """Tables of a harvest under one root folder: the frontier, which later harvests on that root go on with, texts and snapshots by round."""
 
     spark: SparkSession
     root: str
     batch: int = 32
-    version: int = 0
+
+    def __post_init__(self) -> None:
+        self.store = Store(self.spark, f"{self.root.rstrip('/')}/frontier", FRONTIER)
+
+    @property
+    def version(self) -> int:
+        return self.store.version
 
     def frontier(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], FRONTIER)
-        return self.spark.read.schema(FRONTIER).parquet(f"{self.root}/frontier/v={self.version}")
-
-    def put(self, rows: DataFrame) -> None:
-        """A new version of the frontier; the one before stays readable until it is done."""
-        names = [c.split(" ")[0] for c in FRONTIER.split(", ")]
-        kinds = dict(c.split(" ") for c in FRONTIER.split(", "))
-        full = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in names])
-        full.write.mode("overwrite").parquet(f"{self.root}/frontier/v={self.version + 1}")
-        self.version += 1
+        """The frontier's newest version."""
+        self.store.refresh()
+        return self.store.read()
+
+    def texts(self) -> DataFrame:
+        """The texts that completed rows of the frontier stand for; what a broken round has left behind is not among them."""
+        kept = self.frontier().filter("status = 'completed' and file_path is not null").select("content_hash", "file_path")
+        if kept.isEmpty():
+            return self.spark.createDataFrame([], "content_hash string, file_name string, text string, source string, domain string")
+        saved = corpus.read_texts(self.spark, f"{self.root}/texts").withColumn("file_path", F.concat(F.lit("texts/round="), F.col("round").cast("string")))
+        return saved.join(kept, ["content_hash", "file_path"], "left_semi").select("content_hash", "file_name", "text", "source", "domain")
 
     def discover(self, catalog: DataFrame | None = None, domains: DataFrame | None = None, entries: DataFrame | None = None, items: DataFrame | None = None) -> DataFrame:
         """url and source of all branches: configured seeds, ranked domains by category, feed entries, forum and video items."""
@@ -68,7 +79,20 @@ class Harvest:
         return out
 
     def populate(self, found: DataFrame, as_of: str) -> None:
-        self.put(frontier.insert_if_absent(self.frontier(), frontier.new_rows(found, F.lit(as_of).cast("timestamp"))))
+        self.store.insert(frontier.new_rows(found, F.lit(as_of).cast("timestamp")))
+
+    def claim(self, as_of: str) -> DataFrame | None:
+        """The best pending rows, marked as under work in one commit, so that no other session takes them; rows whose lease is over come again. None if there are none."""
+        now, taken = F.lit(as_of).cast("timestamp"), []
+
+        def rows(store: Store) -> DataFrame:
+            free = frontier.released(store.read(), now, LEASE)
+            best = frontier.dequeue(free, self.batch).withColumn("status", F.lit("processing")).withColumn("updated_at", now)
+            taken[:] = best.collect()  # a batch
+            return self.spark.createDataFrame(taken, FRONTIER)
+
+        self.store.transact(rows)
+        return self.spark.createDataFrame(taken, FRONTIER) if taken else None
 
     def process(self, taken: DataFrame, pages: DataFrame) -> DataFrame:
         """One row a taken URL: text, key, tokens, score, links; status and error in place of exceptions."""
@@ -84,32 +108,40 @@ class Harvest:
     def session(self, pages: DataFrame, as_of: str, rounds: int, target_tokens: int = TARGET_TOKENS, grow: bool = True) -> DataFrame:
         """Micro-batches until nothing is pending, the rounds are over or the tokens reached; the frontier's report.
 
-        Texts that were saved before are failed as duplicates. Links above the threshold are put into the frontier.
+        Texts that were completed before, by this session or an earlier one, are failed as duplicates. Links above the threshold are put into the
+        frontier. A round writes its batch's rows and files, and nothing of the rest; it counts once its rows are committed.
         """
         now = F.lit(as_of).cast("timestamp")
-        for n in range(rounds):
+        for _ in range(rounds):
             base = self.frontier()
-            taken = frontier.dequeue(base, self.batch)
-            if taken.isEmpty() or (base.agg(F.sum("token_count")).first()[0] or 0) >= target_tokens:
+            if (base.agg(F.sum("token_count")).first()[0] or 0) >= target_tokens:
+                break
+            taken = self.claim(as_of)
+            if taken is None:
                 break
-            path = f"{self.root}/results/batch={n}"
+            n = self.version  # no other round has this number
+            path = f"{self.root}/results/round={n}"
             self.process(taken, pages).write.mode("overwrite").parquet(path)
             done = self.spark.read.parquet(path)
-            good = frontier.first_of(done.filter("status = 'completed'"), ["content_hash"], F.col("url_hash"))
-            if n:
-                good = good.join(self.spark.read.parquet(f"{self.root}/texts").select("content_hash").distinct(), "content_hash", "left_anti")
+            before = self.frontier().filter("status = 'completed' and content_hash is not null").select("content_hash").distinct()
+            good = frontier.first_of(done.filter("status = 'completed'"), ["content_hash"], F.col("url_hash")).join(before, "content_hash", "left_anti")
             good = good.withColumn("domain", text.path_domain(urls.host(F.col("url")))).withColumn("file_name", text.file_name(F.col("source"), now, F.col("content_hash")))
-            kept = f"{self.root}/kept/batch={n}"
+            kept = f"{self.root}/kept/round={n}"
             good.write.mode("overwrite").parquet(kept)
             good = self.spark.read.parquet(kept)
-            corpus.write_texts(good, f"{self.root}/texts")
-            corpus.write_snapshots(good, f"{self.root}/snapshots")
-            saved = good.select("url_hash", F.lit(True).alias("saved"))
-            changes = done.join(saved, "url_hash", "left").withColumn("status", F.when((F.col("status") == "completed") & F.col("saved").isNull(), "failed").otherwise(F.col("status"))).withColumn("error_message", F.when((F.col("status") == "failed") & F.col("error_message").isNull(), "duplicate").otherwise(F.col("error_message")))
-            whole = frontier.update(base, changes, ["status", "error_message", "content_hash", "token_count", "content_size", "mexican_score", "extraction_method"])
-            if grow:
-                whole = frontier.insert_if_absent(whole, frontier.new_rows(self.found_links(good), now, "dynamic_recursion"))
-            self.put(whole)
+            corpus.write_texts(good, f"{self.root}/texts/round={n}")
+            corpus.write_snapshots(good, f"{self.root}/snapshots/round={n}")
+            saved = good.select("url_hash", F.lit(f"texts/round={n}").alias("file_path"))
+            lost = (F.col("status") == "completed") & F.col("file_path").isNull()
+            changes = done.join(saved, "url_hash", "left").withColumn("error_message", F.when(lost, "duplicate").otherwise(F.col("error_message"))).withColumn("status", F.when(lost, "failed").otherwise(F.col("status"))).withColumn("updated_at", now)
+            names = ["status", "updated_at", "error_message", "content_hash", "file_path", "token_count", "content_size", "mexican_score", "extraction_method"]
+            links = frontier.new_rows(self.found_links(good), now, "dynamic_recursion") if grow else None
+
+            def rows(store: Store, changes=changes, names=names, links=links) -> DataFrame:
+                out = frontier.update(store.read(store.touched(changes)).join(changes.select("url_hash"), "url_hash", "left_semi"), changes, names)
+                return out if links is None else out.unionByName(frontier.absent(links, store.read(store.touched(links))), allowMissingColumns=True)
+
+            self.store.transact(rows)
         return frontier.progress_report(self.frontier())
 
     def found_links(self, done: DataFrame, least: float = 3.0) -> DataFrame:
@@ -152,7 +184,7 @@ def main(arguments: list[str] | None = None, make: Callable[[], SparkSession] |
         return 0
     except KeyboardInterrupt:
         return 130
-    except (HarvestError, readers.ConfigError, OSError) as error:
+    except (HarvestError, Conflict, readers.ConfigError, OSError) as error:
         print(error, file=sys.stderr)
         return 1
 

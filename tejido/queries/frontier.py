@@ -180,3 +180,27 @@ def _(t):
 @query("k09_ttl_delete", f"{W} SELECT url_hash FROM frontier WHERE NOT (status = 'completed' AND updated_at < TIMESTAMP '{X.AS_OF}' - INTERVAL 7 DAY)")
 def _(t):
     return frontier.retained(t.frontier, t.as_of, 7, "updated_at", C("status") == "completed").select("url_hash")
+
+
+REOPENED = f"""{W}, taken AS (SELECT url_hash, doc_id FROM frontier WHERE status = 'pending' ORDER BY priority_score DESC, created_at, url_hash LIMIT 200)
+SELECT url_hash, source, CASE WHEN url_hash NOT IN (SELECT url_hash FROM taken) THEN status WHEN doc_id % 4 = 0 THEN 'failed' ELSE 'completed' END AS status,
+  CASE WHEN url_hash IN (SELECT url_hash FROM taken) AND doc_id % 4 <> 0 THEN 10 ELSE token_count END AS token_count FROM frontier
+UNION ALL SELECT sha256(url), 'pages', 'pending', 0 FROM (SELECT DISTINCT url FROM pages) WHERE url NOT IN (SELECT url FROM frontier)"""
+
+
+@query("s21_reopened_frontier", REOPENED)
+def _(t):
+    from ..operators.store import Store
+    from ..schemas import FRONTIER
+    from .sinks import folder
+
+    root = folder(t, "store")
+    Store(t.spark, root, f"{FRONTIER}, doc_id bigint").insert(t.frontier)
+    for _ in range(2):  # two sessions, each of which opens what the one before has left
+        s = Store(t.spark, root, f"{FRONTIER}, doc_id bigint")
+        s.transact(lambda s: frontier.dequeue(s.read(), 100).withColumn("status", F.lit("processing")))
+        bad = C("doc_id") % 4 == 0
+        s.merge(s.read().filter("status = 'processing'").select("url_hash", F.when(bad, "failed").otherwise("completed").alias("status"), F.when(~bad, 10).cast("long").alias("token_count")), ["status", "token_count"])
+    s = Store(t.spark, root, f"{FRONTIER}, doc_id bigint")
+    s.insert(frontier.new_rows(t.pages.select("url", F.lit("pages").alias("source")), t.as_of))
+    return s.read().select("url_hash", "source", "status", "token_count")
