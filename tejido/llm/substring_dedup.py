@@ -11,6 +11,10 @@ Passages that are the same word by word have a way of their own, which does not
 of as many words as a passage has is linked by its own hash to the first document that holds the whole run. Only runs are looked at
 all of whose seeds come in several documents. Successive runs that have their least k-mer in common travel as one row; rows that are equal
 as a whole are a class too, of which one member stands for all.
+
+What is left are stretches of shared seeds that other documents hold first each, none of which holds a passage of the stretch. There, seeds
+are linked once more in pairs: two seeds that stand close together, and have other first holders, are one class with the same pair in all
+other such stretches, whose first holder has both. Those links are chained and aligned like the first ones.
 """
 
 from __future__ import annotations
@@ -29,11 +33,11 @@ from ._shared import cut, drop_cut, fresh, release, slices
 from .lz_fingerprint import powers
 
 #: Words of a k-mer, and k-mers of which one at least is a seed.
-K, WINDOW = 5, 8
+K, WINDOW = 5, 4
 #: A passage has so many words in both documents, and so great a share of equal words.
 WORDS, SIMILARITY = 50, 0.8
 #: Least seeds of a chain, and words from its first to its last.
-SEEDS, SPAN = 2, 16
+SEEDS, SPAN = 2, 10
 #: Cost of a word of distance between linked seeds, on either side; a seed counts K.
 GAP = 0.05
 #: Words beside a chain that are looked at for its extension.
@@ -46,6 +50,10 @@ SERVED = 50_000
 SLICE = 1 << 19
 #: Successive runs that travel as one row at most.
 RUNS = 256
+#: A seed is paired with so many seeds after it, which stand at most REACH words further on.
+PAIRS, REACH = 8, 60
+#: Shared seeds that are no further apart than NEAR words are one stretch, which is looked at again if it has so many words (EXTENT).
+NEAR, EXTENT = 40, 25
 #: Classes of rows that an anchor has in one place at most; beyond that, runs meet by their own hashes.
 CLASSES = 4096
 
@@ -114,6 +122,9 @@ def seeds_of(words: np.ndarray, counts: np.ndarray, size: int = K, window: int =
     return h[picked], text[picked], at[picked] - begin[text[picked]]
 
 
+SEED_ROWS = "h bigint, kind tinyint, doc bigint, pos bigint"
+
+
 def seed_rows(docs: DataFrame) -> DataFrame:
     """h, kind, doc, pos: kind 0: the first occurrence of each seed in a document, and those after it, told apart by their turn (by_turn);
     kind 1: those after it once more, under the seed's own hash. All of it follows from the document alone."""
@@ -129,9 +140,9 @@ def seed_rows(docs: DataFrame) -> DataFrame:
                 turned = by_turn(h, text)
                 kind = np.repeat(np.array([0, 1], np.int8), [len(h), len(again)])
                 h, text, pos = np.concatenate([turned, h[again]]).view(np.int64), np.concatenate([text, text[again]]), np.concatenate([pos, pos[again]])
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind), pa.array(ids[text]), pa.array(pos, pa.int32())], ["h", "kind", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind), pa.array(ids[text]), pa.array(pos, pa.int64())], ["h", "kind", "doc", "pos"])
 
-    return docs.mapInArrow(run, "h bigint, kind tinyint, doc bigint, pos int")
+    return docs.mapInArrow(run, SEED_ROWS)
 
 
 def by_turn(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -184,20 +195,20 @@ def met(seeds: DataFrame) -> DataFrame:
         if head is not None and head[0] != first:
             yield _met(HEAD, *(np.array([x]) for x in (*head[:4], *head[2:4])))
 
-    return spread.mapInArrow(run, "role tinyint, h bigint, kind tinyint, a bigint, a_pos int, b bigint, b_pos int")
+    return spread.mapInArrow(run, "role tinyint, h bigint, kind tinyint, a bigint, a_pos bigint, b bigint, b_pos bigint")
 
 
 def _met(role: int, *columns: np.ndarray) -> pa.RecordBatch:
-    kinds = (pa.int8(), pa.int64(), pa.int8(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+    kinds = (pa.int8(), pa.int64(), pa.int8(), *(pa.int64(),) * 4)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((np.full(len(columns[0]), role, np.int8), *columns), kinds, strict=True)], ["role", "h", "kind", "a", "a_pos", "b", "b_pos"])
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """a, a_pos, b, b_pos: occurrences of seeds with the first of all documents' occurrences; a is not above b, and equals it for later
+def links(seeds: DataFrame) -> DataFrame:
+    """a, a_pos, b, b_pos: occurrences of seeds (SEED_ROWS) with the first of all documents' occurrences; a is not above b, and equals it for later
     occurrences in the first document."""
-    seeds = cut(seed_rows(docs), "seeds")
-    rows = cut(met(seeds), "met")
-    drop_cut(seeds)
+    given = cut(seeds, "seeds")
+    rows = cut(met(given), "met")
+    drop_cut(given)
     # two heads a range at most
     heads = rows.filter(F.col("role") == HEAD).groupBy("h").agg(F.min(F.struct("kind", "a", "a_pos")).alias("head")).select(F.col("h").alias("of"), F.col("head.a").alias("first"), F.col("head.a_pos").alias("first_pos"))
     asked = rows.filter(F.col("role") != HEAD).join(F.broadcast(heads), F.when(F.col("role") == EDGE, F.col("h")) == F.col("of"), "left")
@@ -301,7 +312,8 @@ def chains(found: DataFrame) -> DataFrame:
                     out.append((int(a[s]), int(b[s]), px, py))
         if out:
             ca, cb, cx, cy = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ca, pa.int64()), pa.array(cb, pa.int64()), pa.array(cx, pa.list_(pa.int32())), pa.array(cy, pa.list_(pa.int32()))], ["a", "b", "a_seeds", "b_seeds"])
+            places = [pa.array([v.astype(np.int32) for v in z], pa.list_(pa.int32())) for z in (cx, cy)]
+            yield pa.RecordBatch.from_arrays([pa.array(ca, pa.int64()), pa.array(cb, pa.int64()), *places], ["a", "b", "a_seeds", "b_seeds"])
 
     made = dealt.mapInArrow(run, "a bigint, b bigint, a_seeds array<int>, b_seeds array<int>")
     return made.withColumn("id", F.xxhash64("a", "b", F.col("a_seeds")[0], F.col("b_seeds")[0]))
@@ -410,13 +422,33 @@ def align(x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple
     return xs[0] - left, xs[-1] + K + right, ys[0] - left, ys[-1] + K + right, inner + same_left + same_right
 
 
+def widened(x: np.ndarray, y: np.ndarray, found: tuple[int, int, int, int, int], words: int, similarity: float) -> tuple[int, int, int, int, int]:
+    """found, or, where it has too few words because unequal ones stand at its ends, `words` words around it on its diagonals, if they are alike enough.
+    No more of the words at the ends are unequal than of those between, so that what is the same word by word is not made longer."""
+    a, b, c, d, same = found
+    need = words - min(b - a, d - c)
+    if need <= 0 or same + need < similarity * words:
+        return found
+    before, after = min(a, c, need), min(len(x) - b, len(y) - d, need)
+    if before + after < need:
+        return found
+    left = np.concatenate([[0], np.cumsum(x[a - before : a][::-1] == y[c - before : c][::-1])])
+    right = np.concatenate([[0], np.cumsum(x[b : b + after] == y[d : d + after])])
+    k = np.arange(need - after, before + 1)  # words to the left
+    more = left[k] + right[need - k]
+    best = int(more.argmax())
+    if same + more[best] < similarity * (max(b - a, d - c) + need) or need - more[best] > max(b - a, d - c) - same:
+        return found
+    return a - int(k[best]), b + need - int(k[best]), c - int(k[best]), d + need - int(k[best]), same + int(more[best])
+
+
 def aligned(x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray, words: int, similarity: float) -> Iterator[tuple[int, int, int, int, int]]:
     """Alignments of a chain that are long and alike enough: of the whole, or else of the parts before and after the gap with
     the most unequal words."""
     stack = [(0, len(xs))]
     while stack:
         i, j = stack.pop()
-        found = align(x, y, xs[i:j], ys[i:j])
+        found = widened(x, y, align(x, y, xs[i:j], ys[i:j]), words, similarity)
         a, b, c, d, same = found
         if min(b - a, d - c) >= words and same >= similarity * max(b - a, d - c):
             yield found
@@ -434,9 +466,12 @@ def unequal(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int) ->
 
 
 def shared_places(linked: DataFrame) -> DataFrame:
-    """doc_id, places: where the seeds of each document stand that come in several documents. A document has fewer of them than words."""
-    both = linked.select(F.col("a").alias("doc_id"), F.col("a_pos").alias("pos")).unionByName(linked.select(F.col("b").alias("doc_id"), F.col("b_pos").alias("pos")))
-    return both.groupBy("doc_id", "pos").agg(F.lit(1)).groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
+    """doc_id, places, holders: where the seeds of each document stand that come in several documents, sorted, and the document that holds each
+    first. A document has fewer of them than words."""
+    side = lambda doc, pos: linked.select(F.col(doc).alias("doc_id"), F.col(pos).alias("pos"), F.col("a").alias("holder"))
+    each = side("a", "a_pos").unionByName(side("b", "b_pos")).groupBy("doc_id", "pos").agg(F.min("holder").alias("holder"))
+    listed = each.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "holder"))).alias("at"))
+    return listed.select("doc_id", F.col("at.pos").alias("places"), F.col("at.holder").alias("holders"))
 
 
 def least_of_next(h: np.ndarray, n: int) -> np.ndarray:
@@ -453,7 +488,6 @@ def runs_of(words: np.ndarray, places: np.ndarray, size: int) -> Iterator[tuple[
     words that have a shared seed in each stretch of WINDOW k-mers."""
     if len(words) < size or not len(places):
         return
-    places = np.sort(places)
     cuts = np.flatnonzero(np.diff(places) > WINDOW)
     starts, stops = places[np.concatenate([[0], cuts + 1])] - WINDOW + 1, places[np.concatenate([cuts, [len(places) - 1]])] - (size - K - WINDOW + 1)
     starts, stops = np.maximum(starts, 0), np.minimum(stops, len(words) - size) + 1
@@ -487,7 +521,7 @@ def same_runs(codes: DataFrame, places: DataFrame, words: int) -> tuple[DataFram
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "digest", "doc", "pos", "grams"])
 
-    runs = cut(codes.join(places, "doc_id").mapInArrow(hashed, "anchor bigint, digest bigint, doc bigint, pos int, grams binary"), "runs")
+    runs = cut(codes.join(places.select("doc_id", "places"), "doc_id").mapInArrow(hashed, "anchor bigint, digest bigint, doc bigint, pos int, grams binary"), "runs")
     classes = runs.groupBy("anchor", "digest").agg(F.min(F.struct("doc", "pos", "grams")).alias("lead")).select("anchor", "digest", "lead.*")
     crowded = cut(runs.select("anchor", "digest").distinct().groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > CLASSES).select("anchor"), "crowded")
     tables, usual = [runs, crowded], classes
@@ -580,26 +614,74 @@ def first_holders(rows: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(anchor[row[at]]), pa.array(digest[row[at]]), pa.array(off[at], pa.int32()), pa.array(n, pa.int32()), pa.array(a[at]), pa.array(a_pos[at], pa.int32())], ["anchor", "digest", "off", "n", "a", "a_pos"])
 
 
-PASSAGES = "first_id bigint, first_start int, first_stop int, doc_id bigint, start int, stop int, n_words int, n_same int, similarity double"
+def left_over(places: np.ndarray, holders: np.ndarray, spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """From and to places of pairs of shared seeds (places, sorted) that other documents hold first each; of the seeds that no span (start,
+    stop) holds, in stretches of at least EXTENT words."""
+    if spans:
+        marks = np.zeros(len(places) + 1, np.int64)
+        np.add.at(marks, np.searchsorted(places, [s["start"] for s in spans]), 1)
+        np.add.at(marks, np.searchsorted(places, [max(s["start"], s["stop"] - K + 1) for s in spans]), -1)
+        free = np.cumsum(marks[:-1]) == 0
+        places, holders = places[free], holders[free]
+    if len(places) < 2:
+        return places[:0], places[:0]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(places) > NEAR) + 1, [len(places)]])
+    long = np.repeat(places[edges[1:] - 1] - places[edges[:-1]] + K >= EXTENT, np.diff(edges))
+    places, holders = places[long], holders[long]
+    pairs = [(places[:-j][apart], places[j:][apart]) for j in range(1, min(PAIRS, len(places) - 1) + 1) for apart in [(places[j:] - places[:-j] <= REACH) & (holders[j:] != holders[:-j])]]
+    return tuple(np.concatenate(z) for z in zip(*pairs, strict=True)) if pairs else (places[:0], places[:0])
+
+
+def pair_rows(docs: DataFrame, places: DataFrame, covered: DataFrame) -> DataFrame:
+    """SEED_ROWS of pairs of shared seeds (places) that no passage found so far (covered: doc_id, start, stop) holds; pos is the first one's place times
+    64, plus the distance of the second. What holds a pair holds both parts of a text that have other first holders each."""
+    spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    both = places.join(spans, "doc_id", "left")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                places, holders, spans = (part.column(c).to_pylist() for c in ("places", "holders", "spans"))
+                left = [left_over(np.array(p, np.int64), np.array(h, np.int64), s) for p, h, s in zip(places, holders, spans, strict=True)]
+                some = [i for i, v in enumerate(left) if len(v[0])]
+                if some:
+                    ends = [pa.array([left[i][k].astype(np.int32) for i in some], pa.list_(pa.int32())) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(some)), *ends], ["doc_id", "ones", "others"])
+
+    left = cut(both.mapInArrow(keep, "doc_id bigint, ones array<int>, others array<int>"), "left")
+    texts = docs.join(left, "doc_id")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                words, counts = word_hashes(part.column("text"))
+                begin = np.cumsum(counts) - counts
+                ones = part.column("ones").to_pylist()
+                text = np.repeat(np.arange(len(ones)), [len(p) for p in ones])
+                one, other = np.array([x for p in ones for x in p], np.int64), np.array([x for p in part.column("others").to_pylist() for x in p], np.int64)
+                held = other + K <= counts[text]  # else the places are those of another row with this doc_id
+                text, one, other = text[held], one[held], other[held]
+                h = np.zeros((2, len(one)), np.uint64)
+                for j in range(K):
+                    for k, at in enumerate((one, other)):
+                        h[k] = h[k] * np.uint64(0x2545F4914F6CDD1D) + words[begin[text] + at + j]
+                h, pos = mixed_bits(mixed_bits(h[0]) * np.uint64(3) + h[1]), one * 64 + other - one
+                order = np.lexsort((pos, text, h))
+                h, text, pos = h[order], text[order], pos[order]
+                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(by_turn(h, text).view(np.int64)), pa.array(np.zeros(len(h), np.int8)), pa.array(ids[text]), pa.array(pos)], ["h", "kind", "doc", "pos"])
 
-def passages(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Passages of docs that come, alike, in an earlier document: word numbers [start, stop) in doc_id, and in first_id, whose id is less.
+    out = texts.mapInArrow(run, SEED_ROWS)
+    out._tejido_path = left._tejido_path
+    return out
 
-    A passage has `words` words on both sides, and a share of at least `similarity` of equal words. A passage that comes in many documents
-    gives a row or two for each but the first, not one for each pair. What an earlier document holds word by word is within rows, whole; what is
-    alike is found against the documents that hold its seeds first. Rows follow from the documents, not from how they are dealt to tasks.
-    Documents with a null doc_id or text, and texts of fewer than K words, have no passages; of rows that repeat a doc_id one is taken.
-    Texts of any length are taken whole. Words are compared by 32 bits of a hash. No rows give no rows.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).filter("doc_id is not null and text is not null")
-    spark = rows.sparkSession
-    linked = links(rows)
-    found, places = cut(chains(linked.filter("a <> b")), "chains"), cut(shared_places(linked), "places")
-    drop_cut(linked)
-    del linked
-    release(spark)
-    codes = word_codes(rows)
+
+PASSAGES = "first_id bigint, first_start int, first_stop int, doc_id bigint, start int, stop int, n_words int, n_same int, similarity double"
+
+
+def alike(found: DataFrame, codes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """PASSAGES: the chains found (id, a, b, a_seeds, b_seeds), aligned on the words of both documents."""
     served = with_words(found, codes)
     asked = found.select("id", F.lit(None).cast("tinyint").alias("side"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("binary").alias("words"), "a", "b", "a_seeds", "b_seeds")
     both = asked.unionByName(served, allowMissingColumns=True).repartition("id").sortWithinPartitions("id", "side")
@@ -627,18 +709,60 @@ def passages(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
                 names = [c.split()[0] for c in PASSAGES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array([int(v) if i < 8 else float(v) for v in c], t) for i, (c, t) in enumerate(zip(zip(*out, strict=True), kinds, strict=True))], names)
 
-    alike = cut(both.mapInArrow(run, PASSAGES), "alike")
+    return both.mapInArrow(run, PASSAGES)
+
+
+def beside(rows: DataFrame, told: DataFrame) -> DataFrame:
+    """rows (PASSAGES) that are not within one of told against the same document."""
+    by = told.select(F.col("first_id").alias("by"), F.col("doc_id").alias("of"), F.col("start").alias("from"), F.col("stop").alias("to"))
+    inside = (F.col("first_id") == F.col("by")) & (F.col("doc_id") == F.col("of")) & (F.col("start") >= F.col("from")) & (F.col("stop") <= F.col("to"))
+    return rows.join(by, inside, "left_anti")
+
+
+def passages(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Passages of docs that come, alike, in an earlier document: word numbers [start, stop) in doc_id, and in first_id, whose id is less.
+
+    A passage has `words` words on both sides, and a share of at least `similarity` of equal words. A passage that comes in many documents
+    gives a row or two for each but the first, not one for each pair. What an earlier document holds word by word is within rows, whole; what is
+    alike is found against the documents that hold its seeds first or, where those hold less than a passage of it, against the first that hold two of its
+    seeds close together. Rows follow from the documents, not from how they are dealt to tasks.
+    Documents with a null doc_id or text, and texts of fewer than K words, have no passages; of rows that repeat a doc_id one is taken, that with the
+    least text (by bytes). Of equal alignments the one that begins first is taken. Texts of any length are taken whole. Words are compared
+    by 32 bits of a hash. No rows give no rows.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).filter("doc_id is not null and text is not null")
+    spark, once = rows.sparkSession, None
+    if not rows.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        rows = once = cut(rows.groupBy("doc_id").agg(F.min("text").alias("text")), "once")
+    linked = links(seed_rows(rows))
+    found, places = cut(chains(linked.filter("a <> b")), "chains"), cut(shared_places(linked), "places")
+    drop_cut(linked)
+    del linked
+    release(spark)
+    codes = word_codes(rows)
+    first = cut(alike(found, codes, words, similarity), "alike")
     drop_cut(found)
-    del found, served, asked, both
+    del found
     release(spark)
-    same, tables = same_runs(codes, places, words)
+    runs, tables = same_runs(codes, places, words)
     stop = F.col("start") + F.col("n_words")
-    same = same.select("first_id", "first_start", (F.col("first_start") + F.col("n_words")).alias("first_stop"), "doc_id", "start", stop.alias("stop"), "n_words", F.col("n_words").alias("n_same"), F.lit(1.0).alias("similarity"))
-    told = alike.select(F.col("first_id").alias("by"), F.col("doc_id").alias("of"), F.col("start").alias("from"), F.col("stop").alias("to"))
-    inside = (F.col("first_id") == F.col("by")) & (F.col("doc_id") == F.col("of")) & (F.col("start") >= F.col("from")) & (F.col("stop") <= F.col("to"))
-    out = cut(alike.unionByName(same.join(told, inside, "left_anti")), "passages")
-    for table in (alike, places, *tables):
+    runs = runs.select("first_id", "first_start", (F.col("first_start") + F.col("n_words")).alias("first_stop"), "doc_id", "start", stop.alias("stop"), "n_words", F.col("n_words").alias("n_same"), F.lit(1.0).alias("similarity"))
+    same = cut(beside(runs, first), "same")
+    for table in tables:
         drop_cut(table)
+    told = first.unionByName(same)
+    pairs = pair_rows(rows, places, told)
+    tied = links(pairs)
+    at = lambda side, plus: (F.shiftright(f"{side}_pos", 6) + F.lit(plus) * F.col(f"{side}_pos").bitwiseAND(63)).alias(f"{side}_pos")
+    each = tied.filter("a <> b").select("a", "b", F.explode(F.array(*[F.struct(at("a", k), at("b", k)) for k in (0, 1)])).alias("x")).select("a", "b", "x.*")
+    more = cut(chains(each), "chains")
+    drop_cut(tied)
+    drop_cut(pairs)
+    others = cut(alike(more, word_codes(rows), words, similarity), "alike") if not more.isEmpty() else None
+    out = cut(told if others is None else told.unionByName(beside(others, told)), "passages")
+    for table in (first, same, places, more, others, once):
+        if table is not None:
+            drop_cut(table)
     return out
 
 
