@@ -151,18 +151,30 @@ def depths(calls: DataFrame) -> DataFrame:
     return now.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
+CALL = ["conv_id", "call_id", "parent", "turn", "tool", "arguments"]
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row a call: conv_id, call_id, tool, turn, depth, status, faults, arguments_json, result_turn, n_results, record (canonical JSON).
+    """One row a different call: conv_id, call_id, tool, turn, role (if calls have one), depth, status, faults, arguments_json, result_turn, n_results, n_copies, record (canonical JSON).
 
-    calls: conv_id, call_id, parent, turn, tool, arguments (JSON). results: conv_id, call_id, turn, content. The first
+    calls: conv_id, call_id, parent, turn, tool, arguments (JSON), and copies, if there is such a column; equal calls are one, whose n_copies tells how
+    many they are. results: conv_id, call_id, turn, content. The first
     result after the call's turn answers it (before any other with the same turn, the least content); status is `answered`, `early` if results come only before
-    it, `open` without one, `cycle` for calls that hang on themselves, `invalid` if the arguments have faults. Of calls
-    that repeat a conv_id and call_id, the one with the least turn (then arguments) counts. Calls with a null conv_id or call_id, and results
-    without a call, are not linked and give no row. Call order in a conversation: depth, turn, call_id; cycles last.
+    it, `open` without one, `cycle` for calls that hang on themselves, `invalid` if the arguments have faults. Of different calls
+    with one conv_id and call_id, the one with the least turn (then arguments, tool, parent) is linked, the others are `repeated`; calls with a null
+    conv_id or call_id are `rejected`. Neither has a depth or a result, but both are checked and written. Results without a call give no row.
+    Call order in a conversation: depth, turn, call_id; those without a depth last.
     """
-    first = Window.partitionBy("conv_id", "call_id").orderBy("turn", "arguments", "tool")
-    once = calls.filter("conv_id is not null and call_id is not null").withColumn("rank", F.row_number().over(first)).filter("rank = 1").drop("rank")
-    checked = cut(check_arguments(once.select("conv_id", "call_id", "parent", "turn", "tool", "arguments"), schemas), "calls")
+    copies = F.sum(F.col("copies") if "copies" in calls.columns else F.lit(1)).cast("long").alias("n_copies")
+    role = ["role"] if "role" in calls.columns else []
+    different = cut(calls.groupBy(*CALL, *role).agg(copies), "calls")
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    rank = F.struct("turn", "arguments", "tool", "parent", *role)
+    leads = different.filter(named).groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min(rank).alias("lead")).filter("n > 1").drop("n").hint("shuffle_hash")
+    marked = different.join(leads, ["conv_id", "call_id"], "left").withColumn("kept", F.when(~named, "rejected").when(F.col("lead").isNotNull() & ~rank.eqNullSafe(F.col("lead")), "repeated")).drop("lead")
+    whole = cut(check_arguments(marked, schemas), "calls")
+    drop_cut(different)
+    checked = whole.filter("kept is null").drop("kept")
     # a hash table of calls, whose keys are unique, meets the results as they come
     turns = checked.select("conv_id", "call_id", F.col("turn").alias("call_turn")).hint("shuffle_hash")
     met = results.select("conv_id", "call_id", F.col("turn").alias("result_turn"), "content").join(turns, ["conv_id", "call_id"])
@@ -170,8 +182,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     answers = met.groupBy("conv_id", "call_id").agg(F.min(F.when(late, F.struct("result_turn", "content"))).alias("answer"), F.count("*").alias("n_results"))
     joined = checked.join(answers.hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(depths(checked).hint("shuffle_hash"), ["conv_id", "call_id"])
     status = F.when(F.col("depth").isNull(), "cycle").when(F.size("faults") > 0, "invalid").when(F.col("answer").isNotNull(), "answered").when(F.col("n_results").isNotNull(), "early").otherwise("open")
-    out = joined.select("conv_id", "call_id", "parent", "tool", "turn", "depth", status.alias("status"), "faults", "arguments_json", F.col("answer.result_turn").alias("result_turn"), F.col("answer.content").alias("content"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
-    return serialised(out)
+    own = ["conv_id", "call_id", "parent", "tool", "turn", *role]
+    linked = joined.select(*own, "depth", status.alias("status"), "faults", "arguments_json", F.col("answer.result_turn").alias("result_turn"), F.col("answer.content").alias("content"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), "n_copies")
+    other = whole.filter("kept is not null").select(*own, F.lit(None).cast("long").alias("depth"), F.col("kept").alias("status"), "faults", "arguments_json", F.lit(None).cast("long").alias("result_turn"), F.lit(None).cast("string").alias("content"), F.lit(0).cast("long").alias("n_results"), "n_copies")
+    return serialised(linked.unionByName(other))
 
 
 def serialised(linked: DataFrame) -> DataFrame:
@@ -206,32 +220,50 @@ SCHEMAS = {
 
 
 #: How calls stand in the text of an assistant's turn, and a result in that of a tool's. Arguments are JSON, as an object or as a string.
-CALLS = "tool_calls array<struct<id: string, name: string, arguments: string, after: string>>"
+CALLS = "tool_calls array<struct<id: string, name: string, arguments: string, after: string>>, content string"
 RESULT = "tool_call_id string, content string"
+#: What the ids of calls begin with that are made of users' turns; underscores come before it where a conversation's own ids begin so.
+MADE = "call_"
 
 
 def name(turn: Column) -> Column:
-    return F.concat(F.lit("call_"), turn.cast("string"))
+    return F.concat("prefix", turn.cast("string"))
 
 
 def read_messages(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, copies, last, made, told of every different row with a conv_id and turn: how often it comes, the turn
-    of the user's before it, the calls that an assistant's text holds (CALLS), and what a tool's tells (RESULT); null without such."""
+    """conv_id, turn, role, text, copies, last, made, beside, told of every different row with a conv_id and turn: how often it comes, the turn
+    of the user's before it, the calls that an assistant's text holds (as CALLS has them), the content beside those, and what a tool's text tells
+    (RESULT); null without such. Only texts that are JSON as a whole hold calls or results, whatever white space is around."""
     messages = conversations.filter("conv_id is not null and turn is not null").groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
     marks = conversations.filter("conv_id is not null and turn is not null and role = 'user'").select("conv_id", "turn").distinct()
-    made = F.when((F.col("role") == "assistant") & F.col("text").startswith("{"), F.from_json("text", CALLS)["tool_calls"])
-    told = F.when(F.col("role") == "tool", F.from_json("text", RESULT))
-    return previous(messages, marks).withColumn("made", F.when(F.size(made) > 0, made)).withColumn("told", F.when(told["tool_call_id"].isNotNull(), told))
+    json_ = F.btrim("text", F.lit(" \t\r\n")).startswith("{")
+    # parsers stop at the end of a value: within brackets of either kind, what stands behind it is an error
+    alone = (F.json_array_length(F.concat(F.lit("["), "text", F.lit("]"))) == 1) & F.try_parse_json(F.concat(F.lit('{"a":'), "text", F.lit("}"))).isNotNull()
+    whole = F.when(F.col("role").isin("assistant", "tool") & json_, F.when(alone, F.col("text")))
+    made, told = F.from_json("json", CALLS), F.from_json("json", RESULT)
+    read = previous(messages, marks).withColumn("json", whole).withColumn("made", F.when(F.col("role") == "assistant", made)).withColumn("told", F.when(F.col("role") == "tool", told)).drop("json")
+    held = F.size("made.tool_calls") > 0
+    return read.withColumn("beside", F.when(held, F.col("made.content"))).withColumn("made", F.when(held, F.col("made.tool_calls"))).withColumn("told", F.when(F.col("told.tool_call_id").isNotNull(), F.col("told")))
+
+
+def with_prefix(messages: DataFrame) -> DataFrame:
+    """messages with prefix: what ids of made calls begin with, and no id that the conversation's texts name. MADE, where they name none that begins so."""
+    ids = F.concat(F.coalesce(F.flatten(F.transform("made", lambda c: F.array(c["id"], c["after"]))), F.array().cast("array<string>")), F.array("told.tool_call_id"))
+    named = messages.filter("made is not null or told is not null").select("conv_id", F.explode(ids).alias("id"))
+    marks = named.select("conv_id", F.length(F.regexp_extract("id", f"^(_*){MADE}", 1)).alias("n"), F.col("id").rlike(f"^_*{MADE}").alias("clash")).filter("clash").groupBy("conv_id").agg(F.max("n").alias("n"))
+    if marks.isEmpty():
+        return messages.withColumn("prefix", F.lit(MADE))
+    return messages.join(marks, "conv_id", "left").withColumn("prefix", F.when(F.col("n").isNull(), MADE).otherwise(F.concat(F.repeat(F.lit("_"), F.col("n") + 1), F.lit(MADE)))).drop("n")
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
     """Calls in messages: those that assistants' texts hold, and, for each user's turn, a call of `reply` with its text, after the user's turn
     before it. Of several users' texts in a turn, the least is the call."""
     arguments = F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt")), {"ignoreNullFields": "false"})
-    asked = messages.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text", "copies")).alias("least"), F.min("last").alias("last")).select("conv_id", "turn", "least.*", "last")
-    replies = asked.select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("last")).alias("parent"), "turn", F.lit("reply").alias("tool"), arguments.alias("arguments"), "copies")
+    asked = messages.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text", "copies")).alias("least"), F.min("last").alias("last"), F.min("prefix").alias("prefix")).select("conv_id", "turn", "least.*", "last", "prefix")
+    replies = asked.select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("last")).alias("parent"), "turn", F.lit("reply").alias("tool"), arguments.alias("arguments"), "copies", F.lit("user").alias("role"))
     held = messages.filter("made is not null").select("conv_id", "turn", F.explode("made").alias("call"), "copies")
-    return replies.unionByName(held.select("conv_id", F.col("call.id").alias("call_id"), F.col("call.after").alias("parent"), "turn", F.col("call.name").alias("tool"), F.col("call.arguments").alias("arguments"), "copies"))
+    return replies.unionByName(held.select("conv_id", F.col("call.id").alias("call_id"), F.col("call.after").alias("parent"), "turn", F.col("call.name").alias("tool"), F.col("call.arguments").alias("arguments"), "copies", F.lit("assistant").alias("role")))
 
 
 def results_of(messages: DataFrame) -> DataFrame:
@@ -265,30 +297,35 @@ def previous(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 def formatted(conversations: DataFrame, schemas: dict[str, dict] = SCHEMAS) -> DataFrame:
     """conv_id, turn, role, kind, call_id, tool, depth, status, n_faults, arguments_json, result_turn, n_results, n_copies, record: a row for
-    every call, and for every message that is none. No row is left out: equal rows are one, whose n_copies tells how many they are.
+    every call, and for every message that is none. No row is left out: equal rows are one, whose n_copies tells how many they are, so that the copies of
+    all rows add up to the messages without calls, the calls, and the contents beside calls.
 
     kind `call`: see link_calls(). kind `result`: a turn that answers a call; status `linked`, or `unlinked` if the conversation has no such call.
     kind `message`: all other turns, with their text; status `repeated` for further texts of a user's turn, `rejected` without a
-    conv_id or turn, `unlinked` for assistants' turns before any user's, else `kept`. Texts of any length, null and empty ones too, are written whole.
+    conv_id or turn, `unlinked` for assistants' turns before any user's, `beside` for what a text with calls says besides, else `kept`. Texts of any
+    length, null and empty ones too, are written whole. Ids of calls that are made of users' turns clash with none of the conversation's.
     """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    messages = cut(read_messages(rows), "messages")
-    calls = cut(calls_of(messages), "told")
+    read = cut(read_messages(rows), "messages")
+    messages = with_prefix(read)
     results = results_of(messages)
+    calls = calls_of(messages)
     linked = link_calls(calls, results, schemas)
-    counted = calls.groupBy("conv_id", "call_id").agg(F.sum("copies").alias("n_copies")).hint("shuffle_hash")
-    done = linked.join(counted, ["conv_id", "call_id"]).withColumn("role", F.when(F.col("tool") == "reply", "user").otherwise("assistant")).withColumn("kind", F.lit("call")).withColumn("n_faults", F.size("faults").cast("long"))
+    done = linked.withColumn("kind", F.lit("call")).withColumn("n_faults", F.size("faults").cast("long"))
     keys = calls.select("conv_id", "call_id").distinct().withColumn("known", F.lit(True)).hint("shuffle_hash")
     answers = results.join(keys, ["conv_id", "call_id"], "left").select("conv_id", "turn", "role", F.lit("result").alias("kind"), "call_id", F.when(F.col("known"), "linked").otherwise("unlinked").alias("status"), F.col("copies").alias("n_copies"), "content")
-    least = messages.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text")).alias("least"), F.count("*").alias("n")).filter("n > 1").hint("shuffle_hash")
-    again = messages.filter("role = 'user'").join(least, ["conv_id", "turn"]).filter(~F.col("text").eqNullSafe(F.col("least.text"))).withColumn("status", F.lit("repeated"))
-    other = messages.filter("role is null or role not in ('user', 'assistant', 'tool') or (role = 'tool' and told is null) or (role = 'assistant' and made is null and last is null)")
+    least = read.filter("role = 'user'").groupBy("conv_id", "turn").agg(F.min(F.struct("text")).alias("least"), F.count("*").alias("n")).filter("n > 1").hint("shuffle_hash")
+    again = read.filter("role = 'user'").join(least, ["conv_id", "turn"]).filter(~F.col("text").eqNullSafe(F.col("least.text"))).withColumn("status", F.lit("repeated"))
+    other = read.filter("role is null or role not in ('user', 'assistant', 'tool') or (role = 'tool' and told is null) or (role = 'assistant' and made is null and last is null)")
     other = other.withColumn("status", F.when(F.col("role") == "assistant", "unlinked").otherwise("kept"))
+    said = read.filter("beside is not null").withColumn("text", F.col("beside")).withColumn("status", F.lit("beside"))
     gone = rows.filter("conv_id is null or turn is null").groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies")).withColumn("status", F.lit("rejected"))
-    plain = [x.select("conv_id", "turn", "role", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), "status", F.col("copies").alias("n_copies"), F.col("text").alias("content")) for x in (again, other, gone)]
-    told = message_records(answers.unionByName(plain[0]).unionByName(plain[1]).unionByName(plain[2]))
+    plain = [x.select("conv_id", "turn", "role", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), "status", F.col("copies").alias("n_copies"), F.col("text").alias("content")) for x in (again, other, said, gone)]
+    told = answers
+    for x in plain:
+        told = told.unionByName(x)
     names = ["conv_id", "turn", "role", "kind", "call_id", "tool", "depth", "status", "n_faults", "arguments_json", "result_turn", "n_results", "n_copies", "record"]
-    return done.select(names).unionByName(told, allowMissingColumns=True).select(names)
+    return done.select(names).unionByName(message_records(told), allowMissingColumns=True).select(names)
 
 
 def message_records(messages: DataFrame) -> DataFrame:

@@ -338,7 +338,9 @@ def test_chat(spark):
     made = chat.link_calls(
         spark.createDataFrame(calls, "conv_id bigint, call_id string, parent string, turn bigint, tool string, arguments string"), spark.createDataFrame(results, "conv_id bigint, call_id string, turn bigint, content string"), schemas,
     )
-    found = {(r.conv_id, r.call_id): r for r in made.collect()}
+    rows = made.collect()
+    assert sorted((str(r.conv_id), r.call_id, r.turn, r.status) for r in rows if r.status in ("repeated", "rejected")) == [("1", "c1", 9, "repeated"), ("None", "q", 0, "rejected")] and len(rows) == len(calls)
+    found = {(r.conv_id, r.call_id): r for r in rows if r.status not in ("repeated", "rejected")}
     assert {k: (r.status, r.depth) for k, r in found.items()} == {
         (1, "c1"): ("answered", 0), (1, "c3"): ("early", 2), (1, "c2"): ("invalid", 1), (1, "c4"): ("invalid", 0), (2, "x"): ("cycle", None), (2, "y"): ("cycle", None), (2, "z"): ("cycle", None), (3, "n"): ("invalid", 0),
     }
