@@ -2,63 +2,46 @@
 
 A source of weight w owes its i-th block no earlier than slot floor((i-1)/w) and before slot ceil(i/w); taking, in each
 slot, the released block with the earliest deadline keeps every source within less than one block of w times the number of
-slots at any time. Weights are taken as the fractions that they are, over the whole stream. The driver plans slots in turn, a row
-for each block of documents, and writes them as it goes; it holds a block of each source and PLANNED slots. No table is sorted
-as a whole, and no source is gathered in one task.
+slots at any time. Weights are taken as the fractions that they are, over the whole stream.
+
+Slots are planned in chunks by tasks. Before slot t, a source of weight w has had the whole part of w t blocks, or one more; which sources have had
+one more at the border of two chunks is all that one chunk must know of the others. At a border, a block that may be one more is taken
+in the order of deadlines, as long as every last stretch of slots before the border has room for all blocks that are released within it and must come
+before the border. How much room there is follows from the border and the weights alone, and is summed up by tasks; the driver
+takes the blocks border by border, a step a source and border. Taking them by deadlines, subject to room, leaves as few as can be for every later
+deadline (the room of nested stretches is a matroid, for which the greedy choice is best for all deadlines at once), so by Hall's theorem
+for intervals there is a schedule from each border to the next within all releases and deadlines, and the earliest deadline first finds it. No
+table is sorted as a whole, no source is gathered in one task, and the driver holds a bounded number of borders and sources (BORDERS).
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import cut, scratch_path, shuffle_width, spread_keys
+from ._shared import cut, shuffle_width, spread_keys
 
-#: Slots of a period of shares(), which rounds weights to whole shares of it. More sources than a quarter of it lengthen it.
-PERIOD = 1024
 #: Documents of a block.
 BLOCK = 16
 #: Natural shares are raised to this power where no weights are given: rare sources gain.
 POWER = 0.9
 #: Documents that are ranked together.
 BUCKET = 4096
-#: Slots that the driver plans before it writes them.
-PLANNED = 1 << 20
-
-
-def shares(weights: dict[str | None, float], period: int = PERIOD) -> tuple[dict[str | None, int], int]:
-    """Shares of a short period: the exact ones if there are such, or else whole shares of `period`, one at least, by largest
-    remainders; the period grows with the sources. mix() takes exact_shares()."""
-    share, least = exact_shares(weights)
-    if least <= period:
-        return share, least
-    named = sorted(weights, key=lambda s: (s is not None, s or ""))
-    period = max(period, 4 * len(named))
-    total = sum(Fraction(weights[s]) for s in named)
-    exact = {s: Fraction(weights[s]) / total * period for s in named}
-    out = {s: max(1, int(exact[s])) for s in named}
-    rest = period - sum(out.values())
-    for s in sorted(named, key=lambda s: exact[s] - out[s], reverse=rest > 0):
-        if not rest:
-            break
-        if rest > 0:
-            out[s] += 1
-            rest -= 1
-        elif out[s] > 1:
-            out[s] -= 1
-            rest += 1
-    while rest < 0:  # many sources below one share: the largest give
-        s = max(named, key=lambda s: out[s])
-        out[s] -= 1
-        rest += 1
-    return out, period
+#: Slots of a chunk at least, and values (a source at a border) that the driver looks at, about; chunks grow beyond.
+CHUNK, BORDERS = 1 << 16, 1 << 22
+#: Sources up to which the table of sources is sent to every task.
+SENT = 1 << 14
+#: Tasks that plan, at most; beyond, each plans several chunks.
+MOST_TASKS = 10_000
 
 
 def exact_shares(weights: dict[str | None, float]) -> tuple[dict[str | None, int], int]:
@@ -73,51 +56,113 @@ def exact_shares(weights: dict[str | None, float]) -> tuple[dict[str | None, int
     return share, sum(share.values())
 
 
-def slots(share: dict[str | None, int], period: int) -> Iterator[tuple[int, int]]:
-    """(number of the source by name, i) of every slot, without end: the released block with the earliest deadline; ties by name."""
-    parts = [share[s] for s in sorted(share, key=lambda s: (s is not None, s or ""))]
-    coming = [(0, k, 0) for k in range(len(parts))]
+def by_name(share: dict[str | None, int]) -> list[str | None]:
+    """The sources, the null one first."""
+    return sorted(share, key=lambda s: (s is not None, s or ""))
+
+
+def room(parts: list[int], period: int, start: int, stop: int) -> tuple[list[int], list[int], list[int]]:
+    """At the border stop, for the chunk from start: the sources that may have had one more block than the whole part of their due, by deadline; for each
+    the number of the last of the stretches before the border that must have room for it (-1: released before start); and the room of those
+    stretches, the longest first."""
+    whole = [p * stop // period for p in parts]
+    some = [k for k, p in enumerate(parts) if p * stop % period]
+    must = np.zeros(stop - start, np.int64)
+    for k, p in enumerate(parts):
+        first = -(-p * start // period)
+        if first < whole[k]:
+            np.add.at(must, np.array([i * period // p - start for i in range(first, whole[k])], np.int64), 1)
+    free = np.arange(stop - start, 0, -1) - np.cumsum(must[::-1])[::-1]  # of the stretch from each slot on
+    release = {k: whole[k] * period // parts[k] - start for k in some}
+    marks = sorted({r for r in release.values() if r >= 0})
+    edges = [0, *(r + 1 for r in marks)]
+    bounds = [int(free[a:b].min()) for a, b in zip(edges, edges[1:], strict=False)]
+    order = sorted(some, key=lambda k: (-(-(whole[k] + 1) * period // parts[k]), k))
+    number = {r: j for j, r in enumerate(marks)}
+    return order, [number.get(release[k], -1) for k in order], bounds
+
+
+def border(parts: list[int], period: int, stop: int, before: list[int], order: list[int], stretch: list[int], bounds: list[int]) -> list[int]:
+    """Blocks that each source has had before the border stop, from those before the border that precedes it and what room() says."""
+    had = [p * stop // period for p in parts]
+    lacking = stop - sum(had)
+    done = [k for k in order if before[k] > had[k]]  # had already, and due after the border
+    for k in done:
+        had[k] += 1
+    lacking -= len(done)
+    left, done = np.array(bounds, np.int64), set(done)
+    for k, j in zip(order, stretch, strict=True):
+        if not lacking:
+            break
+        if k not in done and (left[: j + 1] > 0).all():
+            left[: j + 1] -= 1
+            had[k] += 1
+            lacking -= 1
+    assert not lacking
+    return had
+
+
+def slots(parts: list[int], period: int, start: int, stop: int, had: list[int], last: list[int]) -> Iterator[tuple[int, int]]:
+    """(k, i) of the slots from start to stop, from what each source has had before start to what it has had before stop: the released block with the
+    earliest deadline; ties by number."""
+    coming = [(i * period // parts[k], k, i) for k, i in enumerate(had) if i < last[k]]
+    heapq.heapify(coming)
     ready: list[tuple[int, int, int]] = []
-    slot = 0
-    while True:
+    for slot in range(start, stop):
         while coming and coming[0][0] <= slot:
             _, k, i = heapq.heappop(coming)
-            heapq.heappush(ready, (-(-((i + 1) * period) // parts[k]), k, i))
+            heapq.heappush(ready, (min(stop, -(-((i + 1) * period) // parts[k])), k, i))
         due, k, i = heapq.heappop(ready)
         assert slot < due
         yield k, i
-        heapq.heappush(coming, ((i + 1) * period // parts[k], k, i + 1))
-        slot += 1
-
-
-def schedule(share: dict[str | None, int], period: int) -> list[tuple[str | None, int, int]]:
-    """(source, i, slot) of one period."""
-    names = sorted(share, key=lambda s: (s is not None, s or ""))
-    return [(names[k], i, slot) for slot, (k, i) in zip(range(period), slots(share, period))]
+        if i + 1 < last[k]:
+            heapq.heappush(coming, ((i + 1) * period // parts[k], k, i + 1))
 
 
 def planned(spark: SparkSession, share: dict[str | None, int], period: int, blocks: list[int]) -> tuple[DataFrame, list[int]]:
     """k, number, slot of all blocks until each source k has been seen whole, as a table in the scratch folder, and the blocks of each source."""
-    path = scratch_path(spark, "plan")
-    given, lacking, rows, at = [0] * len(blocks), len(blocks), ([], []), 0
-
-    def write() -> None:
-        columns = [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(range(at - len(rows[0]), at), pa.int64())]
-        spark.createDataFrame(pa.table(columns, names=["k", "number", "slot"])).write.mode("append").parquet(path)
-        rows[0].clear()
-        rows[1].clear()
-
-    for k, i in slots(share, period):
-        rows[0].append(k)
-        rows[1].append(i)
-        at += 1
-        given[k] = i + 1
-        lacking -= given[k] == blocks[k]
-        if not lacking or len(rows[0]) == PLANNED:
-            write()
-        if not lacking:
-            break
-    return spark.read.schema("k int, number bigint, slot bigint").parquet(path), given
+    parts = [share[s] for s in by_name(share)]
+    latest = max(-(-b * period // p) for b, p in zip(blocks, parts, strict=True))
+    size = max(CHUNK, -(-latest * len(parts) // BORDERS))
+    chunks = -(-latest // size)
+    numbers = spark.range(0, chunks, 1, min(chunks, MOST_TASKS))
+
+    def rooms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([c]), *(pa.array([v], pa.list_(pa.int64())) for v in room(parts, period, c * size, (c + 1) * size))], ["id", "order", "stretch", "bounds"])
+
+    had, states = [0] * len(parts), []
+    for row in sorted(numbers.mapInArrow(rooms, "id bigint, order array<bigint>, stretch array<bigint>, bounds array<bigint>").collect()):  # BORDERS values of each, about
+        last = border(parts, period, (row.id + 1) * size, had, row.order, row.stretch, row.bounds)
+        states.append((row.id, _more(parts, period, row.id * size, had), _more(parts, period, (row.id + 1) * size, last)))
+        had = last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, had, last in zip(*(batch.column(x).to_pylist() for x in ("id", "had", "last")), strict=True):
+                start, stop = c * size, (c + 1) * size
+                each = slots(parts, period, start, stop, _blocks(parts, period, start, had), _blocks(parts, period, stop, last))
+                for at in range(start, stop, CHUNK):
+                    k, i = zip(*itertools.islice(each, CHUNK), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(i, pa.int64()), pa.array(range(at, at + len(k)), pa.int64())], ["k", "number", "slot"])
+
+    given = spark.createDataFrame(states, "id bigint, had binary, last binary").repartition(min(chunks, MOST_TASKS), "id")
+    whole = cut(given.mapInArrow(run, "k int, number bigint, slot bigint"), "plan")
+    ends = _small(spark.createDataFrame(list(enumerate(blocks)), "k int, blocks bigint"), len(blocks))
+    end = whole.join(ends, "k").filter(F.col("number") == F.col("blocks") - 1).agg(F.max("slot")).first()[0] + 1
+    plan = whole.filter(F.col("slot") < end)
+    seen = {r.k: r.n for r in plan.groupBy("k").agg(F.max("number").alias("n")).collect()}  # a row a source
+    return plan, [seen[k] + 1 for k in range(len(blocks))]
+
+
+def _more(parts: list[int], period: int, slot: int, had: list[int]) -> bytes:
+    """A bit for each source that has had one block more than the whole part of its due."""
+    return np.packbits([h > p * slot // period for h, p in zip(had, parts, strict=True)]).tobytes()
+
+
+def _blocks(parts: list[int], period: int, slot: int, more: bytes) -> list[int]:
+    return [p * slot // period + int(m) for p, m in zip(parts, np.unpackbits(np.frombuffer(more, np.uint8), count=len(parts)), strict=True)]
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
@@ -141,7 +186,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
     if lacking := [s for s in sizes if s not in weights]:
         raise ValueError(f"no weight for {lacking[:5]}")
     share, period = exact_shares({s: weights[s] for s in sizes})
-    names = sorted(share, key=lambda s: (s is not None, s or ""))
+    names = by_name(share)
     blocks = [-(-sizes[s] // block) for s in names]
     plan, given = planned(spark, share, period, blocks)
     table = spark.createDataFrame([(k, s, blocks[k], given[k], max(1, -(-sizes[s] // BUCKET))) for k, s in enumerate(names)], "k int, of string, blocks bigint, given bigint, parts int")
@@ -162,8 +207,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
 
 
 def _small(table: DataFrame, sources: int) -> DataFrame:
-    """Sent to every task while it has at most 16 times PERIOD sources; a shuffle beyond."""
-    return F.broadcast(table) if sources <= 16 * PERIOD else table
+    """Sent to every task while it has at most SENT sources; a shuffle beyond."""
+    return F.broadcast(table) if sources <= SENT else table
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:

@@ -229,7 +229,7 @@ def test_mixing(spark):
     for r in found:
         slots.setdefault(r.slot, set()).add((r.source, r.block, r.epoch))
     assert sorted(slots) == list(range(len(slots))) and all(len(v) == 1 for v in slots.values())
-    share, period = mixing.shares({k: v for k, v in weights.items() if k != "absent"})
+    share, period = mixing.exact_shares({k: v for k, v in weights.items() if k != "absent"})
     given = dict.fromkeys(share, 0)
     for t in range(len(slots)):
         given[next(iter(slots[t]))[0]] += 1
@@ -242,10 +242,37 @@ def test_mixing(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
-def test_period_schedules_many_weights():
-    for n in (1, 2, 7, 60):
-        share, period = mixing.shares({f"s{k}": (k + 1) ** 1.5 for k in range(n)})
-        assert sum(share.values()) == period and len(mixing.schedule(share, period)) == period
+def test_chunks_of_slots_fit_together():
+    rng = random.Random(6)
+    cases = [({f"s{k}": (k + 1) ** 1.5 for k in range(n)}, size) for n, size in ((1, 4), (2, 3), (7, 16), (60, 64))]
+    cases += [({f"s{k}": rng.choice([1e-4, 1e-3, 0.01, 0.5, 3.0]) * rng.random() for k in range(n)}, size) for n in (3, 8, 25) for size in (1, 2, 5, 10, 37) for _ in range(6)]
+    for weights, size in cases:
+        share, period = mixing.exact_shares(weights)
+        parts = [share[s] for s in mixing.by_name(share)]
+        had = [0] * len(parts)
+        for chunk in range(60):
+            start, stop = chunk * size, (chunk + 1) * size
+            last = mixing.border(parts, period, stop, had, *mixing.room(parts, period, start, stop))
+            for t, (k, i) in enumerate(mixing.slots(parts, period, start, stop, had[:], last), start + 1):
+                assert i == had[k]
+                had[k] += 1
+                assert all(abs(h * period - p * t) < period for h, p in zip(had, parts, strict=True))
+            assert had == last and sum(had) == stop
+
+
+def test_streams_of_many_chunks(spark, monkeypatch):
+    rows = [(i, "t", "en", s, 1) for i, s in enumerate(["a"] * 500 + ["b"] * 90 + [None] * 40 + ["c"] * 3)]
+    df = spark.createDataFrame(rows, DOCS)
+    whole = mixing.mix(df, block=2).collect()
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    found = mixing.mix(df, block=2).collect()
+    at = {r.slot: (r.source, r.block) for r in found}
+    assert sorted(at) == list(range(len(at))) and {r.doc_id for r in found} == {r.doc_id for r in whole} == set(range(len(rows)))
+    share, period = mixing.exact_shares({s: float(n) ** mixing.POWER for s, n in (("a", 500), ("b", 90), (None, 40), ("c", 3))})
+    had = dict.fromkeys(share, 0)
+    for t in range(len(at)):
+        had[at[t][0]] += 1
+        assert all(abs(had[s] * period - share[s] * (t + 1)) < period for s in share)
 
 
 def test_mixing_keeps_small_weights(spark):
@@ -475,7 +502,7 @@ def test_slots_are_the_earliest_deadlines():
     share, period = mixing.exact_shares({"a": 0.5, "b": 0.3, None: 0.15, "c": 0.05})
     names = sorted(share, key=lambda s: (s is not None, s or ""))
     done = dict.fromkeys(names, 0)
-    for slot, (k, i) in zip(range(3 * period), mixing.slots(share, period), strict=False):
+    for slot, (k, i) in zip(range(3 * period), mixing.slots([share[s] for s in names], period, 0, 4 * period, [0] * 4, [4 * share[s] for s in names]), strict=False):
         weight = {s: Fraction(share[s], period) for s in names}
         ready = [(-(-(done[s] + 1) // weight[s]), j) for j, s in enumerate(names) if done[s] / weight[s] <= slot or done[s] // weight[s] <= slot]
         assert (k, i) == (min(ready)[1], done[names[min(ready)[1]]])

@@ -61,7 +61,7 @@ def plain(rows, hashes):
         if left := " ".join(w for k, w in enumerate(words) if k not in gone):
             out[i] = left + (" " if len(words) - 1 in gone else "")  # the white space before a passage at the end stays
     sizes = Counter(docs[i][1] for i in out)
-    share, period = mixing.shares({s: float(n) ** mixing.POWER for s, n in sizes.items()})
+    share, period = mixing.exact_shares({s: float(n) ** mixing.POWER for s, n in sizes.items()})
     order = {s: sorted((i for i in out if docs[i][1] == s), key=lambda i: (hashes[i], i)) for s in sizes}
     blocks = {s: [v[k : k + mixing.BLOCK] for k in range(0, len(v), mixing.BLOCK)] for s, v in order.items()}
     done, slot, times = dict.fromkeys(sizes, 0), 0, Counter()
