@@ -19,7 +19,7 @@ other such stretches, whose first holder has both. Those links are chained and a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,12 +122,13 @@ def seeds_of(words: np.ndarray, counts: np.ndarray, size: int = K, window: int =
     return h[picked], text[picked], at[picked] - begin[text[picked]]
 
 
-SEED_ROWS = "h bigint, kind tinyint, doc bigint, pos bigint"
+#: h: a seed's hash, whose last bit tells what the row is: 0: the first occurrence of a seed in a document, and those after it, told apart by their
+#: turn (by_turn); 1: those after it once more, under the seed's own hash.
+SEED_ROWS = "h bigint, doc bigint, pos bigint"
 
 
 def seed_rows(docs: DataFrame) -> DataFrame:
-    """h, kind, doc, pos: kind 0: the first occurrence of each seed in a document, and those after it, told apart by their turn (by_turn);
-    kind 1: those after it once more, under the seed's own hash. All of it follows from the document alone."""
+    """SEED_ROWS of docs. All of it follows from the document alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,12 +136,12 @@ def seed_rows(docs: DataFrame) -> DataFrame:
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 h, text, pos = seeds_of(*word_hashes(part.column("text")))
                 order = np.lexsort((pos, text, h))
-                h, text, pos = h[order], text[order], pos[order]
-                again = np.flatnonzero((h[1:] == h[:-1]) & (text[1:] == text[:-1])) + 1
-                turned = by_turn(h, text)
-                kind = np.repeat(np.array([0, 1], np.int8), [len(h), len(again)])
-                h, text, pos = np.concatenate([turned, h[again]]).view(np.int64), np.concatenate([text, text[again]]), np.concatenate([pos, pos[again]])
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(kind), pa.array(ids[text]), pa.array(pos, pa.int64())], ["h", "kind", "doc", "pos"])
+                sorted_, of = h[order], text[order]
+                again = np.sort(order[np.flatnonzero((sorted_[1:] == sorted_[:-1]) & (of[1:] == of[:-1])) + 1])
+                turned = np.empty_like(h)
+                turned[order] = by_turn(sorted_, of)
+                h, text, pos = np.concatenate([turned & ~np.uint64(1), h[again] | np.uint64(1)]).view(np.int64), np.concatenate([text, text[again]]), np.concatenate([pos, pos[again]])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[text]), pa.array(pos, pa.int64())], ["h", "doc", "pos"])
 
     return docs.mapInArrow(run, SEED_ROWS)
 
@@ -156,23 +157,25 @@ def by_turn(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.where(turn > 0, mixed_bits(h ^ (turn * np.uint64(0x9E3779B97F4A7C15))), h)
 
 
-#: What a row of met() is: a link, a row whose class may have begun in an earlier range, the head of such a class in a range.
-LINK, EDGE, HEAD = 0, 1, 2
+#: What a row of met() is: a link, a row whose class may have begun in an earlier range, the head of such a class in a range, a link that is one of
+#: the first of its class.
+LINK, EDGE, HEAD, LEAD = 0, 1, 2, 3
 
 
 def met(seeds: DataFrame) -> DataFrame:
     """role, h, kind, a, a_pos, b, b_pos. LINK: an occurrence (b, b_pos) and its class's representative (a, a_pos); of one document only where
     the class has others, too. EDGE: an occurrence in the class with which a range begins; HEAD: the least occurrence in a range of the
     classes with which it begins and ends. Which rows are EDGE depends on the ranges, what links() makes of them does not."""
-    spread = seeds.repartitionByRange("h", "kind", "doc", "pos").sortWithinPartitions("h", "kind", "doc", "pos")
+    spread = seeds.repartitionByRange("h", "doc", "pos").sortWithinPartitions("h", "doc", "pos")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = head = None  # hash of the class with which the range begins; the class that goes on: h, kind, doc, pos, documents
         for batch in batches:
-            h, kind, doc, pos = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "kind", "doc", "pos"))
+            h, doc, pos = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "doc", "pos"))
             n = len(h)
             if not n:
                 continue
+            kind, h = (h & 1).astype(np.int8), h & ~1
             opens = np.concatenate([[head is None or h[0] != head[0]], h[1:] != h[:-1]])
             at = np.maximum.accumulate(np.where(opens, np.arange(n), -1))
             known = at >= 0
@@ -184,35 +187,36 @@ def met(seeds: DataFrame) -> DataFrame:
                 many[~known] += head[4]
             if first is None:
                 first = h[0]
-                yield _met(HEAD, h[:1], kind[:1], doc[:1], pos[:1], doc[:1], pos[:1])
+                yield _met(np.full(1, HEAD), h[:1], kind[:1], doc[:1], pos[:1], doc[:1], pos[:1])
             edge = h == first
-            linked = ~edge & ((a != doc) | (kind == 1) & (many > 1))
-            yield _met(LINK, h[linked], kind[linked], a[linked], a_pos[linked], doc[linked], pos[linked])
+            linked = np.flatnonzero(~edge & ((a != doc) | (kind == 1) & (many > 1)))
+            role = np.where(np.concatenate([[True], at[linked[1:]] != at[linked[:-1]]]), LEAD, LINK)[: len(linked)]
+            yield _met(role, h[linked], kind[linked], a[linked], a_pos[linked], doc[linked], pos[linked])
             if edge[0]:
-                yield _met(EDGE, h[edge], kind[edge], doc[edge], pos[edge], doc[edge], pos[edge])
+                yield _met(np.full(int(edge.sum()), EDGE), h[edge], kind[edge], doc[edge], pos[edge], doc[edge], pos[edge])
             k = int(at[-1])
             head = (h[k], kind[k], doc[k], pos[k], many[-1]) if k >= 0 else (*head[:4], many[-1])
         if head is not None and head[0] != first:
-            yield _met(HEAD, *(np.array([x]) for x in (*head[:4], *head[2:4])))
+            yield _met(np.full(1, HEAD), *(np.array([x]) for x in (*head[:4], *head[2:4])))
 
     return spread.mapInArrow(run, "role tinyint, h bigint, kind tinyint, a bigint, a_pos bigint, b bigint, b_pos bigint")
 
 
-def _met(role: int, *columns: np.ndarray) -> pa.RecordBatch:
+def _met(*columns: np.ndarray) -> pa.RecordBatch:
     kinds = (pa.int8(), pa.int64(), pa.int8(), *(pa.int64(),) * 4)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((np.full(len(columns[0]), role, np.int8), *columns), kinds, strict=True)], ["role", "h", "kind", "a", "a_pos", "b", "b_pos"])
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)], ["role", "h", "kind", "a", "a_pos", "b", "b_pos"])
 
 
 def links(seeds: DataFrame) -> DataFrame:
-    """a, a_pos, b, b_pos: occurrences of seeds (SEED_ROWS) with the first of all documents' occurrences; a is not above b, and equals it for later
-    occurrences in the first document."""
+    """a, a_pos, b, b_pos, lead: occurrences of seeds (SEED_ROWS) with the first of all documents' occurrences; a is not above b, and equals it for
+    later occurrences in the first document. Every first occurrence is in a row, a few for each class, that has lead."""
     given = cut(seeds, "seeds")
     rows = cut(met(given), "met")
     drop_cut(given)
     # two heads a range at most
     heads = rows.filter(F.col("role") == HEAD).groupBy("h").agg(F.min(F.struct("kind", "a", "a_pos")).alias("head")).select(F.col("h").alias("of"), F.col("head.a").alias("first"), F.col("head.a_pos").alias("first_pos"))
     asked = rows.filter(F.col("role") != HEAD).join(F.broadcast(heads), F.when(F.col("role") == EDGE, F.col("h")) == F.col("of"), "left")
-    out = asked.select(F.coalesce("first", "a").alias("a"), F.coalesce("first_pos", "a_pos").alias("a_pos"), "b", "b_pos", "kind").filter("a <> b or kind = 1").drop("kind")
+    out = asked.select(F.coalesce("first", "a").alias("a"), F.coalesce("first_pos", "a_pos").alias("a_pos"), "b", "b_pos", "kind", F.col("role").isin(EDGE, LEAD).alias("lead")).filter("a <> b or kind = 1").drop("kind")
     out._tejido_path = rows._tejido_path
     return out
 
@@ -468,8 +472,9 @@ def unequal(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int) ->
 def shared_places(linked: DataFrame) -> DataFrame:
     """doc_id, places, holders: where the seeds of each document stand that come in several documents, sorted, and the document that holds each
     first. A document has fewer of them than words."""
-    side = lambda doc, pos: linked.select(F.col(doc).alias("doc_id"), F.col(pos).alias("pos"), F.col("a").alias("holder"))
-    each = side("a", "a_pos").unionByName(side("b", "b_pos")).groupBy("doc_id", "pos").agg(F.min("holder").alias("holder"))
+    firsts = linked.filter("lead").select(F.col("a").alias("doc_id"), F.col("a_pos").alias("pos"), F.col("a").alias("holder")).distinct()
+    later = linked.select(F.col("b").alias("doc_id"), F.col("b_pos").alias("pos"), F.col("a").alias("holder"))
+    each = firsts.unionByName(later).repartition("doc_id").groupBy("doc_id", "pos").agg(F.min("holder").alias("holder"))
     listed = each.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "holder"))).alias("at"))
     return listed.select("doc_id", F.col("at.pos").alias("places"), F.col("at.holder").alias("holders"))
 
@@ -670,7 +675,7 @@ def pair_rows(docs: DataFrame, places: DataFrame, covered: DataFrame) -> DataFra
                 order = np.lexsort((pos, text, h))
                 h, text, pos = h[order], text[order], pos[order]
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(by_turn(h, text).view(np.int64)), pa.array(np.zeros(len(h), np.int8)), pa.array(ids[text]), pa.array(pos)], ["h", "kind", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array((by_turn(h, text) & ~np.uint64(1)).view(np.int64)), pa.array(ids[text]), pa.array(pos)], ["h", "doc", "pos"])
 
     out = texts.mapInArrow(run, SEED_ROWS)
     out._tejido_path = left._tejido_path
@@ -680,6 +685,17 @@ def pair_rows(docs: DataFrame, places: DataFrame, covered: DataFrame) -> DataFra
 PASSAGES = "first_id bigint, first_start int, first_stop int, doc_id bigint, start int, stop int, n_words int, n_same int, similarity double"
 
 
+def _parts(column: pa.Array, kind: type) -> Callable[[int], np.ndarray]:
+    """The k-th value of a column of binaries or lists, as an array that shares its memory."""
+    buffers, first, n = column.buffers(), column.offset, len(column)
+    ends = np.frombuffer(buffers[1], np.int32)[first : first + n + 1]
+    if pa.types.is_list(column.type):
+        data = column.values.to_numpy(zero_copy_only=False)
+        return lambda k: data[ends[k] : ends[k + 1]]
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
+    return lambda k: data[ends[k] : ends[k + 1]].view(kind)
+
+
 def alike(found: DataFrame, codes: DataFrame, words: int, similarity: float) -> DataFrame:
     """PASSAGES: the chains found (id, a, b, a_seeds, b_seeds), aligned on the words of both documents."""
     served = with_words(found, codes)
@@ -687,26 +703,28 @@ def alike(found: DataFrame, codes: DataFrame, words: int, similarity: float) ->
     both = asked.unionByName(served, allowMissingColumns=True).repartition("id").sortWithinPartitions("id", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: dict | None = None
+        now = x = None  # the chain (id, a, b, and its seeds), and the words of its first side from a place on
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
+        names = [c.split()[0] for c in PASSAGES.split(", ")]
         for batch in batches:
+            ids, sides, starts, a_ids, b_ids = (batch.column(c).to_pylist() for c in ("id", "side", "start", "a", "b"))
+            words_of = _parts(batch.column("words"), np.uint32)
+            a_seeds, b_seeds = (_parts(batch.column(c), np.int32) for c in ("a_seeds", "b_seeds"))
             out: list[tuple] = []
-            for r in (r for k in range(0, batch.num_rows, 64) for r in batch.slice(k, 64).to_pylist()):
-                if r["side"] is None:
-                    now = r
-                elif now is not None and r["id"] == now["id"]:
-                    code = np.frombuffer(r["words"], np.uint32)
-                    if r["side"] == 0:
-                        now["x"] = r["start"], code
-                    elif "x" in now:
-                        (x0, x), (y0, y) = now["x"], (r["start"], code)
-                        xs, ys = np.array(now["a_seeds"]) - x0, np.array(now["b_seeds"]) - y0
-                        if xs[-1] + K > len(x) or ys[-1] + K > len(y):  # another row of a repeated doc_id
+            for k, side in enumerate(sides):
+                if side is None:
+                    now, x = (ids[k], a_ids[k], b_ids[k], a_seeds(k).astype(np.int64), b_seeds(k).astype(np.int64)), None
+                elif now is not None and ids[k] == now[0]:
+                    if side == 0:
+                        x = starts[k], words_of(k)
+                    elif x is not None:
+                        (x0, xw), y0, yw = x, starts[k], words_of(k)
+                        xs, ys = now[3] - x0, now[4] - y0
+                        if xs[-1] + K > len(xw) or ys[-1] + K > len(yw):  # another row of a repeated doc_id
                             continue
-                        for a, b, c, d, same in aligned(x, y, xs, ys, words, similarity):
-                            out.append((now["a"], a + x0, b + x0, now["b"], c + y0, d + y0, d - c, same, same / max(b - a, d - c)))
+                        for a, b, c, d, same in aligned(xw, yw, xs, ys, words, similarity):
+                            out.append((now[1], a + x0, b + x0, now[2], c + y0, d + y0, d - c, same, same / max(b - a, d - c)))
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
-                names = [c.split()[0] for c in PASSAGES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array([int(v) if i < 8 else float(v) for v in c], t) for i, (c, t) in enumerate(zip(zip(*out, strict=True), kinds, strict=True))], names)
 
     return both.mapInArrow(run, PASSAGES)
@@ -735,7 +753,7 @@ def passages(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     if not rows.groupBy("doc_id").count().filter("count > 1").isEmpty():
         rows = once = cut(rows.groupBy("doc_id").agg(F.min("text").alias("text")), "once")
     linked = links(seed_rows(rows))
-    found, places = cut(chains(linked.filter("a <> b")), "chains"), cut(shared_places(linked), "places")
+    found, places = cut(chains(linked.filter("a <> b").drop("lead")), "chains"), cut(shared_places(linked), "places")
     drop_cut(linked)
     del linked
     release(spark)
@@ -758,7 +776,10 @@ def passages(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     more = cut(chains(each), "chains")
     drop_cut(tied)
     drop_cut(pairs)
-    others = cut(alike(more, word_codes(rows), words, similarity), "alike") if not more.isEmpty() else None
+    others = None
+    if not more.isEmpty():
+        of = more.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        others = cut(alike(more, word_codes(rows.join(of, "doc_id", "left_semi")), words, similarity), "alike")
     out = cut(told if others is None else told.unionByName(beside(others, told)), "passages")
     for table in (first, same, places, more, others, once):
         if table is not None:
