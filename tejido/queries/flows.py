@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text, urls
 from ..operators import frontier as O
 from ..plans import fixtures as X
-from ..streaming import flows
+from ..streaming import flows, state
 from . import query, sql
 from .sinks import folder, keep
 
@@ -136,3 +136,20 @@ MOST = f"greatest({', '.join(f'n_{lang}' for lang in text.FUNCTION_WORDS)})"
 @query("a22_language_words", f"SELECT doc_id, {sql.hits('lower(text)', ['ción', 'ñ'])} > 0 AS spanish_marks, CASE WHEN {MOST} = 0 THEN NULL {' '.join(f'WHEN n_{lang} = {MOST} THEN {sql.lit(lang)}' for lang in text.FUNCTION_WORDS)} END AS language FROM (SELECT doc_id, text, {KINDS} FROM documents)")
 def _(t):
     return t.documents.select("doc_id", (text.lexicon_hits(F.lower("text"), ["ción", "ñ"]) > 0).alias("spanish_marks"), text.language(C("text")).alias("language"))
+
+
+GAP = "SELECT event_id, ts, lag(ts) OVER (PARTITION BY {keys} ORDER BY ts, event_id) AS before FROM events"
+
+
+@query("r08_keyed_delay_state", f"SELECT event_id, CASE WHEN before IS NULL THEN 0.0 ELSE greatest(0.0, round(3600.0 - (epoch(ts) - epoch(before)), 3)) END::DOUBLE AS wait FROM ({GAP.format(keys='user_id')})")
+def _(t):
+    out, where = folder(t, "waits"), folder(t, "state")
+    flows.run_stream(state.waits(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), "user_id", "event_id", "ts", 3600), flows.batch_sink(out), where)
+    return t.spark.read.schema("id bigint, wait double, batch bigint").parquet(out).select(C("id").alias("event_id"), "wait")
+
+
+@query("r05_expiring_keys", f"SELECT event_id FROM ({GAP.format(keys='event_type, user_id')}) WHERE before IS NULL OR ts - before > INTERVAL 1 DAY")
+def _(t):
+    out, where = folder(t, "again"), folder(t, "state")
+    flows.run_stream(state.new_again(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), ["event_type", "user_id"], "event_id", "ts", "1 DAY"), flows.batch_sink(out), where)
+    return t.spark.read.schema("id bigint, batch bigint").parquet(out).select(C("id").alias("event_id"))
