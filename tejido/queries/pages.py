@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import html, text, urls
+from ..operators import boilerplate as B
 from ..plans import fixtures as X
 from . import query, sql
+from .sinks import keep
 
 C = F.col
 BODY = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
@@ -26,6 +28,37 @@ def _(t):
     return p.select("page_id", (F.coalesce(F.length("m"), F.lit(0)) >= 20).alias("success"), F.when(F.length("m") >= 20, C("m")).alias("text"))
 
 
+def _plain_sql(fragment: str) -> str:
+    out = f"regexp_replace({fragment}, {sql.lit(B.TAG)}, '', 'g')"
+    for name, character in B.ENTITIES.items():
+        out = f"replace({out}, {sql.lit(name)}, {sql.lit(character)})"
+    return f"trim(regexp_replace({out}, {sql.lit(B.SPACE)}, ' ', 'g'))"
+
+
+DENSE_SQL = f"""WITH fragments AS (
+  SELECT page_id, {X.HOST_SQL} AS host, unnest(f) AS fragment, generate_subscripts(f, 1) AS pos
+  FROM (SELECT page_id, url, regexp_split_to_array(regexp_replace(html, {sql.lit(B.DROPPED)}, ' ', 'g'), {sql.lit(B.BLOCKS)}) AS f FROM pages)
+), blocks AS (
+  SELECT *, len(string_split(block, ' ')) AS n_words, length({_plain_sql(f"array_to_string(regexp_extract_all(fragment, {sql.lit(B.ANCHOR)}, 1), ' ')")}) / length(block)::DOUBLE <= {B.LINKED} AS plain
+  FROM (SELECT *, {_plain_sql('fragment')} AS block FROM fragments) WHERE block <> ''
+), sizes AS (SELECT host, count(DISTINCT page_id) AS pages FROM blocks GROUP BY host
+), templates AS (
+  SELECT b.host, b.block FROM blocks b JOIN sizes s ON s.host = b.host GROUP BY b.host, b.block, s.pages HAVING count(DISTINCT page_id) >= {B.TEMPLATE_PAGES} AND count(DISTINCT page_id) >= s.pages * {B.TEMPLATE_SHARE}
+), near AS (
+  SELECT *, plain AND n_words >= {B.LONG} AS long, lag(plain AND n_words >= {B.LONG}) OVER w AS before, lead(plain AND n_words >= {B.LONG}) OVER w AS after FROM blocks WINDOW w AS (PARTITION BY page_id ORDER BY pos)
+), dense AS (
+  SELECT page_id, string_agg(block, chr(10) ORDER BY pos) AS text FROM near WHERE plain AND (long OR n_words >= {B.SHORT} AND (coalesce(before, false) OR coalesce(after, false)))
+    AND NOT EXISTS (SELECT 1 FROM templates t WHERE t.host = near.host AND t.block = near.block) GROUP BY page_id
+)
+SELECT p.page_id, CASE WHEN length(d.text) >= {B.ENOUGH} THEN 'blocks' WHEN length(main_text) >= {B.LEAST} THEN 'fallback' END AS method, CASE WHEN length(d.text) >= {B.ENOUGH} THEN d.text WHEN length(main_text) >= {B.LEAST} THEN main_text END AS text
+FROM (SELECT page_id, {TEXT_SQL} AS main_text FROM pages) p LEFT JOIN dense d ON d.page_id = p.page_id"""
+
+
+@query("x01_main_text_dense", DENSE_SQL)
+def _(t):
+    return B.main_text(t.pages, keep=keep(t))
+
+
 @query("x13_basic_extract", f"SELECT page_id, CASE WHEN length(main_text) < 20 THEN 'No content extracted' END AS error, CASE WHEN length(main_text) >= 20 THEN 'enhanced_basic' END AS method FROM (SELECT page_id, {TEXT_SQL} AS main_text FROM pages)")
 def _(t):
     n = F.coalesce(F.length(text.strip(C("m"))), F.lit(0))
