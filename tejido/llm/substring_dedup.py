@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import cut, drop_cut, fresh, release, slices
+from ._shared import cut, drop_cut, fresh, release, shuffle_width, slices
 from .lz_fingerprint import powers
 
 #: Words of a k-mer, and k-mers of which one at least is a seed.
@@ -48,6 +48,8 @@ FALL = 8
 SERVED = 50_000
 #: Bytes of text hashed at once.
 SLICE = 1 << 19
+#: Rows of seeds that one task sorts, about, and rows of links that it hands on at once.
+SORTED, GIVEN = 2_000_000, 1 << 16
 #: Successive runs that travel as one row at most.
 RUNS = 256
 #: A seed is paired with so many seeds after it, which stand at most REACH words further on.
@@ -166,42 +168,48 @@ def met(seeds: DataFrame) -> DataFrame:
     """role, h, kind, a, a_pos, b, b_pos. LINK: an occurrence (b, b_pos) and its class's representative (a, a_pos); of one document only where
     the class has others, too. EDGE: an occurrence in the class with which a range begins; HEAD: the least occurrence in a range of the
     classes with which it begins and ends. Which rows are EDGE depends on the ranges, what links() makes of them does not."""
-    spread = seeds.repartitionByRange("h", "doc", "pos").sortWithinPartitions("h", "doc", "pos")
+    parts = max(shuffle_width(seeds.sparkSession), -(-seeds.count() // SORTED))
+    spread = seeds.repartitionByRange(parts, "h", "doc", "pos")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = head = None  # hash of the class with which the range begins; the class that goes on: h, kind, doc, pos, documents
-        for batch in batches:
-            h, doc, pos = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "doc", "pos"))
-            n = len(h)
-            if not n:
-                continue
-            kind, h = (h & 1).astype(np.int8), h & ~1
-            opens = np.concatenate([[head is None or h[0] != head[0]], h[1:] != h[:-1]])
-            at = np.maximum.accumulate(np.where(opens, np.arange(n), -1))
-            known = at >= 0
-            a, a_pos = doc[at], pos[at]
-            before = np.concatenate([[0], np.cumsum(kind == 0)])
-            many = before[1:] - before[np.maximum(at, 0)]  # documents of the class so far
-            if head is not None:
-                a[~known], a_pos[~known] = head[2], head[3]
-                many[~known] += head[4]
-            if first is None:
-                first = h[0]
-                yield _met(np.full(1, HEAD), h[:1], kind[:1], doc[:1], pos[:1], doc[:1], pos[:1])
-            edge = h == first
-            linked = np.flatnonzero(~edge & ((a != doc) | (kind == 1) & (many > 1)))
-            role = np.where(np.concatenate([[True], at[linked[1:]] != at[linked[:-1]]]), LEAD, LINK)[: len(linked)]
-            yield _met(role, h[linked], kind[linked], a[linked], a_pos[linked], doc[linked], pos[linked])
-            if edge[0]:
-                yield _met(np.full(int(edge.sum()), EDGE), h[edge], kind[edge], doc[edge], pos[edge], doc[edge], pos[edge])
-            k = int(at[-1])
-            head = (h[k], kind[k], doc[k], pos[k], many[-1]) if k >= 0 else (*head[:4], many[-1])
-        if head is not None and head[0] != first:
-            yield _met(np.full(1, HEAD), *(np.array([x]) for x in (*head[:4], *head[2:4])))
+        held = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "doc", "pos")] for b in batches if b.num_rows]
+        if not held:
+            return
+        h, doc, pos = in_order(*(np.concatenate(z) for z in zip(*held, strict=True)))
+        del held
+        kind, h = (h & 1).astype(np.int8), h & ~1
+        opens = np.concatenate([[True], h[1:] != h[:-1]])
+        at = np.maximum.accumulate(np.where(opens, np.arange(len(h)), 0))
+        a, a_pos = doc[at], pos[at]
+        before = np.concatenate([[0], np.cumsum(kind == 0)])
+        many = before[1:] - before[at]  # documents of the class so far
+        ends = np.unique([0, at[-1]])  # heads of the first and the last class
+        yield _met(np.full(len(ends), HEAD), h[ends], kind[ends], doc[ends], pos[ends], doc[ends], pos[ends])
+        edge = h == h[0]
+        linked = np.flatnonzero(~edge & ((a != doc) | (kind == 1) & (many > 1)))
+        role = np.where(np.concatenate([[True], at[linked[1:]] != at[linked[:-1]]]), LEAD, LINK)[: len(linked)]
+        edge = np.flatnonzero(edge)
+        for k in range(0, len(linked), GIVEN):
+            some = linked[k : k + GIVEN]
+            yield _met(role[k : k + GIVEN], h[some], kind[some], a[some], a_pos[some], doc[some], pos[some])
+        for k in range(0, len(edge), GIVEN):
+            some = edge[k : k + GIVEN]
+            yield _met(np.full(len(some), EDGE), h[some], kind[some], doc[some], pos[some], doc[some], pos[some])
 
     return spread.mapInArrow(run, "role tinyint, h bigint, kind tinyint, a bigint, a_pos bigint, b bigint, b_pos bigint")
 
 
+def in_order(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows sorted by hash, document and place. Most hashes come once, so only the others are sorted by more than that."""
+    order = np.argsort(h)
+    h = h[order]
+    same = h[1:] == h[:-1]
+    again = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    some = order[again]
+    order[again] = some[np.lexsort((pos[some], doc[some], h[again]))]
+    return h, doc[order], pos[order]
+
+
 def _met(*columns: np.ndarray) -> pa.RecordBatch:
     kinds = (pa.int8(), pa.int64(), pa.int8(), *(pa.int64(),) * 4)
     return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)], ["role", "h", "kind", "a", "a_pos", "b", "b_pos"])
