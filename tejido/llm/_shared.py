@@ -57,6 +57,12 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """path with the scheme and host that Spark's writers take for it, so that tasks which open it themselves find the same place."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def fresh(name: str, columns: list[str]) -> str:
     """name, or name with underscores before it, such that no column is called so (Spark's names ignore case)."""
     taken = {c.lower() for c in columns}

@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import cut, scratch_path
+from ._shared import cut, qualified, scratch_path, shuffle_width
 
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are stored again rather than referred to.
 LEAST_REVISIT = 1000
-#: Bytes of a file that a reading task owns.
-SPLIT = 16 << 20
+#: Bytes of a file that are a range with records of its own, and bytes that a reading task gets, in several ranges, where there are more than tasks.
+SPLIT, TASK = 16 << 20, 128 << 20
 #: Bytes read or handed on at once.
 BLOCK = 1 << 20
 #: Bytes that are inflated at once to see whether a member begins a record.
@@ -89,11 +89,13 @@ def gzip_member(data: bytes, level: int) -> bytes:
 
 
 def write(rows: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", level: int = 4) -> DataFrame:
-    """Write what roles() gives as one archive a task under folder; a DataFrame of path, length and n_records.
+    """Write what roles() gives as one archive a task under folder; a DataFrame of path, length and n_records. A folder without a scheme is one
+    of the cluster's own file system, as for Spark's writers.
 
     A task writes under a name of its own attempt and lists it only when the file is closed, so files of lost or repeated
     attempts are never read. Tasks without rows write no file.
     """
+    folder = qualified(rows.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, place = filesystem(folder)
@@ -228,8 +230,10 @@ def records_of(path: str, length: int, start: int, stop: int) -> Iterator[tuple[
 def read(files: DataFrame, split: int = SPLIT) -> DataFrame:
     """path, offset, record_type, headers (names in lower case), payload of every record of files (path, length)."""
     ranges = files.filter("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"))
-    n = int(files.agg(F.sum(F.ceil(F.col("length") / split))).first()[0] or 1)
-    dealt = ranges.repartition(n)  # a task a range
+    sums = files.agg(F.sum(F.ceil(F.col("length") / split)).alias("ranges"), F.sum("length").alias("bytes")).first()
+    width = shuffle_width(files.sparkSession)
+    n = max(1, min(int(sums.ranges or 1), width), -(-int(sums.bytes or 0) // TASK))
+    dealt = ranges.repartition(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.map_(pa.string(), pa.string())
