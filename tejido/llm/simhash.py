@@ -46,6 +46,8 @@ SAMPLE, WIDE_DENSITY = 12, 1024
 LIKENESS = 0.8
 #: Least texts of a part of candidates that are verified in one place, and parts that candidates are cut into while parts are small.
 PART, PARTS = 128, 32
+#: Shingles (8 bytes each) of a part of candidates on average, at most.
+SHINGLES = 1 << 20
 _LANES = np.uint64(0x0101010101010101)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -309,28 +311,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, words: int, lanes: int) -> DataFrame:
-    """doc_id, simhash, shingles (128 bits of the set of its shingles) of docs (doc_id, text). A shingle counts once in the simhash."""
+    """doc_id, simhash, shingles (128 bits of the set of its shingles), n_shingles of docs (doc_id, text). A shingle counts once in the simhash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                prints, keys = [], []
+                prints, keys, sizes = [], [], []
                 for t in part.column("text").to_pylist():
                     hashes = np.unique(shingle_hashes(t, words))
+                    sizes.append(len(hashes))
                     prints.append(np.array(wide_majority(hashes, lanes), np.uint64).tobytes())
                     keys.append(set_key(hashes))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "simhash", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(prints, pa.binary()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "simhash", "shingles", "n_shingles"])
 
-    return docs.mapInArrow(run, "doc_id bigint, simhash binary, shingles binary")
+    return docs.mapInArrow(run, "doc_id bigint, simhash binary, shingles binary, n_shingles bigint")
 
 
 def _alike(docs: DataFrame, radius: int, words: int, lanes: int, likeness: float) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prints = cut(_shingle_sets(rows, words, lanes), "prints")
-    classes = cut(prints.groupBy("shingles").agg(F.min("doc_id").alias("id"), F.min("simhash").alias("simhash")), "classes")
+    classes = cut(prints.groupBy("shingles").agg(F.min("doc_id").alias("id"), F.min("simhash").alias("simhash"), F.min("n_shingles").alias("n_shingles")), "classes")
     named = classes.filter("id is not null")
     candidates = connected_components(near_links(named.select("id", "simhash"), radius, lanes))
-    members = named.join(candidates, named.id == candidates.node).select("component", "id", "simhash", "shingles")
+    members = named.join(candidates, named.id == candidates.node).select("component", "id", "simhash", "shingles", "n_shingles")
     texts = rows.withColumnRenamed("doc_id", "id")
     linked = connected_components(verified(members.join(texts, "id"), words, radius, likeness))
     leads = classes.join(linked, classes.id == linked.node, "left").select("shingles", F.coalesce("component", "id").alias("component_id"))
@@ -371,11 +374,12 @@ def alike(texts: list[np.ndarray], values: np.ndarray, radius: int, likeness: fl
 
 
 def verified(members: DataFrame, words: int, radius: int, likeness: float) -> DataFrame:
-    """a, b (bigint): links among members (component, id, simhash, shingles, text) of one component that join up all that are alike. Components
-    are cut into parts of PART members, or more if there are over PARTS parts, and every two parts meet in a task."""
+    """a, b (bigint): links among members (component, id, simhash, shingles, n_shingles, text) of one component that join up all that are alike.
+    Components are cut into parts of PART members, or more if there are over PARTS parts, that have SHINGLES shingles at most on average, and every two
+    parts meet in a task."""
     most = F.greatest(F.lit(PART), F.least(F.lit(ROWS), F.ceil(F.col("n") / PARTS)))
-    counts = members.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1")
-    parts = F.ceil(F.col("n") / most).cast("int")
+    counts = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")).filter("n > 1")
+    parts = F.least(F.col("n"), F.greatest(F.ceil(F.col("n") / most), F.ceil(F.col("total") / SHINGLES))).cast("int")
     own = F.pmod(F.xxhash64("id"), parts).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64("component", F.least(k, own), F.greatest(k, own)))
     dealt = members.join(counts, "component").withColumn("group", F.explode(pairs)).select("group", "id", "simhash", "shingles", "text")

@@ -108,8 +108,10 @@ def test_near_dedup_stage(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "9", "None"]
 
 
-def test_near_dedup_stage_against_jaccard(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "PART", 8, raising=False)
+@pytest.mark.parametrize(("part", "shingles"), [(8, 1 << 20), (4096, 700)])
+def test_near_dedup_stage_against_jaccard(spark, monkeypatch, part, shingles):
+    monkeypatch.setattr(simhash, "PART", part)
+    monkeypatch.setattr(simhash, "SHINGLES", shingles)
     rng = random.Random(12)
     texts = []
     for k in range(12):
@@ -507,3 +509,13 @@ def test_slots_are_the_earliest_deadlines():
         ready = [(-(-(done[s] + 1) // weight[s]), j) for j, s in enumerate(names) if done[s] / weight[s] <= slot or done[s] // weight[s] <= slot]
         assert (k, i) == (min(ready)[1], done[names[min(ready)[1]]])
         done[names[k]] += 1
+
+
+def test_archives_lie_where_spark_writes(spark, tmp_path):
+    from tejido.llm._shared import qualified
+
+    assert qualified(spark, "/a/b") == "file:/a/b" and qualified(spark, "file:///a/b") in ("file:///a/b", "file:/a/b")
+    files = warc.write(warc.roles(spark.createDataFrame([(1, "http://x/", "y" * 2000)], PAGES)), str(tmp_path / "w"))
+    row = files.first()
+    assert row.path.startswith("file:/") and spark.read.format("binaryFile").load(row.path).count() == 1
+    assert warc.read(files, 64).count() == 1
