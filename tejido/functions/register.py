@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import pandas_udf, udtf
 
 from . import html, scoring, text
 from . import lexicons as L
@@ -36,13 +36,23 @@ def functions() -> dict[str, tuple[str, str, str]]:
 
 
 def register(spark: SparkSession) -> list[str]:
-    """Temporary SQL functions of this session; their names. html_text, nfc and token_numbers are Arrow-batched Python, the others SQL."""
+    """Temporary SQL functions of this session; their names. html_text, nfc and token_numbers are Arrow-batched Python, the others SQL; html_links is a table
+    function: FROM pages, LATERAL html_links(html)."""
     for name, (parameters, kind, body) in functions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")
     spark.udf.register("nfc", text.nfc)
     spark.udf.register("token_numbers", scoring.token_numbers)
     spark.udf.register("html_text", pandas_udf(_texts, "string"))
-    return [*functions(), "nfc", "token_numbers", "html_text"]
+    spark.udtf.register("html_links", udtf(HtmlLinks, returnType="pos int, href string, anchor string"))
+    return [*functions(), "nfc", "token_numbers", "html_text", "html_links"]
+
+
+class HtmlLinks:
+    """The links of a page in order; a null page has none."""
+
+    def eval(self, page: str) -> Iterator[tuple[int, str, str]]:
+        for link in html.links_of(page):
+            yield link["pos"], link["href"], link["anchor"]
 
 
 def _texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

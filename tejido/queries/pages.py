@@ -75,6 +75,15 @@ def _(t):
     return t.links.filter(~urls.skip_link(C("link"), C("url"))).select("page_id", "pos", "link", urls.link_type(C("link"), C("anchor")).alias("type"))
 
 
+@query("x05_links_lateral", f"WITH {X.LINKS_SQL} SELECT page_id, CAST(pos AS INTEGER) AS pos, href, anchor FROM links")
+def _(t):
+    from ..functions.register import register
+
+    register(t.spark)
+    t.pages.createOrReplaceTempView("tejido_pages")
+    return t.spark.sql("SELECT p.page_id, l.pos, l.href, l.anchor FROM tejido_pages p, LATERAL html_links(p.html) l")
+
+
 @query("x06_link_list", f"WITH {X.LINKS_SQL} SELECT page_id, link FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY CASE WHEN {sql.article('link')} THEN 0 WHEN {sql.archive('link')} THEN 1 ELSE 2 END, link) AS k FROM (SELECT DISTINCT page_id, link FROM links WHERE {sql.valid('link', sql.host('url'))})) WHERE k <= 100")
 def _(t):
     w = Window.partitionBy("page_id").orderBy(urls.link_class(C("link")), "link")

@@ -8,9 +8,9 @@ from pyspark.sql.window import Window
 from ..functions import text, urls
 from ..operators import ranking
 from ..plans import fixtures as X
-from ..sources import readers
+from ..sources import readers, services
 from . import query, sql
-from .sinks import keep
+from .sinks import folder, keep
 
 C = F.col
 SETTINGS = """
@@ -47,18 +47,36 @@ def _(t):
 PER_RESPONSE, PER_CHANNEL = 50, 500
 
 
-@query("s06_channel_videos", f"SELECT source AS channel_id, rank, doc_id AS video_id FROM (SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS INTEGER) AS rank FROM documents) WHERE rank <= {PER_CHANNEL}")
-def _(t):
+def _landed(t):
+    """Documents as responses of a video service: a source is a channel, its newest documents come first."""
     ranked = ranking.rank(t.documents.select("doc_id", "source", (-C("doc_id")).alias("newest")), "source", "newest", "k").withColumn("page", F.floor((C("k") - 1) / PER_RESPONSE))
     item = F.struct(F.struct(F.struct(C("doc_id").cast("string").alias("videoId")).alias("resourceId")).alias("snippet"))
     packed = ranked.groupBy("source", "page").agg(F.array_sort(F.collect_list(F.struct("k", item.alias("item")))).alias("rows"))
     token = lambda c: F.concat(F.lit("p"), c.cast("string"))
     following = F.when(F.size("rows") == PER_RESPONSE, token(C("page") + 1))
     landed = packed.select(C("source").alias("channel_id"), F.when(C("page") > 0, token(C("page"))).alias("token"), F.to_json(F.struct(following.alias("nextPageToken"), F.col("rows.item").alias("items"))).alias("json"))
-    found = readers.channel_videos(keep(t)(landed), PER_CHANNEL, keep(t))
+    return landed
+
+
+UPLOADED = f"SELECT source AS channel_id, rank, doc_id AS video_id FROM (SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS INTEGER) AS rank FROM documents) WHERE rank <= {PER_CHANNEL}"
+
+
+@query("s06_channel_videos", UPLOADED)
+def _(t):
+    found = readers.channel_videos(keep(t)(_landed(t)), PER_CHANNEL, keep(t))
     return found.select("channel_id", "rank", C("video_id").cast("long").alias("video_id"))
 
 
+@query("s06_uploads_source", UPLOADED)
+def _(t):
+    to = folder(t, "uploads")
+    named = _landed(t).select("channel_id", F.coalesce("token", F.lit(services.FIRST)).alias("token"), C("json").alias("value"))
+    named.repartition("channel_id", "token").write.partitionBy("channel_id", "token").text(to)
+    services.register(t.spark)
+    found = t.spark.read.format("channel_uploads").option("path", to).option("most", PER_CHANNEL).load()
+    return found.select("channel_id", C("rank").cast("int").alias("rank"), C("video_id").cast("long").alias("video_id"))
+
+
 @query("s07_channel_id", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'UC' || doc_id WHEN 1 THEN 'h' || doc_id END AS handle FROM documents")
 def _(t):
     i = C("doc_id").cast("string")
@@ -106,6 +124,17 @@ def _(t):
     return e.select("url", "title", "description", F.date_format("published_date", "yyyy-MM-dd HH:mm:ss").alias("published"), "source", "entry_id", F.array_join("categories", ",").alias("categories"))
 
 
+@query("s11_feed_files", ENTRY)
+def _(t):
+    to = folder(t, "feeds")
+    date = F.date_format(C("published_date").cast("timestamp"), "EEE, dd MMM yyyy HH:mm:ss Z")
+    link = F.when(C("event_id") % 7 != 0, C("url")).otherwise("")
+    items = t.feed.select("title", link.alias("link"), C("source").alias("category"), date.alias("pubDate"), "description", "source")
+    items.repartition("source").write.format("xml").option("rootTag", "rss").option("rowTag", "item").option("nullValue", "").partitionBy("source").save(to)
+    e = readers.read_feeds(t.spark, to)
+    return e.select("url", "title", "description", F.date_format("published_date", "yyyy-MM-dd HH:mm:ss").alias("published"), F.regexp_extract("file", "source=([^/]*)", 1).alias("source"), "entry_id", F.array_join("categories", ",").alias("categories"))
+
+
 @query("s12_feed_entry", f"SELECT source, count(*) AS entries, count(published) AS dated FROM ({ENTRY}) GROUP BY source")
 def _(t):
     return readers.feed_entries(_feeds(t)).groupBy("source").agg(F.count("*").alias("entries"), F.count("published_date").alias("dated"))
@@ -113,9 +142,9 @@ def _(t):
 
 @query("s16_sitemap", "SELECT url FROM pages")
 def _(t):
-    loc = F.concat(F.lit("<url><loc> "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
-    maps = t.pages.groupBy(urls.host(C("url")).alias("host")).agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(loc), ""), F.lit("</urlset>")).alias("xml"))
-    return maps.select(F.explode(readers.sitemap_urls(C("xml"))).alias("url"))
+    to = folder(t, "sitemaps")
+    t.pages.select(F.concat(F.lit(" "), "url", F.lit(" ")).alias("loc")).write.format("xml").option("rootTag", "urlset").option("rowTag", "url").save(to)
+    return readers.read_sitemaps(t.spark, to).select("url")
 
 
 @query("s17_feed_links", f"WITH {X.FEED_SQL} SELECT DISTINCT url FROM feed WHERE event_id % 7 <> 0 AND {sql.valid('url', repr('feed.example.com'))}")

@@ -117,6 +117,34 @@ def published(value: Column) -> Column:
     return F.coalesce(rfc, F.try_to_timestamp(value))
 
 
+def read_sitemaps(spark: SparkSession, path: str, row_tag: str = "url") -> DataFrame:
+    """url and file of the sitemaps under path, whatever their size: each <url> is a row as the file is read, no file is one string. With row_tag `sitemap`, the
+    sitemaps that an index names. Name spaces are passed over; entries without an address, and what is no XML, are left out."""
+    rows = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true").option("mode", "DROPMALFORMED").schema("loc string").load(path)
+    return rows.select(F.trim("loc").alias("url"), F.col("_metadata.file_path").alias("file")).filter("url <> ''")
+
+
+#: An item of RSS or an entry of Atom; a link is text, or an address in an attribute; a category text, or a term.
+FEED_ROW = (
+    "title string, link array<struct<_VALUE: string, _href: string>>, description string, summary string, pubDate string, published string, updated string, "
+    "category array<struct<_VALUE: string, _term: string>>, guid struct<_VALUE: string>, id string"
+)
+
+
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the feed files under path as feed_entries() has them, with the file in place of source and feed_url: each item (RSS) or entry (Atom) is a row
+    as the file is read. Files with characters that XML doesn't allow are for feed_entries(), which takes those out."""
+    read = lambda tag: spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true").option("mode", "DROPMALFORMED").schema(FEED_ROW).load(path).withColumn("file", F.col("_metadata.file_path"))
+    rows = read("item").unionByName(read("entry"))
+    links = F.filter(F.transform("link", lambda x: F.trim(F.coalesce(x["_href"], x["_VALUE"]))), lambda x: x != "")
+    categories = F.filter(F.transform("category", lambda c: F.coalesce(c["_term"], c["_VALUE"], F.lit(""))), lambda c: c != "")
+    told = rows.withColumn("url", F.get(links, 0))
+    return told.filter("url is not null").select(
+        "url", F.coalesce(F.trim("title"), F.lit("Sin título")).alias("title"), F.coalesce("description", "summary", F.lit("")).alias("description"), published(F.coalesce("pubDate", "published", "updated")).alias("published_date"),
+        F.coalesce(categories, F.array().cast("array<string>")).alias("categories"), "file", F.coalesce("guid._VALUE", "id", "url").alias("entry_id"),
+    )
+
+
 def sitemap_urls(xml: Column) -> Column:
     return F.transform(F.xpath(xml, F.lit("//*[local-name()='url']/*[local-name()='loc']/text()")), lambda u: F.trim(u))
 
