@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text, urls
 from ..operators import frontier as O
 from ..plans import fixtures as X
-from ..streaming import flows, state
+from ..streaming import flows, retries, state
 from . import query, sql
 from .sinks import folder, keep
 
@@ -41,6 +41,31 @@ def _(t):
     return t.documents.select("doc_id", F.when(short, "failed").otherwise("completed").alias("status"), F.when(short, "too short").alias("error"))
 
 
+#: How long an attempt at a document takes, and whether it fails, by its number; a document that is stuck never comes back.
+TOOK, BROKEN, STUCK = "(doc_id * 37 + attempt * 11) % 150", "(doc_id + attempt) % 3 = 0", "doc_id % 50 = 7"
+TRIED = f"""CASE WHEN {STUCK} OR {TOOK} > 120 THEN 'timeout' WHEN {BROKEN} THEN 'failed' ELSE 'completed' END"""
+RETRIED = f"""WITH RECURSIVE tries AS (
+  SELECT doc_id, 1 AS attempt, 0.0::DOUBLE AS due FROM documents
+  UNION ALL
+  SELECT doc_id, attempt + 1, (due + CASE WHEN {STUCK} OR {TOOK} > 120 THEN 120 ELSE {TOOK} END + power(2, attempt - 1))::DOUBLE FROM tries WHERE attempt < 3 AND {TRIED} <> 'completed'
+), told AS (SELECT *, {TRIED} AS status, CASE WHEN {STUCK} OR {TOOK} > 120 THEN 'timeout' WHEN {BROKEN} THEN 'broken' END AS error FROM tries)"""
+
+
+def _attempt(queue):
+    back = queue.filter(f"not ({STUCK})").withColumn("took", F.expr(f"cast({TOOK} as double)"))
+    return back.withColumn("error", F.when(F.expr(BROKEN), "broken"))
+
+
+@query("r02_retries", f"{RETRIED} SELECT doc_id, attempt, due, status, error FROM told")
+def _(t):
+    return retries.run(t.documents.select("doc_id"), _attempt, keep(t)).attempts.select("doc_id", "attempt", "due", "status", "error")
+
+
+@query("r02_dead_letters", f"{RETRIED} SELECT doc_id, error FROM told WHERE attempt = 3 AND status <> 'completed'")
+def _(t):
+    return retries.run(t.documents.select("doc_id"), _attempt, keep(t)).dead.select("doc_id", "error")
+
+
 #: A host leads to its pages, a page to its links, a link to its host, which closes circles.
 EDGES = f"""{X.LINKS_SQL}, edges AS (SELECT {X.HOST_SQL} AS parent, url AS child FROM pages UNION SELECT url, link FROM links UNION SELECT link, {X.HOST_SQL.replace('url', 'link')} FROM links),
  hosts AS (SELECT DISTINCT {X.HOST_SQL} AS node FROM pages)"""
@@ -96,6 +121,15 @@ def _(t):
     return flows.trailing_counts(e, "ts", now, {"last_hour": "INTERVAL 1 HOUR", "last_day": "INTERVAL 1 DAY"}, "event_type")
 
 
+@query("r06_sliding_counts", """WITH w AS (SELECT event_type, unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS start FROM events)
+SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM w WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+def _(t):
+    out = folder(t, "sliding")
+    windows = flows.sliding_counts(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), "ts", "1 hour", "15 minutes", "10 minutes", "event_type")
+    flows.run_counted(windows, flows.batch_sink(out), folder(t, "state"))
+    return t.spark.read.parquet(out).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
 @query("r07_freshness_horizon", f"WITH {X.FEED_SQL} SELECT event_id FROM feed WHERE published_date IS NULL OR published_date >= TIMESTAMP '2024-01-28' - INTERVAL 48 HOUR")
 def _(t):
     return flows.fresh(t.feed, "published_date", F.lit("2024-01-28").cast("timestamp") - F.expr("INTERVAL 48 HOURS")).select("event_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import lexicons as L, text, urls
-from ..operators import corpus, frontier, ranking
+from ..operators import corpus, frontier, hosts, ranking, terms
 from ..plans import fixtures as X
 from . import query, sql
 
@@ -64,6 +64,23 @@ def _(t):
     return hit.groupBy("doc_id").agg(F.count("term").alias("states"))
 
 
+@query("j06_term_index", "SELECT doc_id, item_id FROM documents d, (SELECT DISTINCT item_id, substring(text, 1, 40) AS term FROM benchmark) b WHERE contains(d.text, b.term) AND b.term <> ''")
+def _(t):
+    named = t.benchmark.select("item_id", F.substring("text", 1, 40).alias("term"))
+    return terms.containing(t.documents, named, "doc_id").join(named, "term").select("doc_id", "item_id").distinct()
+
+
+HOST_RULES = f"""hosts AS (SELECT page_id, {X.HOST_SQL} AS host FROM pages), rules AS (
+  SELECT DISTINCT host AS rule FROM hosts WHERE length(host) % 3 = 0 UNION SELECT DISTINCT regexp_extract(host, '([^.]+[.][^.]+)$', 1) FROM hosts UNION SELECT 'ample.com')"""
+
+
+@query("j10_suffix_rules", f"WITH {HOST_RULES} SELECT page_id, max_by(rule, length(rule)) AS rule, max(length(rule)) / 10.0::DOUBLE AS delay FROM hosts LEFT JOIN rules ON host = rule OR host LIKE '%.' || rule GROUP BY page_id")
+def _(t):
+    h = t.pages.select("page_id", urls.host(C("url")).alias("host"))
+    rules = h.filter("length(host) % 3 = 0").select(C("host").alias("rule")).unionByName(h.select(F.regexp_extract("host", r"([^.]+[.][^.]+)$", 1).alias("rule"))).unionByName(t.spark.createDataFrame([("ample.com",)], "rule string"))
+    return hosts.with_rule(h, rules.distinct().withColumn("delay", F.length("rule") / 10)).select("page_id", "rule", "delay")
+
+
 @query("j07_cached_item", "SELECT c.conv_id, c.turn, d.doc_id IS NULL AS missed, coalesce(d.n_chars, 0) AS n_chars FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id * 11 + c.turn")
 def _(t):
     c = t.conversations.select("conv_id", "turn", (C("conv_id") * 11 + C("turn")).alias("key"))

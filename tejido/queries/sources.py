@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import text, urls
+from ..functions import charsets, text, urls
 from ..operators import ranking
 from ..plans import fixtures as X
 from ..sources import readers, services
@@ -195,3 +195,15 @@ def _(t):
 def _(t):
     lines = F.array(*map(F.lit, ["User-agent: *", "Disallow: /privado # no", "Allow: /", "User-Agent: Bot", "User-agent: other", "Disallow:", "Disallow: /x"]))
     return readers.robots_rules(t.domains.select(C("domain").alias("host"), F.posexplode(lines).alias("seq", "line")))
+
+
+#: Documents in the charsets that they can be written in, with byte order marks and without.
+WRITTEN = ["UTF-8", "UTF-8 mark", "UTF-16BE", "UTF-16LE", "UTF-16 mark", "ISO-8859-1"]
+
+
+@query("v03_charsets", "SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g') ELSE text END AS text, 0 AS errors FROM documents")
+def _(t):
+    kind = F.pmod("doc_id", F.lit(6))
+    latin = F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "?")
+    content = F.when(kind == 0, F.encode("text", "UTF-8")).when(kind == 1, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).when(kind == 2, F.encode("text", "UTF-16BE")).when(kind == 3, F.encode("text", "UTF-16LE")).when(kind == 4, F.concat(F.unhex(F.lit("FFFE")), F.encode("text", "UTF-16LE"))).otherwise(F.encode(latin, "ISO-8859-1"))
+    return t.documents.select("doc_id", charsets.decoded(content).alias("d")).select("doc_id", "d.text", C("d.errors").cast("int").alias("errors"))

@@ -36,6 +36,20 @@ def rolling_counts(events: DataFrame, stamp: str, span: str, *keys: str) -> Data
     return events.groupBy(F.window(stamp, span), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *keys, "n")
 
 
+def sliding_counts(events: DataFrame, stamp: str, span: str, step: str, late: str, *keys: str) -> DataFrame:
+    """Rows by key in windows of `span` that begin every `step`; as a stream, a window is given out once, when no row of it can come any more: rows may
+    be `late` behind the newest. Later ones are dropped; run_counted() tells how many."""
+    return events.withWatermark(stamp, late).groupBy(F.window(stamp, span, step), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *keys, "n")
+
+
+def run_counted(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> dict[str, int]:
+    """As run_stream(); how many rows came (`rows`), and how many of the windows' rows were too late (`late`), one for each window that they belong to."""
+    query = stream.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    told = query.recentProgress
+    return {"rows": sum(p.numInputRows for p in told), "late": sum(s.numRowsDroppedByWatermark for p in told for s in p.stateOperators)}
+
+
 def trailing_counts(events: DataFrame, stamp: str, as_of: Column, spans: dict[str, str], *keys: str) -> DataFrame:
     """Events by key in the spans (name: interval) that end at as_of."""
     return events.groupBy(*keys).agg(*[F.count_if(F.col(stamp) > as_of - F.expr(span)).alias(name) for name, span in spans.items()])
