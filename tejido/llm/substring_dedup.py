@@ -480,11 +480,29 @@ def unequal(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int) ->
 def shared_places(linked: DataFrame) -> DataFrame:
     """doc_id, places, holders: where the seeds of each document stand that come in several documents, sorted, and the document that holds each
     first. A document has fewer of them than words."""
+    spark = linked.sparkSession
     firsts = linked.filter("lead").select(F.col("a").alias("doc_id"), F.col("a_pos").alias("pos"), F.col("a").alias("holder")).distinct()
     later = linked.select(F.col("b").alias("doc_id"), F.col("b_pos").alias("pos"), F.col("a").alias("holder"))
-    each = firsts.unionByName(later).repartition("doc_id").groupBy("doc_id", "pos").agg(F.min("holder").alias("holder"))
-    listed = each.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "holder"))).alias("at"))
-    return listed.select("doc_id", F.col("at.pos").alias("places"), F.col("at.holder").alias("holders"))
+    parts = max(shuffle_width(spark), -(-spark.read.parquet(linked._tejido_path).count() // SORTED))
+    dealt = firsts.unionByName(later).repartition(parts, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "pos", "holder")] for b in batches if b.num_rows]
+        if not held:
+            return
+        doc, pos, holder = (np.concatenate(z) for z in zip(*held, strict=True))
+        order = np.lexsort((holder, pos, doc))
+        doc, pos, holder = doc[order], pos[order], holder[order]
+        once = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
+        doc, pos, holder = doc[once], pos[once].astype(np.int32), holder[once]
+        edges = np.concatenate([np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), [len(doc)]])
+        for k in range(0, len(edges) - 1, 1024):
+            ends = edges[k : k + 1025]
+            part, off = slice(ends[0], ends[-1]), pa.array((ends - ends[0]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(off, pa.array(z[part])) for z in (pos, holder)]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[ends[:-1]]), *lists], ["doc_id", "places", "holders"])
+
+    return dealt.mapInArrow(run, "doc_id bigint, places array<int>, holders array<bigint>")
 
 
 def least_of_next(h: np.ndarray, n: int) -> np.ndarray:
