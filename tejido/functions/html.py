@@ -240,13 +240,13 @@ def debate_lines(text: str) -> str:
 
 
 def gazette_text(text: str) -> str:
-    for pattern in (r"\n\s*Página\s+\d+.*?\n", r"\n\s*DIARIO OFICIAL.*?\n", r"\n\s*\d{1,2}\s+de\s+\w+\s+de\s+\d{4}\s*\n"):
+    for pattern in L.GAZETTE_LINES:
         text = re.sub(pattern, "\n", text, flags=re.IGNORECASE)
-    return re.sub(r"\n\s*\n\s*\n", "\n\n", text).strip()
+    return re.sub(L.GAZETTE_BLANKS, "\n\n", text).strip()
 
 
 def legislature_text(text: str) -> str:
-    for pattern, name in ((r"\n\s*Artículo\s+(\d+[.-])", "Artículo"), (r"\n\s*Capítulo\s+([IVX]+)", "Capítulo"), (r"\n\s*Título\s+([IVX]+)", "Título")):
+    for pattern, name in L.LAW_HEADINGS:
         text = re.sub(pattern, rf"\n\n{name} \1", text)
     return text.strip()
 

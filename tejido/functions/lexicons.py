@@ -282,6 +282,16 @@ SPEAKER_PATTERNS = [
     r"^\s*-\s*([^-]+)\s*-\s*",
 ]
 
+# ---- Fixed values: cleaning of PDFs, lyrics, gazettes and laws; pattern and what takes its place, in the order of application -------------------
+PDF_CLEANING = [
+    (r"(?U)\n\s*\n\s*\n", "\n\n"), (r"[ \t]+", " "), (r"(?U)\n\s*\d+\s*\n", "\n"), (r"(?iU)\n\s*Página \d+.*?\n", "\n"), ("[●•▪▫■□]", ""), ("[-_]{3,}", ""),
+    (r"(?U)(\w+)-\s*\n\s*(\w+)", "$1$2"),
+]
+LYRICS_CLEANING = [(r"\[.*?\]", ""), (r"\(.*?\)", ""), (r"(?U)\d{2}:\d{2}", ""), (r"(?U)@\w+", ""), (r"(?U)\s+", " "), (r"(?U)([.!?])(\w)", "$1 $2")]
+GAZETTE_LINES = [r"\n\s*Página\s+\d+.*?\n", r"\n\s*DIARIO OFICIAL.*?\n", r"\n\s*\d{1,2}\s+de\s+\w+\s+de\s+\d{4}\s*\n"]
+GAZETTE_BLANKS = r"\n\s*\n\s*\n"
+LAW_HEADINGS = [(r"\n\s*Artículo\s+(\d+[.-])", "Artículo"), (r"\n\s*Capítulo\s+([IVX]+)", "Capítulo"), (r"\n\s*Título\s+([IVX]+)", "Título")]
+
 # ---- Fixed values: lyrics -------------------------------------------------------------------------------------------
 ARTIST_SELECTORS = [
     "a.artist-name", "ul.cnt-list a", ".artista-box a", ".cnt-listaArtistas a", ".lista-letras a", ".top50-pos a", ".cnt-top a",

@@ -174,27 +174,20 @@ def clean(text: Column, composed: bool = False) -> Column:
     return F.coalesce(strip(out), F.lit(""))
 
 
+def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    for pattern, by in pairs:
+        text = F.regexp_replace(text, pattern, by)
+    return text
+
+
 def clean_pdf(text: Column) -> Column:
     """Blank runs, spaces, lone page numbers and page lines, bullets, rules, words broken over lines."""
-    out = F.regexp_replace(text, r"(?U)\n\s*\n\s*\n", "\n\n")
-    out = F.regexp_replace(out, r"[ \t]+", " ")
-    out = F.regexp_replace(out, r"(?U)\n\s*\d+\s*\n", "\n")
-    out = F.regexp_replace(out, r"(?iU)\n\s*Página \d+.*?\n", "\n")
-    out = F.regexp_replace(out, "[●•▪▫■□]", "")
-    out = F.regexp_replace(out, "[-_]{3,}", "")
-    out = F.regexp_replace(out, r"(?U)(\w+)-\s*\n\s*(\w+)", "$1$2")
-    return strip(out)
+    return strip(_replaced(text, L.PDF_CLEANING))
 
 
 def clean_lyrics(text: Column) -> Column:
     """No bracketed parts, times and mentions, single spaces, a space after sentence ends."""
-    out = F.regexp_replace(text, r"\[.*?\]", "")
-    out = F.regexp_replace(out, r"\(.*?\)", "")
-    out = F.regexp_replace(out, r"(?U)\d{2}:\d{2}", "")
-    out = F.regexp_replace(out, r"(?U)@\w+", "")
-    out = F.regexp_replace(out, r"(?U)\s+", " ")
-    out = F.regexp_replace(out, r"(?U)([.!?])(\w)", "$1 $2")
-    return F.coalesce(strip(out), F.lit(""))
+    return F.coalesce(strip(_replaced(text, L.LYRICS_CLEANING)), F.lit(""))
 
 
 def clean_segment(text: Column) -> Column:
@@ -203,16 +196,14 @@ def clean_segment(text: Column) -> Column:
 
 
 def clean_gazette(text: Column) -> Column:
-    out = F.regexp_replace(text, r"(?iU)\n\s*Página\s+\d+.*?\n", "\n")
-    out = F.regexp_replace(out, r"(?iU)\n\s*DIARIO OFICIAL.*?\n", "\n")
-    out = F.regexp_replace(out, r"(?iU)\n\s*\d{1,2}\s+de\s+\w+\s+de\s+\d{4}\s*\n", "\n")
-    return strip(F.regexp_replace(out, r"(?U)\n\s*\n\s*\n", "\n\n"))
+    """No page lines, titles and dates of the paper, one blank line at most."""
+    lines = [(f"(?iU){p}", "\n") for p in L.GAZETTE_LINES]
+    return strip(_replaced(text, [*lines, (f"(?U){L.GAZETTE_BLANKS}", "\n\n")]))
 
 
 def clean_legislature(text: Column) -> Column:
-    out = F.regexp_replace(text, r"(?U)\n\s*Artículo\s+(\d+[.-])", "\n\nArtículo $1")
-    out = F.regexp_replace(out, r"(?U)\n\s*Capítulo\s+([IVX]+)", "\n\nCapítulo $1")
-    return strip(F.regexp_replace(out, r"(?U)\n\s*Título\s+([IVX]+)", "\n\nTítulo $1"))
+    """A blank line before each heading."""
+    return strip(_replaced(text, [(f"(?U){p}", f"\n\n{name} $1") for p, name in L.LAW_HEADINGS]))
 
 
 def lyrics_paragraphs(pieces: Column) -> Column:

@@ -6,9 +6,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import html, urls
+from ..operators import ranking
+from . import scratch
 
 #: Times are taken from here, never from the clock.
 BASE, AS_OF = "2024-01-01 00:00:00", "2024-01-08 00:00:00"
@@ -50,9 +51,9 @@ class Tables:
 
     @cached_property
     def domains(self) -> DataFrame:
-        """rank and domain of the pages' hosts, the most frequent first. The rank is global over hosts, which are summed up before."""
+        """rank and domain of the pages' hosts, the most frequent first. Hosts are ranked over ranges of their order."""
         hosts = self.pages.groupBy(urls.host(F.col("url")).alias("domain")).agg(F.count("*").alias("n"))
-        return hosts.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), "domain")))
+        return ranking.rank_whole(hosts, [F.col("n").desc(), F.col("domain")], "rank", scratch.keeper(self.spark)).withColumn("rank", F.col("rank").cast("int"))
 
     @cached_property
     def posts(self) -> DataFrame:

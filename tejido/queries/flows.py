@@ -89,9 +89,13 @@ def _(t):
     return flows.reachable(t.spark, _hosts(t), keep(t)(_edges(t)), 6, keep(t))
 
 
-@query("r04_cycle_guard", f"WITH RECURSIVE {EDGES}, reach AS (SELECT node FROM hosts UNION SELECT child FROM reach JOIN edges ON parent = node) SELECT count(*) AS nodes FROM reach")
+#: Steps after which a walk ends.
+STEPS = 50
+
+
+@query("r04_cycle_guard", f"WITH RECURSIVE {EDGES}, reach AS (SELECT node, 0 AS depth FROM hosts UNION SELECT child, depth + 1 FROM reach JOIN edges ON parent = node WHERE depth < {STEPS}) SELECT count(DISTINCT node) AS nodes FROM reach")
 def _(t):
-    return flows.reachable(t.spark, _hosts(t), keep(t)(_edges(t)), 50, keep(t)).agg(F.count("*").alias("nodes"))
+    return flows.reachable(t.spark, _hosts(t), keep(t)(_edges(t)), STEPS, keep(t)).agg(F.count("*").alias("nodes"))
 
 
 @query("r05_stream_dedup", "SELECT event_type, user_id FROM events GROUP BY 1, 2")

@@ -9,6 +9,7 @@ from ..functions import lexicons as L, text, urls
 from ..operators import corpus, frontier, hosts, ranking, terms
 from ..plans import fixtures as X
 from . import query, sql
+from .sinks import keep
 
 C = F.col
 CONFIG = [("src0", 3, True), ("src1", 1, False), ("src2", 4, None)]
@@ -59,9 +60,9 @@ def _(t):
 
 @query("j06_lexicon_join", f"SELECT doc_id, {sql.hits('lower(text)', L.STATES)} AS states FROM documents")
 def _(t):
-    terms = F.broadcast(t.spark.createDataFrame([(s,) for s in L.STATES], "term string"))
-    hit = t.documents.select("doc_id", F.lower("text").alias("lowered")).join(terms, F.contains(C("lowered"), C("term")), "left")
-    return hit.groupBy("doc_id").agg(F.count("term").alias("states"))
+    states = t.spark.createDataFrame([(s,) for s in L.STATES], "term string")
+    found = terms.containing(t.documents.select("doc_id", F.lower("text").alias("text")), states, "doc_id").groupBy("doc_id").agg(F.count("*").alias("states"))
+    return t.documents.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("states", F.lit(0)).alias("states"))
 
 
 @query("j06_term_index", "SELECT doc_id, item_id FROM documents d, (SELECT DISTINCT item_id, substring(text, 1, 40) AS term FROM benchmark) b WHERE contains(d.text, b.term) AND b.term <> ''")
@@ -177,24 +178,25 @@ def _(t):
     return t.posts.filter("turn > 0").withColumn("k", F.row_number().over(w)).filter("k <= 3").select("conv_id", "turn")
 
 
+def _before(t):
+    """Events with their time in seconds, and that of the user's event before."""
+    rows = t.events.select("event_id", "user_id", (F.unix_micros(C("ts").cast("timestamp")) / 1e6).alias("at"))
+    return ranking.previous(rows, ["user_id"], [C("at"), C("event_id")], C("at"), "before", keep(t))
+
+
 @query("w05_request_spacing", "SELECT event_id, round(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)), 3) AS gap FROM events")
 def _(t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    seconds = F.unix_micros(C("ts").cast("timestamp")) / 1e6
-    return t.events.select("event_id", F.round(seconds - F.lag(seconds).over(w), 3).alias("gap"))
+    return _before(t).select("event_id", F.round(C("at") - C("before"), 3).alias("gap"))
 
 
 @query("r08_rate_limit_state", "SELECT event_id, greatest(0.0, round(3600.0 - (epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))), 3))::DOUBLE AS wait FROM events")
 def _(t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    seconds = F.unix_micros(C("ts").cast("timestamp")) / 1e6
-    gap = seconds - F.lag(seconds).over(w)
-    return t.events.select("event_id", F.greatest(F.lit(0.0), F.round(3600.0 - gap, 3)).alias("wait"))
+    return _before(t).select("event_id", F.greatest(F.lit(0.0), F.round(3600.0 - (C("at") - C("before")), 3)).alias("wait"))
 
 
 @query("w06_trending_rank", f"WITH {X.POSTS_SQL} SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY author ORDER BY score DESC, conv_id, turn) AS BIGINT) AS rank FROM posts")
 def _(t):
-    return t.posts.select("conv_id", "turn", F.row_number().over(Window.partitionBy("author").orderBy(C("score").desc(), "conv_id", "turn")).cast("long").alias("rank"))
+    return ranking.rank_whole(t.posts.select("conv_id", "turn", "author", "score"), [C("score").desc(), C("conv_id"), C("turn")], "rank", keep(t), ["author"]).select("conv_id", "turn", "rank")
 
 
 @query("w07_keep_first", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import corpus
+from ..operators import corpus, ranking
 from ..plans import fixtures as X
+from ..plans import scratch
 from ..schemas import PARTITIONED_BY, TABLES, TARGET_TOKENS
 from . import query, sql
 
@@ -17,20 +15,11 @@ C = F.col
 
 
 def folder(t, kind: str) -> str:
-    """A new folder in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tejido-")
-    return f"{base.rstrip('/')}/tejido-{kind}-{uuid.uuid4().hex}"
+    return scratch.scratch(t.spark, kind)
 
 
 def keep(t):
-    """Writes a table between rounds and reads it back, which ends its lineage."""
-
-    def put(df):
-        to = folder(t, "round")
-        df.write.parquet(to)
-        return t.spark.read.schema(df.schema).parquet(to)
-
-    return put
+    return scratch.keeper(t.spark)
 
 
 def _texts(t):
@@ -89,8 +78,9 @@ def _(t):
 @query("k11_result_dump", "SELECT source, CAST(least(count(*), 100) AS BIGINT) AS kept, count(*) AS total FROM documents GROUP BY source")
 def _(t):
     to = folder(t, "results")
-    found = t.documents.groupBy("source").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
-    found.select("source", F.slice("ids", 1, 100).alias("urls"), F.size("ids").alias("total")).write.json(to)
+    ranked = ranking.rank_whole(t.documents.select("source", "doc_id"), [C("doc_id")], "k", keep(t), ["source"])
+    found = ranked.groupBy("source").agg(F.sort_array(F.collect_list(F.when(C("k") <= 100, C("doc_id")))).alias("urls"), F.count("*").alias("total"))  # nulls are passed over
+    found.write.json(to)
     return t.spark.read.schema("source string, urls array<bigint>, total bigint").json(to).select("source", F.size("urls").cast("long").alias("kept"), "total")
 
 

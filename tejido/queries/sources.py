@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import charsets, text, urls
 from ..operators import ranking
@@ -95,9 +94,8 @@ def _(t):
 
 @query("s09_trending_videos", "SELECT doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS BIGINT) AS rank, n_chars AS views, CAST(NULL AS BIGINT) AS likes FROM documents")
 def _(t):
-    w = Window.partitionBy("source").orderBy(C("views").desc(), "doc_id")
     v = t.documents.select("doc_id", "source", C("n_chars").cast("string").try_cast("bigint").alias("views"), F.lit("n/a").try_cast("bigint").alias("likes"))
-    return v.select("doc_id", F.row_number().over(w).cast("long").alias("rank"), "views", "likes")
+    return ranking.rank_whole(v, [C("views").desc(), C("doc_id")], "rank", keep(t), ["source"]).select("doc_id", "rank", "views", "likes")
 
 
 @query("s10_ranked_domains", f"WITH {X.DOMAINS_SQL} SELECT rank, domain FROM domains")

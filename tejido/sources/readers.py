@@ -57,7 +57,7 @@ def seeds(catalog: DataFrame) -> DataFrame:
 def ranked_domains(lines: DataFrame, most: int = 1_000_000) -> DataFrame:
     """rank and domain of `rank,domain` lines (column value); lines of fewer fields or without a number are dropped."""
     parts = F.split("value", ",")
-    return lines.filter(F.size(parts) >= 2).select(parts[0].try_cast("int").alias("rank"), F.lower(F.trim(parts[1])).alias("domain")).filter("rank is not null").limit(most)
+    return lines.filter(F.size(parts) >= 2).select(parts[0].try_cast("int").alias("rank"), F.lower(F.trim(parts[1])).alias("domain")).filter(F.col("rank").between(1, most))
 
 
 def read_ranked_domains(spark: SparkSession, path: str) -> DataFrame:

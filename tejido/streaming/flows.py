@@ -73,16 +73,16 @@ def alerts(hourly: DataFrame, least_tokens: int = 1_000_000, most_errors: float
 def reachable(spark: SparkSession, seeds: DataFrame, edges: DataFrame, most: int, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """node and depth of what is reached from seeds (node) over edges (parent, child) in at most `most` steps, each node once.
 
-    Every round joins the newest nodes only, against what has been visited; keep() materialises a round's result, so lineage does not grow.
+    Every round joins the newest nodes only, against what has been visited, and writes no others; keep() materialises a round's nodes, and what has been
+    visited is all rounds' tables.
     """
-    visited = keep(seeds.distinct().withColumn("depth", F.lit(0)))
-    newest = visited
+    visited = newest = keep(seeds.distinct().withColumn("depth", F.lit(0)))
     for depth in range(1, most + 1):
         step = newest.join(edges, newest.node == edges.parent).select(F.col("child").alias("node")).distinct()
         newest = keep(step.join(visited, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if newest.isEmpty():
             break
-        visited = keep(visited.unionByName(newest))
+        visited = visited.unionByName(newest)
     return visited
 
 

@@ -107,3 +107,53 @@ def test_sliding_counts_and_late_rows(spark, tmp_path):
     assert found == [("09:55", 1), ("10:00", 2), ("10:05", 1), ("10:10", 1), ("10:15", 2), ("10:20", 1)]
     batch = flows.sliding_counts(spark.read.parquet(folder).filter("hour(at) = 10 and not (minute(at) = 2)"), "at", "10 minutes", "5 minutes", "5 minutes")
     assert {(str(r.start)[11:16], r.n) for r in batch.collect()} >= set(found)
+
+
+@pytest.fixture
+def whole_ranges(spark):
+    """Small ranges are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranks_and_rows_before_over_ranges(spark, whole_ranges):
+    from tejido.operators import ranking
+    from tejido.plans import scratch
+
+    rng = random.Random(7)
+    rows = [(k, rng.choice(["hot", "hot", "hot", "b", None]), rng.randrange(50)) for k in range(600)] + [(k, "n", None) for k in range(600, 603)]
+    df, keep = spark.createDataFrame(rows, "id bigint, key string, v bigint").repartition(3), scratch.keeper(spark)
+    order = sorted(rows, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0]))  # as Spark has it: nulls last where values fall, so they are apart here
+    got = {r.id: r["rank"] for r in ranking.rank_whole(df.filter("v is not null"), [F.col("v").desc(), F.col("id")], "rank", keep).collect()}
+    assert got == {r[0]: k + 1 for k, r in enumerate(x for x in order if x[2] is not None)}
+    got = {r.id: r["rank"] for r in ranking.rank_whole(df, [F.col("v"), F.col("id")], "rank", keep, ["key"]).collect()}
+    before = {r.id: r.before for r in ranking.previous(df, ["key"], [F.col("v"), F.col("id")], F.col("v"), "before", keep).collect()}
+    want_rank, want_before, seen = {}, {}, {}
+    for i, key, v in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])):
+        n, last = seen.get(key, (0, None))
+        want_rank[i], want_before[i], seen[key] = n + 1, last, (n + 1, v)
+    assert got == want_rank and before == want_before
+    assert ranking.rank_whole(df.limit(0), [F.col("id")], "rank", keep).count() == 0 == ranking.previous(df.limit(0), ["key"], [F.col("id")], F.col("v"), "p", keep).count()
+    placed = ranking.placed(df, [F.col("key"), F.col("id")], keep)
+    assert placed.filter("key = 'hot'").select("part_").distinct().count() > 1  # a key over several ranges
+
+
+def test_scratch_folders_are_shared_ones(spark):
+    from tejido.plans import scratch
+
+    spark.conf.set("spark.checkpoint.dir", "/shared/x/")
+    try:
+        assert scratch.scratch(spark, "k").startswith("/shared/x/tejido-k-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+    class Cluster:
+        conf = spark.conf
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+            getConf = staticmethod(lambda: {})  # noqa: N815
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch.scratch(Cluster, "k")
