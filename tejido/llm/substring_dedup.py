@@ -480,29 +480,22 @@ def unequal(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int) ->
 def shared_places(linked: DataFrame) -> DataFrame:
     """doc_id, places, holders: where the seeds of each document stand that come in several documents, sorted, and the document that holds each
     first. A document has fewer of them than words."""
-    spark = linked.sparkSession
     firsts = linked.filter("lead").select(F.col("a").alias("doc_id"), F.col("a_pos").alias("pos"), F.col("a").alias("holder")).distinct()
     later = linked.select(F.col("b").alias("doc_id"), F.col("b_pos").alias("pos"), F.col("a").alias("holder"))
-    parts = max(shuffle_width(spark), -(-spark.read.parquet(linked._tejido_path).count() // SORTED))
-    dealt = firsts.unionByName(later).repartition(parts, "doc_id")
+    each = firsts.unionByName(later).repartition("doc_id").groupBy("doc_id", "pos").agg(F.min("holder").alias("holder"))
+    listed = each.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "holder"))).alias("at"))
+    return listed.select("doc_id", F.col("at.pos").alias("places"), F.col("at.holder").alias("holders"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "pos", "holder")] for b in batches if b.num_rows]
-        if not held:
-            return
-        doc, pos, holder = (np.concatenate(z) for z in zip(*held, strict=True))
-        order = np.lexsort((holder, pos, doc))
-        doc, pos, holder = doc[order], pos[order], holder[order]
-        once = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
-        doc, pos, holder = doc[once], pos[once].astype(np.int32), holder[once]
-        edges = np.concatenate([np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), [len(doc)]])
-        for k in range(0, len(edges) - 1, 1024):
-            ends = edges[k : k + 1025]
-            part, off = slice(ends[0], ends[-1]), pa.array((ends - ends[0]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(off, pa.array(z[part])) for z in (pos, holder)]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[ends[:-1]]), *lists], ["doc_id", "places", "holders"])
 
-    return dealt.mapInArrow(run, "doc_id bigint, places array<int>, holders array<bigint>")
+def _parts(column: pa.Array, kind: type) -> Callable[[int], np.ndarray]:
+    """The k-th value of a column of binaries or lists, as an array that shares its memory."""
+    buffers, first, n = column.buffers(), column.offset, len(column)
+    ends = np.frombuffer(buffers[1], np.int32)[first : first + n + 1]
+    if pa.types.is_list(column.type):
+        data = column.values.to_numpy(zero_copy_only=False)
+        return lambda k: data[ends[k] : ends[k + 1]]
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
+    return lambda k: data[ends[k] : ends[k + 1]].view(kind)
 
 
 def least_of_next(h: np.ndarray, n: int) -> np.ndarray:
@@ -543,10 +536,10 @@ def same_runs(codes: DataFrame, places: DataFrame, words: int) -> tuple[DataFram
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "words", SLICE):
-                ids, texts, at = (part.column(c).to_pylist() for c in ("doc_id", "words", "places"))
+                ids, texts, at = part.column("doc_id").to_pylist(), _parts(part.column("words"), np.uint32), _parts(part.column("places"), np.int64)
                 out: list[tuple] = []
-                for doc, text, p in zip(ids, texts, at, strict=True):
-                    for anchor, place, grams in runs_of(np.frombuffer(text, np.uint32), np.array(p, np.int64), words):
+                for k, doc in enumerate(ids):
+                    for anchor, place, grams in runs_of(texts(k), at(k).astype(np.int64), words):
                         data = grams.tobytes()
                         out.append((anchor, xxhash.xxh3_64_intdigest(data) - (1 << 63), doc, place, data))
                 if out:
@@ -645,13 +638,13 @@ def first_holders(rows: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(anchor[row[at]]), pa.array(digest[row[at]]), pa.array(off[at], pa.int32()), pa.array(n, pa.int32()), pa.array(a[at]), pa.array(a_pos[at], pa.int32())], ["anchor", "digest", "off", "n", "a", "a_pos"])
 
 
-def left_over(places: np.ndarray, holders: np.ndarray, spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
-    """From and to places of pairs of shared seeds (places, sorted) that other documents hold first each; of the seeds that no span (start,
-    stop) holds, in stretches of at least EXTENT words."""
-    if spans:
+def left_over(places: np.ndarray, holders: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From and to places of pairs of shared seeds (places, sorted) that other documents hold first each; of the seeds that no span (starts,
+    stops) holds, in stretches of at least EXTENT words."""
+    if len(starts):
         marks = np.zeros(len(places) + 1, np.int64)
-        np.add.at(marks, np.searchsorted(places, [s["start"] for s in spans]), 1)
-        np.add.at(marks, np.searchsorted(places, [max(s["start"], s["stop"] - K + 1) for s in spans]), -1)
+        np.add.at(marks, np.searchsorted(places, starts), 1)
+        np.add.at(marks, np.searchsorted(places, np.maximum(starts, stops - K + 1)), -1)
         free = np.cumsum(marks[:-1]) == 0
         places, holders = places[free], holders[free]
     if len(places) < 2:
@@ -667,14 +660,14 @@ def pair_rows(docs: DataFrame, places: DataFrame, covered: DataFrame) -> DataFra
     """SEED_ROWS of pairs of shared seeds (places) that no passage found so far (covered: doc_id, start, stop) holds; pos is the first one's place times
     64, plus the distance of the second. What holds a pair holds both parts of a text that have other first holders each."""
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    both = places.join(spans, "doc_id", "left")
+    both = places.join(spans, "doc_id", "left").select("doc_id", "places", "holders", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                places, holders, spans = (part.column(c).to_pylist() for c in ("places", "holders", "spans"))
-                left = [left_over(np.array(p, np.int64), np.array(h, np.int64), s) for p, h, s in zip(places, holders, spans, strict=True)]
+                each = [_parts(part.column(c), np.int64) for c in ("places", "holders", "starts", "stops")]
+                left = [left_over(*(of(i).astype(np.int64) for of in each)) for i in range(part.num_rows)]
                 some = [i for i, v in enumerate(left) if len(v[0])]
                 if some:
                     ends = [pa.array([left[i][k].astype(np.int32) for i in some], pa.list_(pa.int32())) for k in (0, 1)]
@@ -711,17 +704,6 @@ def pair_rows(docs: DataFrame, places: DataFrame, covered: DataFrame) -> DataFra
 PASSAGES = "first_id bigint, first_start int, first_stop int, doc_id bigint, start int, stop int, n_words int, n_same int, similarity double"
 
 
-def _parts(column: pa.Array, kind: type) -> Callable[[int], np.ndarray]:
-    """The k-th value of a column of binaries or lists, as an array that shares its memory."""
-    buffers, first, n = column.buffers(), column.offset, len(column)
-    ends = np.frombuffer(buffers[1], np.int32)[first : first + n + 1]
-    if pa.types.is_list(column.type):
-        data = column.values.to_numpy(zero_copy_only=False)
-        return lambda k: data[ends[k] : ends[k + 1]]
-    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
-    return lambda k: data[ends[k] : ends[k + 1]].view(kind)
-
-
 def alike(found: DataFrame, codes: DataFrame, words: int, similarity: float) -> DataFrame:
     """PASSAGES: the chains found (id, a, b, a_seeds, b_seeds), aligned on the words of both documents."""
     served = with_words(found, codes)
