@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..operators import frontier as O
+from ..operators import language
 from ..plans import fixtures as X
 from ..streaming import flows, retries, state
 from . import query, sql
@@ -191,3 +192,8 @@ def _(t):
     out, where = folder(t, "again"), folder(t, "state")
     flows.run_stream(state.new_again(stream(t, "events").withColumn("ts", C("ts").cast("timestamp")), ["event_type", "user_id"], "event_id", "ts", "1 DAY"), flows.batch_sink(out), where)
     return t.spark.read.schema("id bigint, batch bigint").parquet(out).select(C("id").alias("event_id"))
+
+
+@query("a22_rank_profiles")
+def _(t):
+    return t.documents.select("doc_id", language.language(C("text"), language.learn(t.documents)).alias("l")).select("doc_id", C("l.lang").alias("language"), F.round("l.margin", 6).alias("margin"))

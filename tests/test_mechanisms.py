@@ -139,21 +139,39 @@ def test_ranks_and_rows_before_over_ranges(spark, whole_ranges):
     assert placed.filter("key = 'hot'").select("part_").distinct().count() > 1  # a key over several ranges
 
 
-def test_scratch_folders_are_shared_ones(spark):
+def test_scratch_folders_are_shared_ones():
     from tejido.plans import scratch
 
-    spark.conf.set("spark.checkpoint.dir", "/shared/x/")
-    try:
-        assert scratch.scratch(spark, "k").startswith("/shared/x/tejido-k-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-
     class Cluster:
-        conf = spark.conf
-
-        class sparkContext:  # noqa: N801
-            master = "yarn"
-            getConf = staticmethod(lambda: {})  # noqa: N815
+        def __init__(self, folder):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+            self.sparkContext = type("Context", (), {"master": "yarn", "getConf": lambda self: {}})()
 
+    assert scratch.scratch(Cluster("/shared/x/"), "k").startswith("/shared/x/tejido-k-")
     with pytest.raises(ValueError, match="checkpoint"):
-        scratch.scratch(Cluster, "k")
+        scratch.scratch(Cluster(None), "k")
+
+
+def test_languages_by_rank_profiles(spark):
+    from tejido.operators import language
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    learnt = language.learn(docs.filter("doc_id % 3 <> 0"))
+    found = docs.filter("doc_id % 3 = 0").select("lang", language.language(F.col("text"), learnt).alias("l")).collect()
+    told = [r for r in found if r.lang is not None and r.l.lang is not None]
+    assert len(told) > 250 and sum(r.lang == r.l.lang for r in told) / len(told) > 0.95
+    # against a plain version of counts, ranks and distances
+    rows = [(1, "aa ab", "x"), (2, "ab b!", "x"), (3, "cc cd", "y"), (4, None, "y"), (5, "cd", None), (6, "12", "y")]
+    small = language.learn(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    counts = {"x": {}, "y": {}}
+    for _, t, name in rows:
+        for w in "".join(c if c.isalpha() else " " for c in t or "").split() if name else []:
+            for n in (1, 2, 3):
+                for i in range(len(w) + 3 - n):
+                    g = f" {w} "[i : i + n]
+                    if g != " ":
+                        counts[name][g] = counts[name].get(g, 0) + 1
+    assert small.of == {name: {g: k for k, g in enumerate(sorted(c, key=lambda g: (-c[g], g)))} for name, c in counts.items()}
+    assert small.nearest("ab")[0] == "x" and small.nearest("CD cc")[0] == "y" and small.nearest(" 1") == (None, 0.0) and small.nearest(None) == (None, 0.0)
+    assert language.learn(docs.limit(0)).nearest("abc") == (None, 0.0)
+    assert small.nearest("ab " * 100_000)[0] == "x"
