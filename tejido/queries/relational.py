@@ -90,8 +90,11 @@ def _(t):
 
 @query("j09_content_snapshot", "SELECT page_id, sha256(url) AS url_hash, CAST(length(html) AS BIGINT) AS html_size FROM pages")
 def _(t):
-    p = t.pages.withColumn("content_hash", text.url_key(C("url")))
-    return p.select("page_id", "content_hash").join(p.select("content_hash", F.length("html").cast("long").alias("html_size")), "content_hash").select("page_id", C("content_hash").alias("url_hash"), "html_size")
+    keys = ["page_id", "url_hash", "html_hash"]  # a URL may have been fetched more than once
+    p = t.pages.select("page_id", text.url_key(C("url")).alias("url_hash"), F.sha2(C("html").cast("binary"), 256).alias("html_hash"), F.length("html").cast("long").alias("html_size"))
+    content, snapshots = p.select(*keys).alias("c"), p.dropDuplicates(keys).alias("s")
+    found = content.join(snapshots, F.expr(" and ".join(f"c.{k} <=> s.{k}" for k in keys)))
+    return found.select("c.page_id", "c.url_hash", "s.html_size")
 
 
 @query("j10_domain_delay", f"WITH {X.FEED_SQL}, delays AS (SELECT * FROM (VALUES ('click', 3.0), ('view', 0.5)) v(source, delay)) SELECT event_id, CAST(coalesce(delay, 1.0) AS DOUBLE) AS delay FROM feed LEFT JOIN delays USING (source)")
