@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import html, text, urls
+from ..functions import html, urls
 
 # Elements without text to read, block-level tags, and named characters.
 DROPPED = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<head\b.*?</head\s*>|<!--.*?-->|<!doctype[^>]*>"
@@ -88,6 +88,6 @@ def main_text(pages: DataFrame, page_id: str = "page_id", keep: Callable[[DataFr
     rows = pages.select(F.col(page_id).alias("page"), _key().alias("key"), "html")
     same = lambda a, b: a["page"].eqNullSafe(b["page"]) & (a["key"] == b["key"])
     good = rows.drop("html").join(dense, same(rows, dense)).select(rows["page"].alias(page_id), F.lit("blocks").alias("method"), "text")
-    rest = rows.join(dense, same(rows, dense), "left_anti").select("page", text.strip(html.main_text("html")).alias("text"))
+    rest = rows.join(dense, same(rows, dense), "left_anti").select("page", html.main_text("html").alias("text"))
     enough = F.coalesce(F.length("text"), F.lit(0)) >= LEAST
     return good.unionByName(rest.select(F.col("page").alias(page_id), F.when(enough, "fallback").alias("method"), F.when(enough, F.col("text")).alias("text")))

@@ -24,7 +24,7 @@ def _(t):
 
 @query("x01_main_text_gated", f"SELECT page_id, length(main_text) >= 20 AS success, CASE WHEN length(main_text) >= 20 THEN main_text END AS text FROM (SELECT page_id, {TEXT_SQL} AS main_text FROM pages)")
 def _(t):
-    p = t.pages.select("page_id", text.strip(html.main_text("html")).alias("m"))
+    p = t.pages.select("page_id", html.main_text("html").alias("m"))
     return p.select("page_id", (F.coalesce(F.length("m"), F.lit(0)) >= 20).alias("success"), F.when(F.length("m") >= 20, C("m")).alias("text"))
 
 

@@ -28,3 +28,22 @@ PAGES, DOCUMENTS = "page_id bigint, url string, html string", "doc_id bigint, te
 def test_snapshots_of_a_url_that_comes_again(same):
     rows = [(1, "https://a.mx/1", "<p>a</p>"), (2, "https://a.mx/1", "<p>longer</p>"), (3, None, "x"), (None, "https://a.mx/2", None), (4, "https://a.mx/2", "y"), (4, "https://a.mx/2", "y")]
     assert len(same("j09_content_snapshot", "pages", rows, PAGES)) == 6
+
+
+ARTICLE = "<!DOCTYPE html><html><head><title>t</title></head><body><article>{}</article></body></html>"
+
+
+@pytest.mark.parametrize("name", ["x02_main_text", "x01_main_text_gated", "x01_main_text_dense", "x13_basic_extract"])
+def test_references_without_an_end(same, name):
+    """A title may be cut within a reference; what has no semicolon is text."""
+    cut = "<h1>un título cortado&amp;&amp;&amp{}</h1><p>b&lt;c &quot;d&quot;</p>"
+    rows = [(k, f"https://a{k}.mx/{k}", ARTICLE.format(cut.format(end))) for k, end in enumerate(["", " ", ";", "x", "x;", "<b>y</b>", "&", "&am"])]
+    rows.append((100, "https://b.mx/1", ARTICLE.format("<p> espacio duro a los lados </p>")))
+    assert len(same(name, "pages", rows, PAGES)) == len(rows)
+
+
+def test_references_elsewhere():
+    from tejido.functions import html
+
+    assert html.parse("<script>a && b &amp; c</script><a href='?a=1&copy=2&amp;d=3'>&#65;&#x42;&nbsp;&eacute;&ntilde &zz;</a>").text() == "a && b &amp; cAB\u00a0é&ntilde &zz;"
+    assert html.links_of("<a href='?a=1&copy=2&amp;d=3'>x</a>")[0]["href"] == "?a=1&copy=2&d=3"
