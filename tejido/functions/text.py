@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,23 @@ from pyspark.sql.functions import pandas_udf
 
 from . import lexicons as L
 
+#: Characters (of the first column) and rows of a part of an Arrow batch.
+PART_CHARS, PART_ROWS = 1 << 18, 512
+
+
+def in_parts(batches: Iterator) -> Iterator:
+    """Arrow batches, of a column or a tuple of columns, in parts of bounded size. Spark bounds a batch (64 MB), not what a function makes of it, which
+    may be many times as large; made and handed on part by part, that stays small whatever the input."""
+    for batch in batches:
+        columns = batch if isinstance(batch, tuple) else (batch,)
+        ends = np.cumsum([0, *(len(x) if isinstance(x, (str, bytes)) else 1 for x in columns[0])])
+        start, n = 0, len(columns[0])
+        while start < n:
+            end = min(max(start + 1, int(np.searchsorted(ends, ends[start] + PART_CHARS, "right")) - 1), start + PART_ROWS, n)
+            part = tuple(c.iloc[start:end] for c in columns)
+            yield part if isinstance(batch, tuple) else part[0]
+            start = end
+
 
 def words(text: Column) -> Column:
     """Tokens between white space of any kind, none of them empty."""
@@ -76,7 +94,7 @@ def lexicon_counts(lowered: Column, lists: dict[str, list[str]]) -> Column:
     @pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in lists]))
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counts = counter_of(lists)
-        for texts in batches:
+        for texts in in_parts(batches):
             yield pd.DataFrame([counts(t) for t in texts], columns=list(lists))
 
     return count(lowered)
@@ -142,7 +160,7 @@ def nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Canonical composition; there is no built-in for it."""
     import unicodedata
 
-    for s in batches:
+    for s in in_parts(batches):
         yield s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
 
 

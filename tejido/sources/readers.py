@@ -93,7 +93,7 @@ def _items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     from xml.etree import ElementTree
 
     local = lambda e: e.tag.rpartition("}")[2]
-    for s in batches:
+    for s in text.in_parts(batches):
         out = []
         for xml in s:
             try:
@@ -314,7 +314,7 @@ def pdf(content: Column) -> Column:
 
     @pandas_udf(T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names]))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
+        for s in text.in_parts(batches):
             found = [pdf_of(b) or {} for b in s]
             yield pd.DataFrame({n: pd.Series([f.get(n) for f in found], dtype=object if n not in types else "Int32") for n in names})
 
