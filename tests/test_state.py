@@ -45,3 +45,17 @@ def test_waits(spark, tmp_path):
     land(spark, ROWS, str(tmp_path / "in"), 1)
     found = {r.id: r.wait for r in run(spark, str(tmp_path / "in"), tmp_path, lambda s: state.waits(s, "host", "id", "at", 2.5)).collect()}
     assert found == {1: 0.0, 2: 1.5, 5: 2.5, 3: 0.0, 4: 0.0}
+
+
+def test_many_keys_cost_no_call_each(spark, tmp_path):
+    """Keys with nulls, of one part and of many, over two batches; a part is a group, not a key."""
+    folder = str(tmp_path / "in")
+    rows = [(n, f"k{n % 6000}" if n % 7 else None, f"2024-01-01 00:{n % 60:02}:00") for n in range(20_000)]
+    make = lambda s: state.gaps(s, ["host"], "id", "at", "50 MINUTE", "2 hours")
+    land(spark, rows[:12_000], folder, 1)
+    run(spark, folder, tmp_path, make)
+    land(spark, [(n, k, at.replace(" 00:", " 01:")) for n, k, at in rows[12_000:]], folder, 2)
+    found = {r.id: r.gap for r in run(spark, folder, tmp_path, make).collect()}
+    times = sorted((k or "", (n >= 12_000) * 60 + n % 60, n) for n, k, _ in rows)
+    want = {n: (at - times[i - 1][1]) * 60_000_000 if i and times[i - 1][0] == k and at - times[i - 1][1] <= 50 else None for i, (k, at, n) in enumerate(times)}
+    assert found == want and state.PARTS < 6000
