@@ -128,7 +128,7 @@ def _(t):
     date = F.date_format(C("published_date").cast("timestamp"), "EEE, dd MMM yyyy HH:mm:ss Z")
     link = F.when(C("event_id") % 7 != 0, C("url")).otherwise("")
     items = t.feed.select("title", link.alias("link"), C("source").alias("category"), date.alias("pubDate"), "description", "source")
-    items.repartition("source").write.format("xml").option("rootTag", "rss").option("rowTag", "item").option("nullValue", "").partitionBy("source").save(to)
+    items.write.format("xml").option("rootTag", "rss").option("rowTag", "item").option("nullValue", "").partitionBy("source").save(to)
     e = readers.read_feeds(t.spark, to)
     return e.select("url", "title", "description", F.date_format("published_date", "yyyy-MM-dd HH:mm:ss").alias("published"), F.regexp_extract("file", "source=([^/]*)", 1).alias("source"), "entry_id", F.array_join("categories", ",").alias("categories"))
 
