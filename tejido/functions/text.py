@@ -24,14 +24,17 @@ def in_parts(batches: Iterator) -> Iterator:
     """Arrow batches, of a column or a tuple of columns, in parts of bounded size. Spark bounds a batch (64 MB), not what a function makes of it, which
     may be many times as large; made and handed on part by part, that stays small whatever the input."""
     for batch in batches:
-        columns = batch if isinstance(batch, tuple) else (batch,)
+        several = isinstance(batch, tuple)
+        columns = batch if several else (batch,)
+        del batch
         ends = np.cumsum([0, *(len(x) if isinstance(x, (str, bytes)) else 1 for x in columns[0])])
         start, n = 0, len(columns[0])
         while start < n:
             end = min(max(start + 1, int(np.searchsorted(ends, ends[start] + PART_CHARS, "right")) - 1), start + PART_ROWS, n)
-            part = tuple(c.iloc[start:end] for c in columns)
-            yield part if isinstance(batch, tuple) else part[0]
+            part = tuple(c.iloc[start:end].copy() for c in columns)  # a view would hold the whole batch while the next one is read
+            yield part if several else part[0]
             start = end
+        columns = part = None
 
 
 def words(text: Column) -> Column:

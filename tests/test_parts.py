@@ -1,5 +1,7 @@
 """What Arrow-batched functions make of a batch is handed on in parts of bounded size."""
 
+import weakref
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -26,3 +28,22 @@ def test_rows_stay_beside_their_results(spark):
     rows = spark.range(3000).select("id", F.concat(F.lit("<body>é"), F.col("id").cast("string"), F.lit("</body>")).alias("html")).coalesce(1)
     found = rows.select("id", html.main_text("html").alias("m"), text.nfc(F.col("html")).alias("n"), text.lexicon_counts(F.col("html"), {"x": ["1", "2"]})["x"].alias("x")).collect()
     assert len(found) == 3000 and all(r.m == f"é{r.id}" and r.n == f"<body>é{r.id}</body>" and r.x == ("1" in str(r.id)) + ("2" in str(r.id)) for r in found)
+
+
+def test_a_batch_is_let_go_before_the_next_is_read():
+    held, kept = [], []
+
+    class Text(str):
+        pass
+
+    def batches():
+        for _ in range(3):
+            kept.append(sum(r() is not None for r in held))
+            texts = [Text(f"{k} " * 100) for k in range(2000)]
+            held[:] = map(weakref.ref, texts)
+            yield (pd.Series(texts, dtype=object), pd.Series(range(2000)))
+            del texts
+
+    for a, _ in text.in_parts(batches()):
+        assert len(a) <= text.PART_ROWS
+    assert max(kept) <= text.PART_ROWS
