@@ -159,12 +159,17 @@ def path_domain(host: Column) -> Column:
 
 
 @pandas_udf(T.StringType())
-def nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Canonical composition; there is no built-in for it."""
+def _composed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     import unicodedata
 
     for s in in_parts(batches):
-        yield s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+        yield s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+
+def nfc(text: Column) -> Column:
+    """Canonical composition; there is no built-in for it. Characters below U+0300 never change by it nor compose with each other, so that texts of
+    them alone are not sent to Python."""
+    return F.coalesce(_composed(F.when(text.rlike(r"[^\x{0}-\x{2FF}]"), text)), text)
 
 
 def strip(text: Column) -> Column:

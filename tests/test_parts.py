@@ -1,5 +1,6 @@
 """What Arrow-batched functions make of a batch is handed on in parts of bounded size."""
 
+import unicodedata
 import weakref
 
 import pandas as pd
@@ -47,3 +48,13 @@ def test_a_batch_is_let_go_before_the_next_is_read():
     for a, _ in text.in_parts(batches()):
         assert len(a) <= text.PART_ROWS
     assert max(kept) <= text.PART_ROWS
+
+
+def test_only_texts_that_composition_may_change_go_to_python(spark, monkeypatch):
+    texts = ["plain", "ma\u00f1ana \u02ff", "man\u0303ana", "\u212b \u1e9b\u0323", "\u1100\u1161\u11a8", "\u201cquoted\u201d", "\U0001f600 \u00e9", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    made = lambda: {r.id: r.n for r in rows.select("id", text.nfc(F.col("t")).alias("n")).collect()}
+    found = made()
+    assert found == {k: t and unicodedata.normalize("NFC", t) for k, t in enumerate(texts)} and found[2] == texts[1][:6] and found[4] == "\uac01"
+    monkeypatch.setattr(text, "_composed", lambda t: F.concat(F.lit("sent "), t))
+    assert [k for k, t in made().items() if t and t.startswith("sent ")] == [2, 3, 4, 5, 6]
