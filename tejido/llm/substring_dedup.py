@@ -46,8 +46,8 @@ MARGIN = 128
 FALL = 8
 #: Requests for words of one document that one task serves.
 SERVED = 50_000
-#: Bytes of text hashed at once.
-SLICE = 1 << 19
+#: Bytes of text hashed at once: so few that the arrays made of them stay in a core's cache.
+SLICE = 1 << 17
 #: Rows of seeds that one task sorts, about, and rows of links that it hands on at once.
 SORTED, GIVEN = 2_000_000, 1 << 16
 #: Successive runs that travel as one row at most.
@@ -68,8 +68,8 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first = ends[0]
     data = np.frombuffer(column.buffers()[2], np.uint8)[first : ends[-1]] if ends[-1] > first else np.empty(0, np.uint8)
     ends = ends - first
-    data = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0))
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    data = data + ((data - np.uint8(65)) < 26) * np.uint8(32)  # below 65 it wraps
+    inside = (data != 32) & ((data - np.uint8(9)) > 4)
     before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
     cuts = ends[:-1][ends[:-1] < len(data)]
     before[cuts] = False  # a text's first word starts there, whatever ends the text before
@@ -79,7 +79,8 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     after[last] = False
     stops = np.flatnonzero(inside & ~after) + 1
     up, down = powers(len(data))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(np.multiply(data.astype(np.uint64) + np.uint64(1), up[: len(data)]), out=sums[1:])
     h = (sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64)
     counts = np.searchsorted(starts, ends[1:]) - np.searchsorted(starts, ends[:-1])
     return mixed_bits(h), counts
@@ -113,14 +114,15 @@ def seeds_of(words: np.ndarray, counts: np.ndarray, size: int = K, window: int =
     begin = np.cumsum(counts) - counts
     # the last least hash of each window; a text with fewer k-mers has one window
     best, where = h.copy(), np.arange(len(h))
-    for j in range(1, window):
-        other = h[j:]
-        less = np.concatenate([(other <= best[: len(other)]) & (text[j:] == text[: len(other)]), np.zeros(min(j, len(h)), bool)])
-        best[less] = h[np.flatnonzero(less) + j]
-        where[less] = np.flatnonzero(less) + j
+    for j in range(1, min(window, len(h))):
+        less = (h[j:] <= best[:-j]) & (text[j:] == text[:-j])
+        np.copyto(best[:-j], h[j:], where=less)
+        np.copyto(where[:-j], np.arange(j, len(h)), where=less)
     opens = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.empty(0, bool)
     ahead = np.concatenate([text[window - 1 :] == text[: max(0, len(text) - window + 1)], np.zeros(min(window - 1, len(text)), bool)])
-    picked = np.unique(where[ahead | opens])
+    held = np.zeros(len(h), bool)
+    held[where[ahead | opens]] = True
+    picked = np.flatnonzero(held)
     return h[picked], text[picked], at[picked] - begin[text[picked]]
 
 
@@ -137,11 +139,12 @@ def seed_rows(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 h, text, pos = seeds_of(*word_hashes(part.column("text")))
-                order = np.lexsort((pos, text, h))
-                sorted_, of = h[order], text[order]
-                again = np.sort(order[np.flatnonzero((sorted_[1:] == sorted_[:-1]) & (of[1:] == of[:-1])) + 1])
-                turned = np.empty_like(h)
-                turned[order] = by_turn(sorted_, of)
+                order, several = order_of(h, text, pos)
+                several = order[several]  # most seeds come once in these texts, so they have no turns
+                sorted_, of = h[several], text[several]
+                again = np.sort(several[np.flatnonzero((sorted_[1:] == sorted_[:-1]) & (of[1:] == of[:-1])) + 1])
+                turned = h.copy()
+                turned[several] = by_turn(sorted_, of)
                 h, text, pos = np.concatenate([turned & ~np.uint64(1), h[again] | np.uint64(1)]).view(np.int64), np.concatenate([text, text[again]]), np.concatenate([pos, pos[again]])
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ids[text]), pa.array(pos, pa.int64())], ["h", "doc", "pos"])
 
@@ -199,15 +202,22 @@ def met(seeds: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "role tinyint, h bigint, kind tinyint, a bigint, a_pos bigint, b bigint, b_pos bigint")
 
 
-def in_order(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rows sorted by hash, document and place. Most hashes come once, so only the others are sorted by more than that."""
+def order_of(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rows by hash, document and place, and where in it the rows are whose hash comes again. Most hashes come once, so only the others
+    are sorted by more than that."""
     order = np.argsort(h)
-    h = h[order]
-    same = h[1:] == h[:-1]
+    same = h[order]
+    same = same[1:] == same[:-1]
     again = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
     some = order[again]
-    order[again] = some[np.lexsort((pos[some], doc[some], h[again]))]
-    return h, doc[order], pos[order]
+    order[again] = some[np.lexsort((pos[some], doc[some], h[some]))]
+    return order, again
+
+
+def in_order(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows sorted by hash, document and place."""
+    order, _ = order_of(h, doc, pos)
+    return h[order], doc[order], pos[order]
 
 
 def _met(*columns: np.ndarray) -> pa.RecordBatch:
@@ -310,16 +320,13 @@ def chains(found: DataFrame) -> DataFrame:
         starts = np.flatnonzero(new)
         stops = np.concatenate([starts[1:], [len(a)]])
         out: list[tuple] = []
-        for s, e in zip(starts[stops - starts >= SEEDS].tolist(), stops[stops - starts >= SEEDS].tolist(), strict=True):
-            if x[e - 1] - x[s] + K < SPAN:
-                continue
+        dx, dy = x[1:] - x[:-1], y[1:] - y[:-1]
+        breaks = np.concatenate([[0], np.cumsum((dx <= 0) | (dy <= 0) | (dx + dy >= K / GAP))])  # before the step from each row to the next
+        whole = breaks[stops - 1] == breaks[starts]  # all in order and close: one chain, as the tree would find
+        wide = (stops - starts >= SEEDS) & (x[stops - 1] - x[starts] + K >= SPAN)
+        for s, e, one in zip(starts[wide].tolist(), stops[wide].tolist(), whole[wide].tolist(), strict=True):
             xs, ys = x[s:e], y[s:e]
-            if (np.diff(ys) > 0).all() and (np.diff(xs) > 0).all() and (np.diff(xs) + np.diff(ys) < K / GAP).all():
-                paths = [np.arange(e - s)]  # all in order and close: one chain, as the tree would find
-            else:
-                paths = chain(xs.tolist(), ys.tolist())
-            for p in paths:
-                px, py = xs[p], ys[p]
+            for px, py in [(xs, ys)] if one else [(xs[p], ys[p]) for p in chain(xs.tolist(), ys.tolist())]:
                 if min(px[-1] - px[0], py[-1] - py[0]) + K >= SPAN:
                     out.append((int(a[s]), int(b[s]), px, py))
         if out:
@@ -391,47 +398,43 @@ def same_words(x: np.ndarray, y: np.ndarray) -> int:
     """Words of x and y that an alignment can pair: those on the diagonal if x and y are of one length, or else a longest
     common subsequence."""
     if len(x) == len(y):
-        return int((x == y).sum())
+        return int(np.count_nonzero(x == y))
     if not len(x) or not len(y):
         return 0
-    row = np.zeros(len(y) + 1, np.int32)
-    for v in x:
-        take = row[:-1] + (y == v)
-        row[1:] = np.maximum.accumulate(np.maximum(take, row[1:]))
-    return int(row[-1])
+    at: dict[int, int] = {}  # the places in y of each word, as bits
+    for k, v in enumerate(y.tolist()):
+        at[v] = at.get(v, 0) | 1 << k
+    # bits of free, from below: places in y that add nothing to the common subsequence of x so far and y up to there
+    free = every = (1 << len(y)) - 1
+    for v in x.tolist():
+        if take := free & at.get(v, 0):
+            free = (free + take | free - take) & every
+    return len(y) - free.bit_count()
 
 
 def extension(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """Words by which an alignment goes on along its diagonal, and how many of them are equal: the best score, a word's
     equality counting 1 and a difference -1, that is reached before the score falls by FALL."""
     n = min(len(x), len(y))
-    if not n:
-        return 0, 0
-    equal = x[:n] == y[:n]
-    score = np.cumsum(np.where(equal, 1, -1))
-    top = np.maximum.accumulate(np.maximum(score, 0))
-    fallen = np.flatnonzero(top - score >= FALL)
-    if len(fallen):
-        score = score[: fallen[0]]
-    best = int(score.argmax())
-    if score[best] <= 0:
-        return 0, 0
-    return best + 1, int(equal[: best + 1].sum())
-
-
-def align(x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> tuple[int, int, int, int, int]:
-    """From and to in x and y, and equal words, of the chain of seeds (xs, ys) aligned and extended."""
-    left, same_left = extension(x[: xs[0]][::-1], y[: ys[0]][::-1])
-    right, same_right = extension(x[xs[-1] + K :], y[ys[-1] + K :])
-    if len(xs) == 1 or xs[-1] - xs[0] == ys[-1] - ys[0] and (xs - xs[0] == ys - ys[0]).all():
-        inner = int((x[xs[0] : xs[-1] + K] == y[ys[0] : ys[-1] + K]).sum())
-    else:
-        inner = K
-        for k in range(1, len(xs)):
-            dx, dy = int(xs[k] - xs[k - 1]), int(ys[k] - ys[k - 1])
-            step = min(K, dx, dy)  # what the seed adds beyond the one before
-            inner += step + same_words(x[xs[k - 1] + K : xs[k] + K - step], y[ys[k - 1] + K : ys[k] + K - step])
-    return xs[0] - left, xs[-1] + K + right, ys[0] - left, ys[-1] + K + right, inner + same_left + same_right
+    score = same = top = length = within = 0
+    for k in range(0, n, MARGIN):
+        for j, equal in enumerate((x[k : min(n, k + MARGIN)] == y[k : min(n, k + MARGIN)]).tolist(), k + 1):
+            if equal:
+                score, same = score + 1, same + 1
+                if score > top:
+                    top, length, within = score, j, same
+            else:
+                score -= 1
+                if top - score >= FALL:
+                    return length, within
+    return length, within
+
+
+def align(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int, inner: int) -> tuple[int, int, int, int, int]:
+    """From and to in x and y, and equal words, of a chain of seeds from x0 and y0 to x1 and y1 with so many equal words (inner), extended."""
+    left, same_left = extension(x[:x0][::-1], y[:y0][::-1])
+    right, same_right = extension(x[x1:], y[y1:])
+    return x0 - left, x1 + right, y0 - left, y1 + right, inner + same_left + same_right
 
 
 def widened(x: np.ndarray, y: np.ndarray, found: tuple[int, int, int, int, int], words: int, similarity: float) -> tuple[int, int, int, int, int]:
@@ -457,26 +460,26 @@ def widened(x: np.ndarray, y: np.ndarray, found: tuple[int, int, int, int, int],
 def aligned(x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray, words: int, similarity: float) -> Iterator[tuple[int, int, int, int, int]]:
     """Alignments of a chain that are long and alike enough: of the whole, or else of the parts before and after the gap with
     the most unequal words."""
+    dx, dy = np.diff(xs), np.diff(ys)
+    between = np.zeros(len(dx), np.int64)  # words between each seed and the next that an alignment pairs
+    for k in np.flatnonzero(np.minimum(dx, dy) > K).tolist():
+        between[k] = same_words(x[xs[k] + K : xs[k + 1]], y[ys[k] + K : ys[k + 1]])
+    lost = np.maximum(np.maximum(dx, dy) - K, 0) - between
+    equal = [K, *(K + np.cumsum(np.minimum(K, np.minimum(dx, dy)) + between)).tolist()]  # up to each seed
     stack = [(0, len(xs))]
     while stack:
         i, j = stack.pop()
-        found = widened(x, y, align(x, y, xs[i:j], ys[i:j]), words, similarity)
+        inner = equal[j - 1] - equal[i] + K
+        found = widened(x, y, align(x, y, int(xs[i]), int(xs[j - 1]) + K, int(ys[i]), int(ys[j - 1]) + K, inner), words, similarity)
         a, b, c, d, same = found
         if min(b - a, d - c) >= words and same >= similarity * max(b - a, d - c):
             yield found
         elif j - i > 1 and max(b - a, d - c) >= words:
-            lost = [unequal(x, y, int(xs[k - 1]), int(xs[k]), int(ys[k - 1]), int(ys[k])) for k in range(i + 1, j)]
-            worst = int(np.argmax(lost))
-            if lost[worst]:
+            worst = int(np.argmax(lost[i : j - 1]))
+            if lost[i + worst]:
                 stack += [(i + 1 + worst, j), (i, i + 1 + worst)]
 
 
-def unequal(x: np.ndarray, y: np.ndarray, x0: int, x1: int, y0: int, y1: int) -> int:
-    """Words between two seeds that an alignment can't pair."""
-    gap = max(x1 - x0, y1 - y0) - K
-    return gap - same_words(x[x0 + K : x1], y[y0 + K : y1]) if gap > 0 else 0
-
-
 def shared_places(linked: DataFrame) -> DataFrame:
     """doc_id, places, holders: where the seeds of each document stand that come in several documents, sorted, and the document that holds each
     first. A document has fewer of them than words."""
