@@ -4,6 +4,7 @@ import unicodedata
 import weakref
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tejido.functions import html, text
@@ -58,3 +59,16 @@ def test_only_texts_that_composition_may_change_go_to_python(spark, monkeypatch)
     assert found == {k: t and unicodedata.normalize("NFC", t) for k, t in enumerate(texts)} and found[2] == texts[1][:6] and found[4] == "\uac01"
     monkeypatch.setattr(text, "_composed", lambda t: F.concat(F.lit("sent "), t))
     assert [k for k, t in made().items() if t and t.startswith("sent ")] == [2, 3, 4, 5, 6]
+
+
+def test_pages_stay_in_arrow_but_for_a_part(monkeypatch):
+    texts = [None, "a" * 1_000_000, *["b" * 1000] * 3000, "", "\u00e9"]
+    found = list(text.in_lists(iter([pa.array(texts), pa.array([], pa.string()), pa.array(["c"] * 1200)])))
+    assert [t for part in found for t in part] == [*texts, *["c"] * 1200] and [len(p) for p in found[-3:]] == [512, 512, 176]
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= text.PART_CHARS and len(p) <= text.PART_ROWS for p in found)
+    monkeypatch.setattr(html, "arrow_udf", lambda run, kind: lambda column: run)
+    pages = pa.array([None, "", '<a href="/1">&eacute;<b>x</b></a><a>no</a><a href="">y</a>', *["<p>none</p>"] * 1000])
+    made = list(html._each(html.LINK, html.links_of)("html")(iter([pages.slice(1), pages])))
+    rows = [links for part in made for links in part.to_pylist()]
+    assert max(map(len, made)) <= text.PART_ROWS and rows == [html.links_of(p) for p in [*pages.to_pylist()[1:], *pages.to_pylist()]]
+    assert rows[1] == [{"pos": 0, "href": "/1", "anchor": "\u00e9x"}, {"pos": 1, "href": "", "anchor": "y"}]
